@@ -1,8 +1,7 @@
 """Flexible timestamp parsing without Python rows (CL8).
 
-A value is recognised by its shape, rewritten to one canonical `y|m|d|h|min|s|frac|ampm|zone`
-text with a single regular-expression replacement, and assembled by
-`try_make_timestamp_ntz`. Nothing throws on bad input, so a column full of unparseable text
+A value is recognised by its shape, rewritten to one canonical text of nine parts (year, month,
+day, hour, minute, second, fraction, am/pm, zone) and assembled by `try_make_timestamp_ntz`. Nothing throws on bad input, so a column full of unparseable text
 costs no exceptions. Values already in plain ISO form skip all of that through `try_cast`.
 """
 
@@ -26,6 +25,9 @@ _SHAPES = (
     (rf"^(\d{{1,2}}){_ORDINAL}[\s-]+([A-Za-z]{{3,9}})\.?,?[\s-]+(\d{{4}}){_TIME}", (3, 2, 1)),
 )
 
+# Unit separator: stands between the parts of the canonical text.
+_CUT = "\u001f"
+
 _PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|\+00:00)?)?$"
 
 # Month names.
@@ -35,51 +37,40 @@ _MONTHS = (
 )
 
 
-def _month_number(text: Column) -> Column:
-    """A month given as digits, a full name or an abbreviation of three letters (or `sept`)."""
-    entries = []
-    for number, name in enumerate(_MONTHS, start=1):
-        for spelling in dict.fromkeys((name, name[:3])):
-            entries += [F.lit(spelling), F.lit(number)]
-    entries += [F.lit("sept"), F.lit(9)]
-    return F.coalesce(
-        text.try_cast("int"), F.try_element_at(F.create_map(*entries), F.lower(text))
-    )
-
-
-def _full_year(text: Column) -> Column:
-    """Two-digit years fall in the century that puts them nearest the current year."""
-    year = text.try_cast("int")
-    this_year = F.year(F.current_date())
-    guess = year + this_year - this_year % F.lit(100)
-    near = (
-        F.when(guess >= this_year + 50, guess - 100)
-        .when(guess < this_year - 50, guess + 100)
-        .otherwise(guess)
-    )
-    return F.when(F.length(text) <= 2, near).otherwise(year)
-
-
-def _hour(hour: Column, ampm: Column) -> Column:
-    h = F.coalesce(hour.try_cast("int"), F.lit(0))
-    marker = F.lower(ampm)
-    twelve = (marker != "") & ((h < 1) | (h > 12))
-    return (
-        F.when(twelve, F.lit(None).cast("int"))
-        .when((marker == "pm") & (h < 12), h + 12)
-        .when((marker == "am") & (h == 12), F.lit(0))
-        .otherwise(h)
-    )
-
-
-def _offset_minutes(zone: Column) -> Column:
-    digits = F.regexp_replace(zone, r"[^0-9]", "")
-    minutes = (
-        F.substring(digits, 1, 2).try_cast("int") * 60
-        + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))
-    )
-    signed = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
-    return F.coalesce(signed, F.lit(0))
+_MONTH_TABLE = ", ".join(
+    f"'{spelling}', {number}"
+    for number, name in enumerate(_MONTHS, start=1)
+    for spelling in dict.fromkeys((name, name[:3]))
+)
+
+# From the canonical parts to a timestamp; NULL unless they make a valid one. Written as SQL
+# because it is one fixed expression, used for every time column.
+_YEAR = """
+CASE WHEN length(p[0]) > 2 THEN try_cast(p[0] AS int)
+     ELSE try_cast(p[0] AS int) + 100 * cast(floor((year(current_date()) + 49 - try_cast(p[0] AS int)) / 100) AS int)
+END"""
+_MONTH = f"coalesce(try_cast(p[1] AS int), try_element_at(map({_MONTH_TABLE}, 'sept', 9), lower(p[1])))"
+_DAY = "try_cast(p[2] AS int)"
+_DAY_FIRST = f"({_MONTH} > 12 AND {_DAY} <= 12)"
+_HOUR = """
+CASE WHEN p[7] <> '' AND try_cast(p[3] AS int) NOT BETWEEN 1 AND 12 THEN NULL
+     WHEN lower(p[7]) = 'pm' AND p[3] <> '12' THEN try_cast(p[3] AS int) + 12
+     WHEN lower(p[7]) = 'am' AND p[3] = '12' THEN 0
+     WHEN p[3] = '' THEN 0
+     ELSE try_cast(p[3] AS int) END"""
+_MINUTE = "coalesce(try_cast(p[4] AS int), 0)"
+_SECOND = """
+try_cast(concat(if(p[5] = '', '0', p[5]), '.', rpad(substring(p[6], 1, 6), 6, '0')) AS decimal(8,6))"""
+_SHIFT = """
+coalesce(if(p[8] LIKE '-%', -1, 1) * (
+  try_cast(substring(regexp_replace(p[8], '[^0-9]', ''), 1, 2) AS int) * 60
+  + coalesce(try_cast(substring(regexp_replace(p[8], '[^0-9]', ''), 3, 2) AS int), 0)), 0)"""
+_ASSEMBLE = f"""
+p -> CASE WHEN size(p) = 9 THEN
+  try_make_timestamp_ntz({_YEAR},
+    if({_DAY_FIRST}, {_DAY}, {_MONTH}), if({_DAY_FIRST}, {_MONTH}, {_DAY}),
+    {_HOUR}, {_MINUTE}, {_SECOND})
+  - make_dt_interval(0, 0, {_SHIFT}, 0) END"""
 
 
 def parse_timestamp(c: Column) -> Column:
@@ -88,40 +79,15 @@ def parse_timestamp(c: Column) -> Column:
     Unparseable text and text without a full date give NULL. Day-first dates are understood
     only where the first number cannot be a month.
     """
-    text = F.trim(F.regexp_replace(c.cast("string"), r"^\s+|\s+$", ""))
-    canonical = None
+    text = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    canonical = text
     for shape, (y, m, d) in _SHAPES:
-        rewritten = F.regexp_replace(text, shape, f"${y}|${m}|${d}|$4|$5|$6|$7|$8|$9")
-        canonical = (
-            F.when(text.rlike(shape), rewritten)
-            if canonical is None
-            else canonical.when(text.rlike(shape), rewritten)
-        )
-    parts = F.split(canonical, r"\|")
-
-    def part(i: int) -> Column:
-        return F.element_at(parts, i + 1)
-
-    month, day = _month_number(part(1)), part(2).try_cast("int")
-    swap = (month > 12) & (day <= 12)
-    seconds = F.concat(
-        F.when(part(5) == "", F.lit("0")).otherwise(part(5)),
-        F.lit("."),
-        F.rpad(F.substring(part(6), 1, 6), 6, "0"),
-    ).try_cast("decimal(8,6)")
-    minute = F.coalesce(part(4).try_cast("int"), F.lit(0))
-    assembled = F.try_make_timestamp_ntz(
-        _full_year(part(0)),
-        F.when(swap, day).otherwise(month),
-        F.when(swap, month).otherwise(day),
-        _hour(part(3), part(7)),
-        minute,
-        seconds,
-    )
-    shift = F.make_dt_interval(F.lit(0), F.lit(0), _offset_minutes(part(8)), F.lit(0))
-    return F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz")).otherwise(
-        assembled - shift
-    )
+        fields = _CUT.join(f"${i}" for i in (y, m, d, 4, 5, 6, 7, 8, 9))
+        canonical = F.regexp_replace(canonical, shape, fields)
+    # The one-element transform binds the split parts, so they are computed once per value.
+    parts = F.array(F.split(canonical, _CUT))
+    general = F.get(F.call_function("transform", parts, F.expr(_ASSEMBLE)), F.lit(0))
+    return F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz")).otherwise(general)
 
 
 def parse_instant(c: Column) -> Column:
