@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -42,13 +43,13 @@ def alias_key(c: Column) -> Column:
 def canonicalise(c: Column, aliases: Mapping[str, str], fallback: Column) -> Column:
     """CL3: replace known synonyms by their canonical value, else use `fallback`.
 
-    The lookup is a map literal, which suits configuration-sized vocabularies. For
+    The lookup is a constant map, folded once at planning time, which suits configuration-sized vocabularies. For
     vocabularies that are data, use `canonicalise_by_table`.
     """
     if not aliases:
         return empty_to_null(fallback)
-    entries = [F.lit(text) for pair in aliases.items() for text in pair]
-    found = F.try_element_at(F.create_map(*entries), alias_key(c))
+    known = F.from_json(F.lit(json.dumps(dict(aliases))), "map<string,string>")
+    found = F.try_element_at(known, alias_key(c))
     return empty_to_null(F.coalesce(found, fallback))
 
 

@@ -44,27 +44,31 @@ _MONTH_TABLE = ", ".join(
 )
 
 # From the canonical parts to a timestamp; NULL unless they make a valid one. Written as SQL
-# because it is one fixed expression, used for every time column.
+# because it is one fixed expression, used for every time column. Only parts that are digits are
+# cast: a failing try_cast raises and catches an exception, which is far too slow per row.
 _YEAR = """
 CASE WHEN length(p[0]) > 2 THEN try_cast(p[0] AS int)
      ELSE try_cast(p[0] AS int) + 100 * cast(floor((year(current_date()) + 49 - try_cast(p[0] AS int)) / 100) AS int)
 END"""
-_MONTH = f"coalesce(try_cast(p[1] AS int), try_element_at(map({_MONTH_TABLE}, 'sept', 9), lower(p[1])))"
+_MONTH = f"""
+CASE WHEN p[1] < 'A' THEN try_cast(p[1] AS int)
+     ELSE try_element_at(map({_MONTH_TABLE}, 'sept', 9), lower(p[1])) END"""
 _DAY = "try_cast(p[2] AS int)"
-_DAY_FIRST = f"({_MONTH} > 12 AND {_DAY} <= 12)"
+_DAY_FIRST = f"(p[1] < 'A' AND {_MONTH} > 12 AND {_DAY} <= 12)"
 _HOUR = """
-CASE WHEN p[7] <> '' AND try_cast(p[3] AS int) NOT BETWEEN 1 AND 12 THEN NULL
-     WHEN lower(p[7]) = 'pm' AND p[3] <> '12' THEN try_cast(p[3] AS int) + 12
-     WHEN lower(p[7]) = 'am' AND p[3] = '12' THEN 0
-     WHEN p[3] = '' THEN 0
-     ELSE try_cast(p[3] AS int) END"""
-_MINUTE = "coalesce(try_cast(p[4] AS int), 0)"
+CASE WHEN p[3] = '' THEN 0
+     WHEN p[7] = '' THEN try_cast(p[3] AS int)
+     WHEN try_cast(p[3] AS int) NOT BETWEEN 1 AND 12 THEN NULL
+     ELSE try_cast(p[3] AS int) % 12 + if(lower(p[7]) = 'pm', 12, 0) END"""
+_MINUTE = "if(p[4] = '', 0, try_cast(p[4] AS int))"
 _SECOND = """
-try_cast(concat(if(p[5] = '', '0', p[5]), '.', rpad(substring(p[6], 1, 6), 6, '0')) AS decimal(8,6))"""
+CASE WHEN p[5] = '' THEN cast(0 AS decimal(8,6))
+     WHEN p[6] = '' THEN cast(try_cast(p[5] AS int) AS decimal(8,6))
+     ELSE try_cast(concat(p[5], '.', substring(p[6], 1, 6)) AS decimal(8,6)) END"""
 _SHIFT = """
-coalesce(if(p[8] LIKE '-%', -1, 1) * (
-  try_cast(substring(regexp_replace(p[8], '[^0-9]', ''), 1, 2) AS int) * 60
-  + coalesce(try_cast(substring(regexp_replace(p[8], '[^0-9]', ''), 3, 2) AS int), 0)), 0)"""
+CASE WHEN p[8] = '' OR p[8] > 'A' THEN 0
+     ELSE if(p[8] LIKE '-%', -1, 1) * (try_cast(substring(p[8], 2, 2) AS int) * 60
+       + if(length(p[8]) > 3, try_cast(right(p[8], 2) AS int), 0)) END"""
 _ASSEMBLE = f"""
 p -> CASE WHEN size(p) = 9 THEN
   try_make_timestamp_ntz({_YEAR},

@@ -66,7 +66,9 @@ def run_validate(spark: SparkSession, args) -> None:
     validation = validate(tables, rules, run, with_samples=False)
     marts.write_run(validation.checks, f"{args.marts}/dq_check_results")
     judged = rejudge(marts.read_run(spark, f"{args.marts}/dq_check_results", args.run_id), rules)
-    samples = sample_json(sample_rows(tables, rules))
+    # One row per rule: which of them need samples at all.
+    failing = [r.check_id for r in judged.where("failure_count > 0").select("check_id").collect()]
+    samples = sample_json(sample_rows(tables, rules.only(*failing))) if failing else None
     issues = outcomes.issue_log(judged, run.run_id, run.dataset_name, run.run_ts, samples)
     marts.write_run(issues, f"{args.marts}/dq_issue_history")
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
@@ -142,13 +144,11 @@ def run_metrics(spark: SparkSession, args) -> None:
             "workflow_attempt": F.lit(args.workflow_attempt),
         }
     )
-    # A run's partition holds all of its attempts, so only that partition is merged.
+    # A run's partition holds all of its attempts, so only that partition is merged. Replacing
+    # it is safe: a dynamic overwrite moves new files in only after every task has finished.
     path = f"{args.marts}/project_metrics_history"
     if _exists(spark, path):
-        kept = marts.read_run(spark, path, args.run_id)
-        # The rows of one run are read before their partition is replaced.
-        rows = spark.createDataFrame(kept.collect(), kept.schema)
-        row = marts.upsert_history(rows, row)
+        row = marts.upsert_history(marts.read_run(spark, path, args.run_id), row)
     marts.write_run(row, path)
 
 

@@ -111,41 +111,37 @@ def duplicate_rows(
     * identical rows are folded to one row with a multiplicity, map-side, so a group of
       copies shrinks to one row per task;
     * the distinct rows of a key are spread over `slices` ranges of the row hash. Ranks inside
-      a slice start where the counts of the key's earlier slices end;
+      a slice start where the counts of the key's earlier slices end. There is no join or
+      grouping on the key alone, whose partitioning later steps would inherit;
     * multiplicities unfold at the end, in chunks spread over tasks again.
     """
     names = df.columns
-    suspects = df.withColumn("_key", F.struct(*columns)).join(
-        duplicate_keys(df, columns), "_key", "left_semi"
-    )
+    slice_of = F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * slices).cast("int")
     folded = (
-        suspects.groupBy("_key", *names)
+        df.groupBy(*names)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_hash", F.xxhash64(*names))
-        .withColumn("_slice", F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * slices).cast("int"))
+        .withColumns({"_key": F.struct(*columns), "_hash": F.xxhash64(*names)})
+        .withColumn("_slice", slice_of)
     )
+    # At most `slices` rows per key; keys that occur once are dropped here.
+    of_key = Window.partitionBy("_key")
+    earlier_slices = of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         folded.groupBy("_key", "_slice")
         .agg(F.sum("_n").alias("_slice_rows"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_slice_rows").over(
-                    Window.partitionBy("_key").orderBy("_slice").rowsBetween(
-                        Window.unboundedPreceding, -1
-                    )
-                ),
-                F.lit(0),
-            ),
-        )
+        .withColumn("_key_rows", F.sum("_slice_rows").over(of_key))
+        .withColumn("_start", F.coalesce(F.sum("_slice_rows").over(earlier_slices), F.lit(0)))
+        .where("_key_rows > 1")
         .select("_key", "_slice", "_start")
     )
-    earlier = Window.partitionBy("_key", "_slice").orderBy("_hash", *names).rowsBetween(
-        Window.unboundedPreceding, -1
+    earlier_rows = (
+        Window.partitionBy("_key", "_slice")
+        .orderBy("_hash", *names)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = (
-        folded.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .join(starts, ["_key", "_slice"])
+        folded.join(starts, ["_key", "_slice"])
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier_rows), F.lit(0)))
         .withColumn("_last", F.col("_start") + F.col("_before") + F.col("_n"))
         .withColumn("_first", F.greatest(F.lit(2), F.col("_last") - F.col("_n") + 1))
         .where(F.col("_first") <= F.col("_last"))

@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Re-writing one run replaces only that run's partition (see sources.marts).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans are built from many columns; recording a call site for each doubles that time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PROJECT_KEY = ("run_id", "workflow_run_id", "workflow_attempt")
 
@@ -29,16 +30,16 @@ def write_run(df: DataFrame, path: str, files: int = 1) -> None:
     )
 
 
-def read_mart(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A whole mart. Run ids stay text even when they look like numbers."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
-    return df.withColumn("run_id", F.col("run_id").cast("string"))
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A whole mart. Run ids stay text: partition type inference would turn `007` into 7."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == "run_id" else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """IO7: the rows of one run; other partitions are not listed or read."""
-    return spark.read.parquet(path).where(F.col("run_id") == run_id)
+    """IO7: the rows of one run; other partitions are not read."""
+    return read_mart(spark, path).where(F.col("run_id") == run_id)
 
 
 def upsert_history(

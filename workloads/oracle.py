@@ -96,8 +96,8 @@ def staged(*names: str) -> str:
 
 ORACLE["stable_ids"] = """
 WITH d AS (
-  SELECT o_orderkey, sha1(concat(unhex('3c2f0d465df04c889a5ddcbf6f3d43e9'),
-         encode(concat('phase1-42-order-', cast(o_orderkey AS varchar))))) AS h FROM orders
+  SELECT o_orderkey, sha1(unhex('3c2f0d465df04c889a5ddcbf6f3d43e9') ||
+         encode(concat('phase1-42-order-', cast(o_orderkey AS varchar)))) AS h FROM orders
 )
 SELECT o_orderkey, concat_ws('-', h[1:8], h[9:12], concat('5', h[14:16]),
   concat(CASE WHEN h[17] IN ('0','4','8','c') THEN '8' WHEN h[17] IN ('1','5','9','d') THEN '9'
