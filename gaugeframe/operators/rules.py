@@ -171,8 +171,9 @@ def key_columns(rule: Rule) -> tuple[str, ...]:
 
 
 def _count_key_rules(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) -> DataFrame:
-    sets = list(dict.fromkeys(tuple(dict.fromkeys(key_columns(rule))) for rule in rules))
-    columns = list(dict.fromkeys(c for one in sets for c in one))
+    # Rules over the same columns, in whatever order, share one grouping set.
+    sets = list(dict.fromkeys(frozenset(key_columns(rule)) for rule in rules))
+    columns = sorted({c for one in sets for c in one})
     masks = {
         one: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in one)
         for one in sets
@@ -191,18 +192,20 @@ def _count_key_rules(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) ->
     tallies = [F.sum(F.col("_n") - 1).alias("_repeats"), F.sum("_n").alias("_rows")]
     if mappings:
         per_key = _count_values_per_key(per_key, mappings, masks, by)
-        tallies = [F.sum("_repeats").alias("_repeats"), F.sum("_n").alias("_rows")]
-        tallies += [
-            F.sum(F.when(F.col(f"_key{i}").isNotNull() & (F.col(f"_values{i}") > 1), F.col("_n")))
-            .alias(f"_mixed{i}")
-            for i in range(len(mappings))
+        own = F.col("_rule") == _NO_MAPPING
+        tallies = [
+            F.sum(F.when(own, F.col("_repeats"))).alias("_repeats"),
+            F.sum(F.when(own, F.col("_n"))).alias("_rows"),
         ]
+        for i in range(len(mappings)):
+            mixed = (F.col("_rule") == i) & F.col(f"_key{i}").isNotNull() & (F.col("_values") > 1)
+            tallies.append(F.sum(F.when(mixed, F.col("_n"))).alias(f"_mixed{i}"))
     per_set = per_key.groupBy(*by, "_set").agg(*tallies)
     mixed = {rule.id: f"_mixed{i}" for i, rule in enumerate(mappings)}
     outcomes = F.array(
         *[
             F.struct(
-                F.lit(masks[tuple(dict.fromkeys(key_columns(rule)))]).cast("long").alias("set_id"),
+                F.lit(masks[frozenset(key_columns(rule))]).cast("long").alias("set_id"),
                 F.lit(rule.id).alias("check_id"),
                 F.coalesce(F.col(mixed.get(rule.id, "_repeats")), F.lit(0)).alias("failure_count"),
             )
@@ -216,30 +219,45 @@ def _count_key_rules(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) ->
     )
 
 
+_NO_MAPPING = -1
+
+
 def _count_values_per_key(
     per_key: DataFrame,
     mappings: Sequence[Rule],
-    masks: Mapping[tuple[str, ...], int],
+    masks: Mapping[frozenset[str], int],
     by: Sequence[str],
 ) -> DataFrame:
     """Fold (key, value) counts to one row per key with its number of distinct values.
 
-    Sets that belong to no mapping fold to a single row; that, too, happens map-side.
+    Each count goes once to the plain tallies of its set, which fold to a single row per set,
+    and once to every mapping over its set. Both folds start map-side.
     """
-    keys, values = [], []
-    for i, rule in enumerate(mappings):
-        key, value = rule.args
-        mine = F.col("_set") == masks[tuple(dict.fromkeys(rule.args))]
-        keys.append(F.when(mine, F.col(key)).alias(f"_key{i}"))
-        values.append(F.when(mine, F.col(value)).alias(f"_value{i}"))
-    names = [f"_key{i}" for i in range(len(mappings))]
+    kinds = {rule.args[0]: per_key.schema[rule.args[0]].dataType for rule in mappings}
+
+    def share(owner: int, filled: Column) -> Column:
+        keys = [
+            (F.col(rule.args[0]) if i == owner else F.lit(None).cast(kinds[rule.args[0]]))
+            .alias(f"_key{i}")
+            for i, rule in enumerate(mappings)
+        ]
+        return F.struct(F.lit(owner).alias("_rule"), *keys, filled.cast("int").alias("_filled"))
+
+    shares = [share(_NO_MAPPING, F.lit(False))] + [
+        F.when(
+            F.col("_set") == masks[frozenset(rule.args)],
+            share(i, F.col(rule.args[1]).isNotNull()),
+        )
+        for i, rule in enumerate(mappings)
+    ]
     return (
-        per_key.select(*by, "_set", "_n", *keys, *values)
-        .groupBy(*by, "_set", *names)
+        per_key.select(*by, "_set", "_n", F.inline(F.array(*shares)))
+        .where(F.col("_rule").isNotNull())
+        .groupBy(*by, "_set", "_rule", *[f"_key{i}" for i in range(len(mappings))])
         .agg(
             F.sum("_n").alias("_n"),
             F.sum(F.col("_n") - 1).alias("_repeats"),
-            *[F.count(f"_value{i}").alias(f"_values{i}") for i in range(len(mappings))],
+            F.sum("_filled").alias("_values"),
         )
     )
 
