@@ -24,14 +24,8 @@ def _rules(args):
     return load_rules(args.rules, causes) if args.rules else defaults.RULES
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
-def _mart(spark: SparkSession, args, name: str) -> DataFrame | None:
-    path = f"{args.marts}/{name}"
-    return marts.read_mart(spark, path) if _exists(spark, path) else None
+def _mart(spark: SparkSession, args, name: str) -> DataFrame:
+    return marts.read_mart(spark, f"{args.marts}/{name}")
 
 
 def run_generate(spark: SparkSession, args) -> None:
@@ -72,19 +66,17 @@ def run_validate(spark: SparkSession, args) -> None:
     issues = outcomes.issue_log(judged, run.run_id, run.dataset_name, run.run_ts, samples)
     marts.write_run(issues, f"{args.marts}/dq_issue_history")
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
-    stored = _mart(spark, args, "dq_issue_history")
-    if stored is not None:
-        top = history.recurrence(stored).withColumn("run_id", F.lit(run.run_id))
-        marts.write_run(top, f"{args.marts}/dq_issue_recurrence")
+    top = history.recurrence(_mart(spark, args, "dq_issue_history"))
+    top = top.withColumn("run_id", F.lit(run.run_id))
+    marts.write_run(top, f"{args.marts}/dq_issue_recurrence")
     stamp = {
         "run_id": F.lit(run.run_id), "run_ts": F.lit(run.run_ts),
         "dataset_name": F.lit(run.dataset_name),
     }
     metrics = anomaly.run_metrics(tables["events"]).withColumns(stamp)
-    past = _mart(spark, args, "dq_metrics_history")
-    if past is not None:
-        earlier = anomaly.parse_metrics(past.where(F.col("run_id") != run.run_id))
-        marts.write_run(anomaly.detect(metrics, earlier), f"{args.marts}/dq_anomalies")
+    past = _mart(spark, args, "dq_metrics_history").where(F.col("run_id") != run.run_id)
+    found = anomaly.detect(metrics, anomaly.parse_metrics(past))
+    marts.write_run(found, f"{args.marts}/dq_anomalies")
     marts.write_run(anomaly.metrics_record(metrics), f"{args.marts}/dq_metrics_history")
     drifting = drift.compare_schemas(
         drift.expected_columns(spark, defaults.EXPECTED_SCHEMA), drift.actual_columns(spark, tables)
@@ -101,7 +93,7 @@ def _run_results(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
 def run_score(spark: SparkSession, args) -> None:
     checks, issues = _run_results(spark, args)
     rules = _rules(args)
-    past = marts.read_mart(spark, f"{args.marts}/dq_run_history")
+    past = _mart(spark, args, "dq_run_history")
     when = scoring.resolve_run_ts(past, issues, args.run_id).first().run_ts.isoformat()
     record = scoring.score_record(checks, issues, args.run_id, when, rules.baseline, rules.minimum)
     marts.write_run(record, f"{args.marts}/score_history")
@@ -123,7 +115,7 @@ def run_gate(spark: SparkSession, args) -> None:
 
 
 def run_lifecycle(spark: SparkSession, args) -> None:
-    issues = marts.read_mart(spark, f"{args.marts}/dq_issue_history")
+    issues = _mart(spark, args, "dq_issue_history")
     history.issue_lifecycle(issues).write.mode("overwrite").parquet(
         f"{args.marts}/dq_issue_lifecycle"
     )
@@ -147,7 +139,7 @@ def run_metrics(spark: SparkSession, args) -> None:
     # A run's partition holds all of its attempts, so only that partition is merged. Replacing
     # it is safe: a dynamic overwrite moves new files in only after every task has finished.
     path = f"{args.marts}/project_metrics_history"
-    if _exists(spark, path):
+    if marts.path_exists(spark, path):
         row = marts.upsert_history(marts.read_run(spark, path, args.run_id), row)
     marts.write_run(row, path)
 

@@ -67,22 +67,17 @@ def _used_slots(df: DataFrame) -> list[str]:
 def value_counts(df: DataFrame) -> DataFrame:
     """How often each value occurs: (_col, one typed slot per class, _n)."""
     slots = _used_slots(df)
-
-    def cell(i: int, field: T.StructField) -> Column:
+    names = [f"_{s}" for s in slots]
+    cells: list[Column] = []
+    for i, field in enumerate(df.schema.fields):
         mine = _slot(field.dataType)
-        values = [
-            (F.col(field.name) if s == mine else F.lit(None))
-            .cast(_slot_type(df, s))
-            .alias(f"_{s}")
+        cells.append(F.lit(i))
+        cells += [
+            (F.col(field.name) if s == mine else F.lit(None)).cast(_slot_type(df, s))
             for s in slots
         ]
-        return F.struct(F.lit(i).alias("_col"), *values)
-
-    cells = F.array(*[cell(i, f) for i, f in enumerate(df.schema.fields)])
-    names = [f"_{s}" for s in slots]
-    return (
-        df.select(F.inline(cells)).groupBy("_col", *names).agg(F.count(F.lit(1)).alias("_n"))
-    )
+    unfolded = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("_col", *names))
+    return unfolded.groupBy("_col", *names).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def _present(slots: list[str]) -> Column:

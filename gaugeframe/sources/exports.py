@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gaugeframe.config import Vocabulary
 from gaugeframe.operators.cleaning import TABLES, Cleaner, clean_all
+from gaugeframe.sources.marts import path_exists
 
 
 def read_export(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -45,11 +46,10 @@ def read_staged(spark: SparkSession, folder: str, names: list[str] | None = None
 
 def read_run_metadata(spark: SparkSession, folder: str) -> dict[str, object]:
     """The generator's `run_metadata.json` beside the exports, if there is one."""
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = files.Path(f"{folder}/run_metadata.json")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    path = f"{folder}/run_metadata.json"
+    if not path_exists(spark, path):
         return {}
-    return json.loads(spark.read.text(str(path), wholetext=True).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def ingest(

@@ -12,6 +12,45 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeframe.session import local_frame
+
+# The contract of every mart a later step reads. Knowing it, a step can read a mart that no run
+# has written rows to yet.
+SCHEMAS = {
+    "dq_check_results": """
+        run_id string, dataset_name string, table_name string, stage_table string,
+        check_id string, dimension string, description string, rule_type string,
+        columns array<string>, column_regex string, severity int, weight double,
+        threshold_warning double, threshold_fail double, failure_rate double,
+        failure_count bigint, total_rows bigint, status string, penalty double""",
+    "dq_issue_history": """
+        run_id string, run_ts string, dataset_name string, table_name string,
+        check_name string, dimension string, issue_type string, severity int,
+        affected_rows bigint, affected_pct double, sample_bad_rows_json string,
+        probable_root_cause string, recommended_fix string, root_cause_candidates string""",
+    "dq_run_history": """
+        run_id string, run_ts string, dataset_name string, total_rows_by_table string""",
+    "dq_issue_recurrence": """
+        run_id string, check_name string, table_name string, issue_type string,
+        occurrences bigint, median_affected_pct double, last_seen timestamp_ntz,
+        probable_root_cause string, recommended_fix string""",
+    "dq_metrics_history": """
+        run_id string, run_ts string, dataset_name string, event_volume bigint,
+        completion_count bigint, completion_rate double, event_type_counts string,
+        event_type_distribution string""",
+    "dq_anomalies": """
+        run_id string, metric string, metric_value double, baseline_value double,
+        baseline_spread double, z_score double, threshold double, direction string,
+        notes string, details string, dataset_name string, run_ts string""",
+    "dq_schema_drift": """
+        run_id string, run_ts string, dataset_name string, table_name string,
+        missing_columns string, new_columns string, type_changes string, notes string""",
+    "score_history": """
+        run_id string, run_ts string, dataset_name string, score double, baseline double,
+        minimum double, total_penalty double, total_weight double, total_checks bigint,
+        failed_checks bigint, subscores string""",
+}
+
 PROJECT_KEY = ("run_id", "workflow_run_id", "workflow_attempt")
 
 
@@ -30,8 +69,22 @@ def write_run(df: DataFrame, path: str, files: int = 1) -> None:
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """A whole mart. Run ids stay text: partition type inference would turn `007` into 7."""
+    """A whole mart; an empty frame for a known mart without rows.
+
+    Run ids stay text: partition type inference would turn `007` into 7.
+    """
+    name = path.rstrip("/").rpartition("/")[2]
+    if name in SCHEMAS:
+        schema = T.StructType.fromDDL(SCHEMAS[name])
+        if not path_exists(spark, path):
+            return local_frame(spark, [], schema)
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     found = spark.read.parquet(path).schema
     fields = [T.StructField(f.name, T.StringType() if f.name == "run_id" else f.dataType) for f in found]
     return spark.read.schema(T.StructType(fields)).parquet(path)

@@ -1,6 +1,7 @@
 """The command-line steps of two runs, in order, on the reference dataset."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -57,6 +58,16 @@ def test_marts(spark, folders):
     assert top.count() == 5
 
 
+def test_marts_have_their_declared_schemas(spark, folders):
+    _, store, _ = folders
+    for name in marts.SCHEMAS:
+        declared = {f.name: f.dataType for f in marts.read_mart(spark, f"{store}/{name}").schema}
+        if any((store_part := Path(store) / name).glob("run_id=*")):
+            written = spark.read.parquet(str(store_part)).drop("run_id").schema
+            assert {f.name: f.dataType for f in written} == {k: v for k, v in declared.items() if k != "run_id"}, name
+    assert marts.read_mart(spark, f"{store}/nowhere/dq_anomalies").count() == 0
+
+
 def test_project_metrics_keep_one_row_per_attempt(spark, folders):
     _, store, _ = folders
     rows = marts.read_mart(spark, f"{store}/project_metrics_history").collect()
