@@ -66,6 +66,7 @@ def run_validate(spark: SparkSession, args) -> None:
     issues = outcomes.issue_log(judged, run.run_id, run.dataset_name, run.run_ts, samples)
     marts.write_run(issues, f"{args.marts}/dq_issue_history")
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
+    validation.release()
     top = history.recurrence(_mart(spark, args, "dq_issue_history"))
     top = top.withColumn("run_id", F.lit(run.run_id))
     marts.write_run(top, f"{args.marts}/dq_issue_recurrence")
@@ -129,7 +130,10 @@ def run_metrics(spark: SparkSession, args) -> None:
     recurring = history.recurring_count(
         marts.read_run(spark, f"{args.marts}/dq_issue_recurrence", args.run_id)
     )
-    row = gate.project_metrics(score, checks, issues, stages, recurring, settings).withColumns(
+    comparison = _comparison(spark, args, checks, issues) if args.baseline else None
+    row = gate.project_metrics(
+        score, checks, issues, stages, recurring, settings, comparison
+    ).withColumns(
         {
             "generated_at": F.lit(datetime.now(timezone.utc).isoformat()),
             "workflow_run_id": F.lit(args.workflow_run_id),
@@ -144,8 +148,7 @@ def run_metrics(spark: SparkSession, args) -> None:
     marts.write_run(row, path)
 
 
-def run_compare(spark: SparkSession, args) -> None:
-    checks, issues = _run_results(spark, args)
+def _comparison(spark: SparkSession, args, checks: DataFrame, issues: DataFrame) -> DataFrame:
     rules = _rules(args)
     baseline = json.loads(spark.read.text(args.baseline, wholetext=True).first()[0])
     actual = gate.measure_rows(
@@ -154,9 +157,13 @@ def run_compare(spark: SparkSession, args) -> None:
         scoring.issue_counts(issues),
         issues.agg(F.count(F.lit(1)).alias("failed_checks")),
     )
-    comparison = gate.compare_with_baseline(
+    return gate.compare_with_baseline(
         actual, gate.baseline_rows(spark, baseline), args.tolerance
     )
+
+
+def run_compare(spark: SparkSession, args) -> None:
+    comparison = _comparison(spark, args, *_run_results(spark, args))
     verdict = gate.match_verdict(comparison).first()
     print(verdict.reason or "matched")
     if not verdict.matched:
@@ -173,7 +180,7 @@ STEPS = {
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="gaugeframe", description=__doc__)
     parser.add_argument("step", choices=list(STEPS))
-    parser.add_argument("--dataset", default="phase1")
+    parser.add_argument("--dataset")
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--copies", type=int, default=1)
     parser.add_argument("--run-id")
@@ -197,6 +204,18 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"gaugeframe-{args.step}")).getOrCreate()
+    run_step(spark, args)
+
+
+def run_step(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Steps after ingest take the run id and dataset name from the staged tables by default."""
+    if args.step not in ("generate", "ingest") and args.stage:
+        known = exports.read_run_metadata(spark, args.stage)
+        args.run_id = args.run_id or known.get("run_id")
+        args.dataset = args.dataset or known.get("dataset_name")
+    if args.step not in ("generate", "ingest", "lifecycle") and not args.run_id:
+        raise SystemExit("A run id is required")
+    args.dataset = args.dataset or "phase1"
     STEPS[args.step](spark, args)
 
 

@@ -125,11 +125,13 @@ def project_metrics(
     lifecycle: DataFrame,
     recurrences: DataFrame,
     settings: GateSettings,
+    comparison: DataFrame | None = None,
 ) -> DataFrame:
     """Everything that is reported about a run, as one row.
 
     `score` is the run's score record; `lifecycle` and `recurrences` are the counts of H4 and
-    H5. All inputs besides checks and issues have one row, so they are scalar subqueries.
+    H5; `comparison` is that with a baseline (G9), if there is one. Whatever is aggregated here
+    has one row, so it is a scalar subquery.
     """
     counts = status_counts(checks).select(F.struct("*")).scalar()
     critical = critical_failures(checks, settings).scalar()
@@ -147,7 +149,7 @@ def project_metrics(
     recur = F.when(F.col("l.recurring_issue_count") == 0, F.col("r")).otherwise(
         F.col("l.recurring_issue_count")
     )
-    return joined.select(
+    row = joined.select(
         "run_id", "run_ts", "dataset_name", "overall_score",
         F.lit(settings.score_threshold).alias("score_threshold"),
         F.lit(settings.critical_severity).alias("critical_severity"),
@@ -160,6 +162,14 @@ def project_metrics(
         F.coalesce(recur, F.lit(0)).alias("recurring_issue_count"),
         "l.resolved_or_not_seen_issue_count",
     )
+    if comparison is None:
+        nothing = {"regression_status": "string", "regression_score_delta": "double"}
+        return row.withColumns({n: F.lit(None).cast(kind) for n, kind in nothing.items()})
+    matched = match_verdict(comparison).select(F.when(F.col("matched"), "pass").otherwise("fail"))
+    delta = comparison.where(F.col("kind") == "score").agg(F.max("delta"))
+    return row.withColumns(
+        {"regression_status": matched.scalar(), "regression_score_delta": delta.scalar()}
+    )
 
 
 # ---------------------------------------------------------------- comparison with a baseline

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -26,8 +26,9 @@ class Run:
 class Validation:
     """The outcome of one run, as lazy DataFrames.
 
-    `judged` is the source of everything but the samples. Whoever needs several of the results
-    writes `checks` to its mart first and continues from there, as `jobs.validate` does.
+    `judged`, one row per rule, is the source of everything but the samples and is kept, so
+    that the tables are scanned once however many results are read. `release` lets go of it. A
+    job that writes its marts continues from those instead, as `jobs.run_validate` does.
     """
 
     tables: Mapping[str, DataFrame]
@@ -35,14 +36,14 @@ class Validation:
     run: Run
     as_of: Column | None = None
     with_samples: bool = True
-    judged_from: DataFrame | None = field(default=None)
 
     @cached_property
     def judged(self) -> DataFrame:
-        if self.judged_from is not None:
-            return self.judged_from
         counts = count_failures(self.tables, self.rules, self.as_of)
-        return outcomes.judge(counts, self.rules)
+        return outcomes.judge(counts, self.rules).persist()
+
+    def release(self) -> None:
+        self.judged.unpersist()
 
     @cached_property
     def checks(self) -> DataFrame:

@@ -7,21 +7,23 @@ import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from gaugeframe.config import Vocabulary
 from gaugeframe.operators.cleaning import TABLES, Cleaner, clean_all
 from gaugeframe.sources.marts import path_exists
 
 
-def read_export(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """IO1: a CSV file with a header. Everything is text; cleaning decides the types."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", enforceSchema=False, escape='"', multiLine=False)
-        .csv(path)
-    )
+def read_export(
+    spark: SparkSession, path: str, columns: list[str], multi_line: bool = False
+) -> DataFrame:
+    """IO1: a CSV file with a header. Everything is text; cleaning decides the types.
+
+    Columns are found by name, in whatever order the file has them. Files are split among tasks
+    unless `multi_line` says that quoted fields may hold line breaks.
+    """
+    reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line)
+    return reader.csv(path).select(*columns)
 
 
 def read_exports(
@@ -52,6 +54,14 @@ def read_run_metadata(spark: SparkSession, folder: str) -> dict[str, object]:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
+def write_run_metadata(
+    spark: SparkSession, folder: str, metadata: Mapping[str, object], force: bool = False
+) -> None:
+    text = spark.range(1).select(F.lit(json.dumps(dict(metadata))).alias("value"))
+    mode = "overwrite" if force else "errorifexists"
+    text.coalesce(1).write.mode(mode).text(f"{folder}/run_metadata.json")
+
+
 def ingest(
     spark: SparkSession,
     raw_folder: str,
@@ -64,13 +74,16 @@ def ingest(
 ) -> str:
     """IO2: clean every export and stage it as Parquet. Returns the run id.
 
-    The run id is the one given, else the generator's, else name, seed and current time.
+    The run id is the one given, else the generator's, else name, seed and current time. It is
+    kept beside the staged tables, where later steps find it.
     """
     metadata = read_run_metadata(spark, raw_folder)
-    run = run_id or metadata.get("run_id") or f"{dataset_name}-{seed}-{int(time.time())}"
+    run = str(run_id or metadata.get("run_id") or f"{dataset_name}-{seed}-{int(time.time())}")
     for name, df in clean_all(read_exports(spark, raw_folder), words).items():
         write_staged(df, f"{stage_folder}/{name}", force)
-    return str(run)
+    stamp = {"dataset_name": dataset_name, "seed": seed, **metadata, "run_id": run}
+    write_run_metadata(spark, stage_folder, stamp, force)
+    return run
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,7 +7,6 @@ dataset: every template row appears once per copy, with keys and addresses of it
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
@@ -15,6 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeframe.sources.exports import write_run_metadata
+
 # Fixed values from here on: the id namespace and the template rows of the reference dataset.
 NAMESPACE = "3c2f0d46-5df0-4c88-9a5d-dcbf6f3d43e9"
 
@@ -197,6 +198,4 @@ def write_dataset(
             f"{folder}/{name}.csv", header=True, escape='"', emptyValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
-    spark = next(iter(raw.values())).sparkSession
-    text = spark.range(1).select(F.lit(json.dumps(dict(metadata))).alias("value"))
-    text.coalesce(1).write.mode(mode).text(f"{folder}/run_metadata.json")
+    write_run_metadata(next(iter(raw.values())).sparkSession, folder, metadata, force)

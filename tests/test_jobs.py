@@ -17,7 +17,7 @@ def folders(spark, tmp_path_factory):
     def step(name, *more):
         args = jobs.arguments().parse_args(
             [name, "--raw", raw, "--stage", stage, "--marts", store, *more])
-        jobs.STEPS[name](spark, args)
+        jobs.run_step(spark, args)
 
     step("generate")
     step("ingest")
@@ -77,13 +77,18 @@ def test_project_metrics_keep_one_row_per_attempt(spark, folders):
     assert (row.recurring_issue_count, row.new_issue_count, row.check_pass_rate) == (5, 0, 0.7778)
 
 
-def test_compare_and_failing_gate(folders, capsys):
-    base, _, step = folders
+def test_compare_and_failing_gate(spark, folders, capsys):
+    base, store, step = folders
+    with pytest.raises(SystemExit, match="run id is required"):
+        jobs.run_step(spark, jobs.arguments().parse_args(["score", "--marts", str(base)]))
     expected = {"score": 98.22, "failed_checks": 5, "issue_counts": {"duplicate": 3, "missing": 2},
                 "subscores": {"uniqueness": 94.41}}
     path = base / "baseline.json"
     path.write_text(json.dumps(expected, indent=2))
     step("compare", "--run-id", "001", "--baseline", str(path))
+    step("metrics", "--run-id", "002", "--baseline", str(path), "--workflow-attempt", "3")
+    rows = marts.read_run(spark, f"{store}/project_metrics_history", "002").collect()
+    assert len(rows) == 3
     path.write_text(json.dumps({**expected, "score": 90.0}))
     with pytest.raises(SystemExit):
         step("compare", "--run-id", "001", "--baseline", str(path))

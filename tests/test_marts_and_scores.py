@@ -175,6 +175,10 @@ def test_exports_round_trip(spark, tmp_path):
     df = local_frame(spark, rows, "a string, b string")
     exports.write_csv(df, str(tmp_path / "x.csv"))
     assert {tuple(r) for r in exports.read_export(spark, str(tmp_path / "x.csv"), ["a", "b"]).collect()} == set(rows)
+    assert exports.read_export(spark, str(tmp_path / "x.csv"), ["b"]).columns == ["b"]
+    broken = local_frame(spark, [("1", "two\nlines")], "a string, b string")
+    exports.write_csv(broken, str(tmp_path / "m.csv"))
+    assert exports.read_export(spark, str(tmp_path / "m.csv"), ["b"], multi_line=True).first().b == "two\nlines"
     exports.write_csv(df.limit(0), str(tmp_path / "empty.csv"))
     parts = list((tmp_path / "empty.csv").glob("*.csv"))
     assert [p.read_text().strip() for p in parts] == ["a,b"]

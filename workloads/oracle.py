@@ -684,7 +684,7 @@ def _project_metrics() -> str:
     daily = _HISTORY[_HISTORY.index("counts AS"):]
     for name in ("counts", "rated", "checks"):
         daily = daily.replace(f"{name} AS (", f"d_{name} AS (").replace(f"FROM {name}", f"FROM d_{name}")
-    return f"""{_ISSUES}, {daily}
+    return f"""{_comparison()}, {daily}
 SELECT {_STAMP}, {quote(RUN_TS)} AS run_ts, s.overall_score, 90.0::DOUBLE AS score_threshold,
   5.0::DOUBLE AS critical_severity,
   CASE WHEN s.overall_score >= 90 AND k.critical_failed_checks = 0 THEN 'pass' ELSE 'fail' END
@@ -694,7 +694,9 @@ SELECT {_STAMP}, {quote(RUN_TS)} AS run_ts, s.overall_score, 90.0::DOUBLE AS sco
   k.critical_failed_checks, m.*,
   l.open_issue_count, l.new_issue_count,
   CASE WHEN l.recurring_issue_count = 0 THEN r.recurring_issue_count ELSE l.recurring_issue_count END
-    AS recurring_issue_count, l.resolved_or_not_seen_issue_count
+    AS recurring_issue_count, l.resolved_or_not_seen_issue_count,
+  CASE WHEN (SELECT bool_and(matches) FROM comparison) THEN 'pass' ELSE 'fail' END AS regression_status,
+  (SELECT delta FROM comparison WHERE kind = 'score') AS regression_score_delta
 FROM (SELECT round(score, 2) AS overall_score, total_checks FROM ({_score('')})) s,
   (SELECT count(*) FILTER (WHERE status = 'pass') AS passed_checks,
      count(*) FILTER (WHERE status = 'warn') AS warning_checks,

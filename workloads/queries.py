@@ -272,6 +272,19 @@ def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.issue_log(_judged(spark, sf_dir), RUN_ID, DATASET, RUN_TS)
 
 
+def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Checks and issues for queries that read them several times.
+
+    The jobs read them back from their marts; a query keeps the judged rules (one row per rule)
+    instead, so that the tables behind them are scanned once.
+    """
+    judged = _judged(spark, sf_dir).persist()
+    return (
+        outcomes.check_results(judged, RUN_ID, DATASET),
+        outcomes.issue_log(judged, RUN_ID, DATASET, RUN_TS),
+    )
+
+
 @query
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = F.array_join("columns", ",").alias("columns")
@@ -320,7 +333,7 @@ def score_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks, issues = _checks(spark, sf_dir), _issues(spark, sf_dir)
+    checks, issues = _run(spark, sf_dir)
     return scoring.score_record(checks, issues, RUN_ID, RUN_TS).drop("subscores")
 
 
@@ -344,7 +357,7 @@ def issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = _checks(spark, sf_dir)
+    checks, _ = _run(spark, sf_dir)
     verdict = gate.gate_verdict(scoring.overall_score(checks), checks, GATE)
     return verdict.withColumn("critical_checks", F.array_join("critical_checks", ", "))
 
@@ -386,37 +399,38 @@ BASELINE = {
 }
 
 
-def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks, issues = _checks(spark, sf_dir), _issues(spark, sf_dir)
+def _compared(checks: DataFrame, issues: DataFrame) -> DataFrame:
     actual = gate.measure_rows(
         scoring.overall_score(checks),
         scoring.dimension_scores(checks),
         scoring.issue_counts(issues),
         issues.agg(F.count(F.lit(1)).alias("failed_checks")),
     )
-    return gate.compare_with_baseline(actual, gate.baseline_rows(spark, BASELINE))
+    baseline = gate.baseline_rows(checks.sparkSession, BASELINE)
+    return gate.compare_with_baseline(actual, baseline)
 
 
 @query
 def baseline_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparison(spark, sf_dir)
+    return _compared(*_run(spark, sf_dir))
 
 
 @query
 def baseline_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.match_verdict(_comparison(spark, sf_dir)).select(
+    return gate.match_verdict(_compared(*_run(spark, sf_dir))).select(
         "matched", F.split("reason", ":")[0].alias("mismatch")
     )
 
 
 @query
 def project_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks, issues = _checks(spark, sf_dir), _issues(spark, sf_dir)
-    past = _daily_issues(spark, sf_dir)
+    checks, issues = _run(spark, sf_dir)
+    past = _kept_issues(spark, sf_dir)
+    comparison = _compared(checks, issues)
     return gate.project_metrics(
         scoring.score_record(checks, issues, RUN_ID, RUN_TS), checks, issues,
         history.lifecycle_counts(history.issue_lifecycle(past)),
-        history.recurring_count(history.recurrence(past)), GATE,
+        history.recurring_count(history.recurrence(past)), GATE, comparison,
     )
 
 
@@ -465,6 +479,11 @@ def _daily_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.issue_log(judged, F.col("run_id"), F.col("dataset_name"), F.col("run_ts"))
 
 
+def _kept_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history where it is read several times; elsewhere it would be a mart."""
+    return _daily_issues(spark, sf_dir).persist()
+
+
 @query
 def issue_history_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_issues(spark, sf_dir).drop("sample_bad_rows_json", "root_cause_candidates")
@@ -482,12 +501,12 @@ def recurring_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def issue_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.issue_lifecycle(_daily_issues(spark, sf_dir))
+    return history.issue_lifecycle(_kept_issues(spark, sf_dir))
 
 
 @query
 def lifecycle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.lifecycle_counts(history.issue_lifecycle(_daily_issues(spark, sf_dir)))
+    return history.lifecycle_counts(history.issue_lifecycle(_kept_issues(spark, sf_dir)))
 
 
 @query
@@ -497,7 +516,7 @@ def issue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def issue_trend_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.trend_matrix(_daily_issues(spark, sf_dir))
+    return history.trend_matrix(_kept_issues(spark, sf_dir))
 
 
 @query
@@ -541,6 +560,11 @@ def event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _kept_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics history, one row per run, where it is read several times."""
+    return _tenant_metrics(spark, sf_dir).persist()
+
+
 _ANOMALY = (
     "run_id", "dataset_name", "metric", "metric_value", "baseline_value", "baseline_spread",
     "z_score", "threshold", "direction",
@@ -550,32 +574,32 @@ _ANOMALY = (
 @query
 def anomaly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = anomaly.ValueTest("event_volume", 3.0, "both")
-    found = anomaly.backtest(_tenant_metrics(spark, sf_dir), [test], 2.0)
+    found = anomaly.backtest(_kept_metrics(spark, sf_dir), [test], 2.0)
     return found.select(*_ANOMALY)
 
 
 @query
 def anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = anomaly.ValueTest("completion_rate", 2.0, "down")
-    found = anomaly.backtest(_tenant_metrics(spark, sf_dir), [test], 2.0)
+    found = anomaly.backtest(_kept_metrics(spark, sf_dir), [test], 2.0)
     return found.select(*_ANOMALY)
 
 
 @query
 def distribution_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.prior_baselines(_tenant_metrics(spark, sf_dir)).drop("run_ts")
+    return anomaly.prior_baselines(_kept_metrics(spark, sf_dir)).drop("run_ts")
 
 
 @query
 def anomaly_distribution_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = anomaly.backtest(_tenant_metrics(spark, sf_dir), [], 0.05)
+    found = anomaly.backtest(_kept_metrics(spark, sf_dir), [], 0.05)
     return found.select(*_ANOMALY)
 
 
 @query
 def anomaly_current_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last day against all days before it."""
-    metrics = _tenant_metrics(spark, sf_dir)
+    metrics = _kept_metrics(spark, sf_dir)
     last = metrics.agg(F.max("run_id")).scalar()
     current, past = metrics.where(F.col("run_id") == last), metrics.where(F.col("run_id") < last)
     tests = [anomaly.ValueTest("event_volume", 0.5), anomaly.ValueTest("completion_rate", 0.5, "down")]
