@@ -94,11 +94,6 @@ def parse_timestamp(c: Column) -> Column:
     return F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz")).otherwise(general)
 
 
-def parse_instant(c: Column) -> Column:
-    """SC7, H2: an ISO run timestamp as naive UTC; NULL when it cannot be parsed."""
-    return parse_timestamp(c)
-
-
 def utc_now() -> Column:
     """The current time as naive UTC, whatever the session time zone."""
     return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
@@ -106,6 +101,6 @@ def utc_now() -> Column:
 
 def iso_text(c: Column) -> Column:
     """A naive timestamp in ISO form, with a fraction only where there is one."""
-    seconds = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(c, "SSSSSS")
-    return F.when(micros == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), micros))
+    text = c.cast("timestamp_ntz").cast("string")
+    fraction = F.when(F.length(text) > 19, F.rpad(F.substring(text, 20, 7), 7, "0")).otherwise("")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), fraction)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.functions.stats import count_when
-from gaugeframe.functions.timestamps import parse_instant
+from gaugeframe.functions.timestamps import parse_timestamp
 
 RECURRENCE_LIMIT = 10
 TREND_TYPES = 8
@@ -32,7 +32,7 @@ _LIFECYCLE_DEFAULTS = {
 def with_run_time(history: DataFrame) -> DataFrame:
     """Adds `_ts`: run_ts as naive UTC, NULL when it cannot be parsed."""
     kind = history.schema["run_ts"].dataType
-    parsed = F.col("run_ts") if isinstance(kind, T.TimestampNTZType) else parse_instant(F.col("run_ts"))
+    parsed = F.col("run_ts") if isinstance(kind, T.TimestampNTZType) else parse_timestamp(F.col("run_ts"))
     return history.withColumn("_ts", parsed)
 
 

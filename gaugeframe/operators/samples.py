@@ -116,24 +116,26 @@ def duplicate_rows(
     * multiplicities unfold at the end, in chunks spread over tasks again.
     """
     names = df.columns
-    slice_of = F.floor((F.col("_hash") / F.lit(2.0**64) + 0.5) * slices).cast("int")
-    folded = (
-        df.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumns({"_key": F.struct(*columns), "_hash": F.xxhash64(*names)})
-        .withColumn("_slice", slice_of)
-    )
+
+    def placed(rows: DataFrame) -> DataFrame:
+        share = F.col("_hash") / F.lit(2.0**64) + 0.5
+        return rows.withColumns(
+            {"_key": F.struct(*columns), "_hash": F.xxhash64(*names)}
+        ).withColumn("_slice", F.floor(share * slices).cast("int"))
+
     # At most `slices` rows per key; keys that occur once are dropped here.
     of_key = Window.partitionBy("_key")
     earlier_slices = of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        folded.groupBy("_key", "_slice")
-        .agg(F.sum("_n").alias("_slice_rows"))
+        placed(df)
+        .groupBy("_key", "_slice")
+        .agg(F.count(F.lit(1)).alias("_slice_rows"))
         .withColumn("_key_rows", F.sum("_slice_rows").over(of_key))
         .withColumn("_start", F.coalesce(F.sum("_slice_rows").over(earlier_slices), F.lit(0)))
         .where("_key_rows > 1")
         .select("_key", "_slice", "_start")
     )
+    folded = placed(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
     earlier_rows = (
         Window.partitionBy("_key", "_slice")
         .orderBy("_hash", *names)

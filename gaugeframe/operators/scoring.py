@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.stats import exact_sum
-from gaugeframe.functions.timestamps import parse_instant, utc_now
+from gaugeframe.functions.timestamps import parse_timestamp, utc_now
 
 PREVIEW_SIZE = 12
 SUMMARY_COLUMNS = (
@@ -87,7 +87,7 @@ def issue_counts(issues: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def last_run(run_history: DataFrame, run_id: str) -> DataFrame:
     """IO8: (run_ts, dataset_name) of the run's latest history row; one row, NULLs if none."""
-    latest = F.max_by(F.struct("run_ts", "dataset_name"), parse_instant(F.col("run_ts")))
+    latest = F.max_by(F.struct("run_ts", "dataset_name"), parse_timestamp(F.col("run_ts")))
     return (
         run_history.where(F.col("run_id") == run_id)
         .agg(latest.alias("r"))
@@ -104,7 +104,7 @@ def resolve_run_ts(run_history: DataFrame, issues: DataFrame, run_id: str) -> Da
             F.when(F.col("noted") != "", F.col("noted")), first_issue.scalar()
         ).alias("text")
     )
-    return texts.select(F.coalesce(parse_instant(F.col("text")), utc_now()).alias("run_ts"))
+    return texts.select(F.coalesce(parse_timestamp(F.col("text")), utc_now()).alias("run_ts"))
 
 
 def score_record(

@@ -113,7 +113,7 @@ def validate_runs(
 
 def daily_runs(df: DataFrame, time_column: str, dataset_name: str) -> DataFrame:
     """Makes every calendar day of a table a run."""
-    day = F.date_format(time_column, "yyyy-MM-dd")
+    day = F.col(time_column).cast("date").cast("string")
     return df.withColumns(
         {
             "run_id": F.concat(F.lit("run-"), day),
