@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from gaugeframe import defaults
+from gaugeframe.config import Rule
 from gaugeframe.operators import profile
 from gaugeframe.operators.rules import count_failures
 from gaugeframe.operators.samples import duplicate_rows, sample_rows
@@ -38,10 +39,8 @@ def test_key_rules_of_a_table_share_a_scan(spark):
 
 def test_reference_rules_join_counts_not_rows(spark):
     tables = {n: table(spark, SF, n) for n in ("lineitem", "orders")}
-    rule = QUERIES  # noqa: F841
-    from gaugeframe.config import Rule
-
-    text = plan(count_failures(tables, [Rule("f", "lineitem", "d", "FK", ("orders.o_orderkey",), ("l_orderkey",))]))
+    rule = Rule("f", "lineitem", "d", "FK", ("orders.o_orderkey",), ("l_orderkey",))
+    text = plan(count_failures(tables, [rule]))
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
     join = text.index("Join")
     assert "HashAggregate" in text[join:] and "partial_count" in text[join:]

@@ -32,14 +32,14 @@ FROM customer
 
 DISTRICTS = """
 SELECT
-  concat(' D', cast(n_nationkey AS string)) AS district_id,
+  CASE WHEN n_nationkey = 7 THEN 'D7-old'
+       ELSE concat(' D', cast(n_nationkey AS string)) END AS district_id,
   CASE n_nationkey % 20 WHEN 0 THEN 'NYC' WHEN 1 THEN ' nyc '
        WHEN 2 THEN '  Northside Unified' WHEN 3 THEN 'Northside Unified '
        ELSE concat('District ', cast(n_nationkey % 20 AS string)) END AS district_name,
   CASE n_nationkey % 6 WHEN 0 THEN 'alabama' WHEN 1 THEN 'tx' WHEN 2 THEN ' texas'
        WHEN 3 THEN 'N.Y.' WHEN 4 THEN 'California' ELSE 'ak' END AS state
 FROM nation
-WHERE n_nationkey <> 7
 """
 
 RESOURCES = """
