@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # Words are separated by these characters only: space, and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
 def text_of(column: str) -> Column:

@@ -214,8 +214,10 @@ def _with_spans(docs: DataFrame, text: str) -> DataFrame:
                 matches(body, PROPOSALS[kind], NEEDS[kind]),
                 lambda m: F.struct(
                     m["s"].alias("s"), m["e"].alias("e"),
-                    _touches(m, b).cast("int").alias("positive"),
-                    *[c.cast("int").alias(n) for n, c in _features(kind, m).items()],
+                    F.struct(
+                        *[c.cast("int").alias(n) for n, c in _features(kind, m).items()],
+                        _touches(m, b).cast("int").alias("positive"),
+                    ).alias("f"),
                 ),
             ),
         )
@@ -231,16 +233,21 @@ def fit(docs: DataFrame, text: str = "text", precision: float = 0.95) -> PiiMode
 
     `precision` is the share of chosen proposals of a kind that must meet base spans.
     """
+    # The whole struct is the key: taking it apart would evaluate the patterns once per field.
     counts = (
         _with_spans(docs.select(text), text)
-        .where(F.size("_seen") > 0)
-        .select(F.explode("_seen").alias("m"))
-        .groupBy(*[F.col(f"m.{n}").alias(n) for n in FEATURES])
-        .agg(F.count("*").alias("total"), F.sum("m.positive").alias("positive"))
-    )
-    rows = sorted(
-        (r.asDict() for r in counts.collect()), key=lambda r: tuple(r[n] for n in FEATURES)
+        .select(F.explode_outer(F.transform("_seen", lambda m: m["f"])).alias("f"))
+        .groupBy("f").count()
     )
+    table: dict[tuple, list[int]] = {}
+    for r in counts.where("f IS NOT NULL").collect():
+        cell = table.setdefault(tuple(r["f"][n] for n in FEATURES), [0, 0])
+        cell[0] += r["count"]
+        cell[1] += r["count"] * r["f"]["positive"]
+    rows = [
+        dict(zip(FEATURES, key), total=total, positive=positive)
+        for key, (total, positive) in sorted(table.items())
+    ]
     if not rows:
         return PiiModel(boosting.Boosted(0.0, ()), dict.fromkeys(KINDS))
     trees = boosting.fit(rows, tuple(FEATURES))
@@ -277,8 +284,8 @@ def find(docs: DataFrame, model: PiiModel, text: str = "text", prefix: str = "pi
         index = KINDS.index(kind)
         picked = F.filter(
             F.col("_seen"),
-            lambda m: (m["kind"] == index)
-            & (model.trees.score_column({n: m[n] for n in FEATURES}) >= threshold),
+            lambda m: (m["f"]["kind"] == index)
+            & (model.trees.score_column({n: m["f"][n] for n in FEATURES}) >= threshold),
         )
         all_base = F.concat(*[F.col(f"_base.{k}") for k in KINDS])
         free = let(all_base, lambda b: F.filter(picked, lambda m: ~_touches(m, b)))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.llm.common import SPACE_CHARS, let, text_of, words
+from gaugeframe.llm.common import let, text_of, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -28,6 +28,7 @@ BOILERPLATE = (
     "subscribe to", "sign up for", "click here", "read more", "share this",
 )
 BOILERPLATE_PATTERN = "|".join(BOILERPLATE)
+MENU_SEPARATORS = "|»›•·"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 HAS_LETTER_OR_DIGIT = r"[\p{L}\p{N}]"
 
@@ -46,6 +47,8 @@ class QualityRules:
     # Exclamation marks: at least so many, and one for at most so many characters.
     min_exclamations: int = 4
     chars_per_exclamation: int = 20
+    # Boilerplate phrases count in lines of at most so many characters.
+    max_boilerplate_chars: int = 200
     # Lines of at least so many words whose different words are at most this share stutter.
     stutter_words: int = 10
     max_stutter_pct: int = 25
@@ -54,12 +57,14 @@ class QualityRules:
 
 
 def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """Occurrences of any of the characters. Most texts have none, which a search tells faster."""
+    held = F.length(text) - F.length(F.translate(text, chars, ""))
+    return F.when(text.rlike("[" + chars + "]"), held).otherwise(0)
 
 
-def _ink(text: Column) -> Column:
+def _ink(tokens: Column) -> Column:
     """Characters other than white space."""
-    return F.length(F.translate(text, SPACE_CHARS, ""))
+    return F.length(F.array_join(tokens, ""))
 
 
 # ---------------------------------------------------------------- repeated windows
@@ -70,20 +75,9 @@ def _tail(array: Column, skip: int) -> Column:
 
 
 def _window_hashes(tokens: Column) -> Column:
-    """A 64-bit hash for each eight-word window, by combining neighbours three times."""
-
-    def joined(hashes: Column, step: int) -> Column:
-        return let(
-            hashes, lambda h: F.zip_with(h, _tail(h, step), lambda a, b: F.xxhash64(a, b))
-        )
-
-    hashes = F.transform(tokens, lambda w: F.xxhash64(w))
-    for step in (1, 2, 4):
-        hashes = joined(hashes, step)
-    return let(
-        hashes,
-        lambda h: F.slice(h, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))),
-    )
+    """A 64-bit hash for each eight-word window."""
+    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (WINDOW - 1), F.lit(0)))
+    return F.transform(starts, lambda _, i: F.xxhash64(F.slice(tokens, i + 1, WINDOW)))
 
 
 def _repeated_positions(pairs: Column) -> Column:
@@ -121,6 +115,8 @@ def _covered(positions: Column) -> Column:
 def repeat_words(tokens: Column) -> Column:
     """Words in eight-word windows found at least twice in the text, first ones included.
 
+    `tokens` should be an argument of a lambda (see `let`), as it is named many times.
+
     Hashes only tell which windows may be repeated; those are compared as text, so that equal
     hashes of different windows change nothing.
     """
@@ -139,21 +135,15 @@ def repeat_words(tokens: Column) -> Column:
         )
         return _covered(confirmed)
 
-    return F.coalesce(
+    return F.when(
+        F.size(tokens) > WINDOW,
         let(
-            tokens,
-            lambda t: F.when(
-                F.size(t) > WINDOW,
-                let(
-                    _window_hashes(t),
-                    lambda h: F.when(
-                        F.size(F.array_distinct(h)) < F.size(h), exact(t, h)
-                    ).otherwise(0),
-                ),
+            _window_hashes(tokens),
+            lambda h: F.when(
+                F.size(F.array_distinct(h)) < F.size(h), exact(tokens, h)
             ).otherwise(0),
         ),
-        F.lit(0),
-    ).cast("long")
+    ).otherwise(0)
 
 
 # ---------------------------------------------------------------- lines
@@ -161,30 +151,37 @@ def repeat_words(tokens: Column) -> Column:
 
 def failing_rule(line: Column, rules: QualityRules) -> Column:
     """The first rule that a line fails, or null. Lines without a word fail none."""
-    ink, tokens = _ink(line), words(line)
-    separators = _count(line, "|»›•·")
-    exclamations = _count(line, "!")
-    return (
-        F.when(~line.rlike(HAS_WORD), F.lit(None).cast("string"))
-        .when(
-            (separators >= rules.min_menu_separators)
-            & (separators * rules.menu_chars_per_separator >= ink),
-            "navigation",
-        )
-        .when(_count(line, SYMBOLS) * 100 > ink * rules.max_symbol_pct, "punctuation")
-        .when(
-            (exclamations >= rules.min_exclamations)
-            & (exclamations * rules.chars_per_exclamation >= ink),
-            "punctuation",
-        )
-        .when(~line.rlike(HAS_LETTER_OR_DIGIT), "punctuation")
-        .when(F.lower(line).rlike(BOILERPLATE_PATTERN), "boilerplate")
-        .when(
-            (F.size(tokens) >= rules.stutter_words)
-            & (F.size(F.array_distinct(tokens)) * 100 <= F.size(tokens) * rules.max_stutter_pct),
-            "stutter",
+
+    def judge(tokens: Column, ink: Column) -> Column:
+        separators = _count(line, MENU_SEPARATORS)
+        exclamations = _count(line, "!")
+        return (
+            F.when(ink == 0, F.lit(None).cast("string"))
+            .when(
+                (separators >= rules.min_menu_separators)
+                & (separators * rules.menu_chars_per_separator >= ink),
+                "navigation",
+            )
+            .when(_count(line, SYMBOLS) * 100 > ink * rules.max_symbol_pct, "punctuation")
+            .when(
+                (exclamations >= rules.min_exclamations)
+                & (exclamations * rules.chars_per_exclamation >= ink),
+                "punctuation",
+            )
+            .when(~line.rlike(HAS_LETTER_OR_DIGIT), "punctuation")
+            .when(
+                (ink <= rules.max_boilerplate_chars)
+                & F.lower(line).rlike(BOILERPLATE_PATTERN),
+                "boilerplate",
+            )
+            .when(
+                (F.size(tokens) >= rules.stutter_words)
+                & (F.size(F.array_distinct(tokens)) * 100 <= F.size(tokens) * rules.max_stutter_pct),
+                "stutter",
+            )
         )
-    )
+
+    return let(words(line), lambda t: let(_ink(t), lambda ink: judge(t, ink)))
 
 
 def clean_lines(
@@ -200,24 +197,36 @@ def clean_lines(
     lines = F.split(body, "\n")
     with_word = F.filter(lines, lambda line: line.rlike(HAS_WORD))
     good = F.array_distinct(F.filter(with_word, lambda line: failing_rule(line, rules).isNull()))
+    counted = let(
+        words(body),
+        lambda t: F.struct(
+            F.size(t).cast("long").alias("n_words"),
+            _ink(t).cast("long").alias("word_chars"),
+            repeat_words(t).cast("long").alias("n_repeat_words"),
+        ),
+    )
     out = docs.withColumns(
         {
-            f"{prefix}n_words": F.size(words(body)).cast("long"),
-            f"{prefix}word_chars": _ink(body).cast("long"),
+            f"{prefix}counted": counted,
             f"{prefix}n_symbols": _count(body, SYMBOLS).cast("long"),
             f"{prefix}n_dup_lines": let(
                 with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))
             ).cast("long"),
-            f"{prefix}n_repeat_words": repeat_words(words(body)),
             f"{prefix}clean_text": F.array_join(good, "\n"),
         }
     )
+    out = out.withColumns(
+        {
+            f"{prefix}{c}": F.col(f"{prefix}counted.{c}")
+            for c in ("n_words", "word_chars", "n_repeat_words")
+        }
+    ).drop(f"{prefix}counted")
     n_words, repeats = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
     out = out.withColumns(
         {
             f"{prefix}base_failed": (n_words < rules.min_words)
             | (repeats * 100 > n_words * rules.max_repeat_pct),
-            f"{prefix}clean_chars": _ink(F.col(f"{prefix}clean_text")).cast("long"),
+            f"{prefix}clean_chars": _ink(words(F.col(f"{prefix}clean_text"))).cast("long"),
         }
     )
     lost_little = (
