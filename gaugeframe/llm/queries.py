@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeframe.llm import pii, quality
+from gaugeframe.llm import near_dedup, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,3 +31,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of line-first cleaning for every document."""
     return quality.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over four-word shingles."""
+    return near_dedup.near_duplicates(
+        table(spark, sf_dir, "documents"), near_dedup.NearDup(shingle=4)
+    )
