@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeframe.llm import near_dedup, pii, quality
+from gaugeframe.llm import language_id, mixing, near_dedup, packing, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +39,23 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(
         table(spark, sf_dir, "documents"), near_dedup.NearDup(shingle=4)
     )
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from two thirds of the labels."""
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins of 2048 words; equal texts never share a bin."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of all sources takes."""
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
