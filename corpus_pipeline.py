@@ -1,12 +1,72 @@
-"""A training-corpus pipeline over `documents`."""
+"""A training-corpus pipeline over `documents`: five stages, each written and read again.
+
+All stages but the last return the columns of their input; the last returns packed pieces.
+Null or empty texts do not pass the first stage. In an empty table every stage is empty.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gaugeframe.llm import mixing, near_dedup, packing, pii, quality
+from gaugeframe.llm.common import stored
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass, with their failing lines removed."""
+    judged = quality.clean_lines(docs, prefix="_q_").where("_q_kept")
+    text = F.col("_q_clean_text")
+    return judged.withColumns(
+        {"text": text, "n_chars": F.length(text).cast("long")}
+    ).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Of rows that share an id, the first by text stays. Rows without id cannot be told apart
+    and stay.
+    """
+    kept = near_dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    named = (
+        docs.join(kept.distinct(), "doc_id", "left_semi")
+        .withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    )
+    return named.select(docs.columns).union(docs.where("doc_id IS NULL"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    redacted = pii.redact(docs, pii.fit(docs))
+    return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it: never, once or twice."""
+    return mixing.repeated(docs)
+
+
+def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in bins; the two copies of a document never share one."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mix_sources", mix_sources),
+    ("pack_bins", pack_bins),
+]
 
-STAGES: list = []
+# The third stage uses a trained model and the fourth a seeded hash; SQL expresses neither.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
