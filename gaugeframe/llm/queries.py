@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeframe.llm import language_id, mixing, near_dedup, packing, pii, quality
+from gaugeframe.llm import (
+    language_id, mixing, near_dedup, packing, pii, quality, url_filter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +61,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to WARC archives and read back in byte ranges."""
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page URLs, by rule or else by naive Bayes over segmented words."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
