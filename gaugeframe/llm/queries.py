@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeframe.llm import (
-    language_id, mixing, near_dedup, packing, pii, quality, url_filter, warc,
+    language_id, mixing, near_dedup, packing, pii, quality, topk_search, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all page URLs, by rule or else by naive Bayes over segmented words."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector over all others."""
+    return topk_search.digest(table(spark, sf_dir, "embeddings"))
