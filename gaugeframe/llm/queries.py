@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeframe.llm import (
-    language_id, mixing, near_dedup, packing, pii, quality, topk_search, url_filter, warc,
+    extraction, language_id, mixing, near_dedup, packing, pii, quality, topk_search, url_filter,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +80,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector over all others."""
     return topk_search.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages"))
