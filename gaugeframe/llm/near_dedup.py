@@ -9,11 +9,13 @@
    the probability of the sets' Jaccard similarity.
 3. Banding: documents meet where all rows of a band agree. With 32 bands of 4 rows a pair at
    the threshold of 0.8 is missed with a probability of about 5e-8, any closer pair less.
-4. Verification: within a bucket every node is first held against the bucket's smallest node.
+4. Verification: a bucket's leader is the node that meets most others over all its bands, as
+   the original of a group of edited copies does. Every node is held against its best leader.
    Linked nodes are grouped; buckets whose nodes are all in one group need no more. In the
-   others, all pairs across groups with a node outside the smallest node's group are held
-   against each other. Pairs are confirmed on full sets; signature bytes only spare the
-   reading of sets of pairs that agree in far fewer slots than similar ones can.
+   others, every node outside the leader's group is held against all nodes of other groups, in
+   blocks of bounded size. A pair is looked at in the first band it shares only. Signatures tell
+   which nodes need their full sets read; only full sets confirm a link, and a block gives no
+   more links than connect its groups, so no pairs of a group are listed.
 5. Union-find over the links: hooking to the smallest neighbour and pointer jumping, as joins.
 
 Hot buckets and groups: minima and counts are combined before each shuffle, and joins on them
@@ -54,6 +56,8 @@ class NearDup:
     # Pairs whose signatures agree in a smaller share are not read in full. At 128 slots this
     # is over seven standard deviations below the similarity of any pair that links.
     least_agreement: float = 0.55
+    # Nodes of one bucket that meet in one task, on either side.
+    block: int = 512
 
     @property
     def slots(self) -> int:
@@ -247,6 +251,156 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) ->
     )
 
 
+# ---------------------------------------------------------------- blocks of open buckets
+
+
+def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The groups of a stream that is sorted by `keys`, as arrays by column."""
+    held: pd.DataFrame | None = None
+    for pdf in batches:
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        values = pdf[keys].to_numpy()
+        ends = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        columns = {c: pdf[c].to_numpy() for c in pdf.columns}
+        for start, end in zip(np.concatenate(([0], ends[:-1])), ends):
+            yield {c: v[start:end] for c, v in columns.items()}
+        held = pdf.iloc[ends[-1] if len(ends) else 0 :]
+    if held is not None and len(held):
+        yield {c: held[c].to_numpy() for c in held.columns}
+
+
+def _blocked(rows: DataFrame, payload: DataFrame, p: NearDup) -> DataFrame:
+    """Rows of open buckets (key, id, n, root, main) with the nodes' payload, dealt to blocks.
+
+    Nodes outside the leader's group (side 0) meet all nodes of their bucket (side 1). Both
+    sides are cut by hash; a row goes to as many blocks as the other side has.
+    """
+    outside = F.col("root") != F.col("main")
+    counts = stored(
+        rows.groupBy("key").agg(
+            F.ceil(F.sum(outside.cast("long")) / p.block).alias("i_blocks"),
+            F.ceil(F.count("*") / p.block).alias("j_blocks"),
+        ).where("i_blocks > 0"),
+        "blocks",
+    )
+    dealt = rows.join(counts, "key").withColumns(
+        {
+            "i": F.pmod(F.xxhash64("id"), F.col("i_blocks")),
+            "j": F.pmod(F.xxhash64("id"), F.col("j_blocks")),
+        }
+    )
+
+    def all_of(n: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    ends = ("i_blocks", "j_blocks")
+    left = dealt.where(outside).withColumn("j", all_of("j_blocks")).withColumn("side", F.lit(0))
+    right = dealt.withColumn("i", all_of("i_blocks")).withColumn("side", F.lit(1))
+    return (
+        left.drop(*ends).unionByName(right.drop(*ends)).join(payload, "id")
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "id")
+    )
+
+
+def _open_pairs(run: dict[str, np.ndarray], p: NearDup) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs of one block: other groups, fitting sizes, first shared band."""
+    left, right = np.flatnonzero(run["side"] == 0), np.flatnonzero(run["side"] == 1)
+    if not len(left) or not len(right):
+        return left[:0], right[:0]
+    root, n = run["root"], run["n"]
+    bands = np.stack([np.asarray(b, np.int64) for b in run["bands"]])
+    here = int(np.flatnonzero(bands[0] == run["key"][0])[0])
+    fits = root[left][:, None] != root[right][None, :]
+    small = np.minimum(n[left][:, None], n[right][None, :])
+    fits &= small * 100 >= np.maximum(n[left][:, None], n[right][None, :]) * p.percent
+    for band in range(here):
+        fits &= bands[left, band][:, None] != bands[right, band][None, :]
+    x, y = np.nonzero(fits)
+    return left[x], right[y]
+
+
+def _likely_nodes(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFrame]:
+    """(key, id) of nodes with a pair whose signatures agree enough."""
+    for run in _runs(batches, ["key", "i", "j"]):
+        x, y = _open_pairs(run, p)
+        if not len(x):
+            continue
+        sig = np.stack([np.frombuffer(v, np.uint8) for v in run["sig"]])
+        likely = np.zeros(len(sig), bool)
+        for start in range(0, len(x), 1 << 14):
+            a, b = x[start : start + (1 << 14)], y[start : start + (1 << 14)]
+            near = (sig[a] == sig[b]).mean(axis=1) >= p.least_agreement
+            likely[a[near]] = likely[b[near]] = True
+        ids = np.unique(run["id"][likely])
+        if len(ids):
+            yield pd.DataFrame({"key": run["key"][0], "id": ids})
+
+
+def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
+    """Sizes of the intersections of the first `left` sets with the others."""
+    items, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = np.cumsum(times > 1) - 1  # items of one set only cannot be shared
+    shared = times[at] > 1
+    at, owner = place[at[shared]], owner[shared]
+    out = np.zeros((left, len(sets) - left), np.float64)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    width = max(1, (1 << 23) // len(sets))  # bounds the dense part of the incidence matrix
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+        lo, hi = np.searchsorted(at, (first, first + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[lo:hi], at[lo:hi] - first] = 1
+        out += part[:left] @ part[left:].T
+    return out
+
+
+def _block_links(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFrame]:
+    """Links (a, b) that connect the groups of each block, from full sets."""
+    for run in _runs(batches, ["key", "i", "j"]):
+        x, y = _open_pairs(run, p)
+        if not len(x):
+            continue
+        left, right = np.unique(x), np.unique(y)
+        sets = [np.frombuffer(v, _U) for v in (*run["items"][left], *run["items"][right])]
+        both = _intersections(sets, len(left))[np.searchsorted(left, x), np.searchsorted(right, y)]
+        n, ids, root = run["n"], run["id"], run["root"]
+        linked = both * (100 + p.percent) >= (n[x] + n[y]) * p.percent
+        top: dict[int, int] = {}
+
+        def find(r: int) -> int:
+            while r in top:
+                r = top[r]
+            return r
+
+        links = []
+        for a, b in zip(x[linked], y[linked]):
+            ra, rb = find(int(root[a])), find(int(root[b]))
+            if ra != rb:
+                top[max(ra, rb)] = min(ra, rb)
+                links.append((int(ids[a]), int(ids[b])))
+        if links:
+            yield pd.DataFrame(links, columns=["a", "b"])
+
+
+def across_groups(rows: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
+    """Links (a, b) between groups within open buckets (key, id, n, root, main)."""
+    shape = nodes.select("id", "bands", "sig")
+    likely = stored(
+        _blocked(rows, shape, p)
+        .mapInPandas(lambda batches: _likely_nodes(batches, p), "key long, id long").distinct(),
+        "likely",
+    )
+    sets = stored(_sets(docs, likely.select("id").distinct(), p), "sets")
+    narrowed = stored(rows.join(likely, ["key", "id"], "left_semi"), "narrowed")
+    held = nodes.select("id", "bands").join(sets.select("id", "items"), "id")
+    return _blocked(narrowed, held, p).mapInPandas(
+        lambda batches: _block_links(batches, p), "a long, b long"
+    )
+
+
 # ---------------------------------------------------------------- union-find
 
 
@@ -313,26 +467,35 @@ def near_duplicates(
         .dropDuplicates(["id", "h1", "h2"]),
         "nodes",
     )
+    one_row_each = nodes.dropDuplicates(["id"])
     keyed = nodes.select(F.explode("bands").alias("key"), "id", "n")
-    shared = stored(
-        keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max("id").alias("high"))
-        .where("low.id != high").select("key", F.col("low.id").alias("low"), F.col("low.n").alias("low_n")),
+    met = stored(
+        keyed.groupBy("key").agg(F.count("*").alias("met"), F.min("id").alias("x"), F.max("id").alias("y"))
+        .where("x != y").select("key", "met"),
         "buckets",
     )
-    members = stored(keyed.join(shared, "key"), "members")
+    members = stored(keyed.join(met, "key"), "members")
+    central = stored(members.groupBy("id").agg(F.sum("met").alias("weight")), "central")
+    best = F.max(F.struct("weight", (-F.col("id")).alias("id"), "n"))
+    leaders = stored(
+        members.join(central, "id").groupBy("key").agg(best.alias("best"))
+        .select("key", F.col("best.weight").alias("weight"), (-F.col("best.id")).alias("leader"),
+                F.col("best.n").alias("leader_n")),
+        "leaders",
+    )
 
-    def sizes_fit(x: str, y: str):
+    def sizes_fit(x: str, y: str) -> F.Column:
         return (F.col(x) * 100 >= F.col(y) * p.percent) & (F.col(y) * 100 >= F.col(x) * p.percent)
 
-    # A node is held against one bucket's smallest node only; others follow if need be.
     stars = (
-        members.where((F.col("low") != F.col("id")) & sizes_fit("n", "low_n"))
-        .groupBy(F.col("id").alias("b")).agg(F.min("low").alias("a")).select("a", "b")
+        members.join(leaders, "key").where((F.col("leader") != F.col("id")) & sizes_fit("n", "leader_n"))
+        .groupBy(F.col("id").alias("b"))
+        .agg(F.max(F.struct("weight", (-F.col("leader")).alias("leader"))).alias("best"))
+        .select((-F.col("best.leader")).alias("a"), "b")
     )
     texts = docs.select(
         F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")
     )
-    one_row_each = nodes.dropDuplicates(["id"])
     links = stored(verified(stored(stars, "stars"), one_row_each, texts, p), "links")
     labels = components(links)
 
@@ -340,20 +503,14 @@ def near_duplicates(
         found = labels.select(F.col("id").alias(column), F.col("root").alias(name))
         return frame.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    placed = stored(grouped(grouped(members, "id", "root"), "low", "main"), "placed")
+    mains = stored(grouped(leaders, "leader", "main").select("key", "main"), "mains")
+    placed = stored(
+        grouped(members.select("key", "id", "n"), "id", "root").join(mains, "key"), "placed"
+    )
     mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     mixed = stored(mixed.where("x != y").select("key"), "mixed")
     open_ = stored(placed.join(mixed, "key", "left_semi"), "open")
-    outside = open_.where("root != main").select(
-        "key", F.col("id").alias("i"), F.col("n").alias("i_n"), F.col("root").alias("i_root")
-    )
-    across = (
-        open_.select("key", "id", "n", "root", "main").join(outside, "key")
-        .where((F.col("root") != F.col("i_root")) & sizes_fit("n", "i_n"))
-        .where((F.col("root") == F.col("main")) | (F.col("id") < F.col("i")))
-        .select(F.least("id", "i").alias("a"), F.greatest("id", "i").alias("b")).distinct()
-    )
-    more = stored(verified(stored(across, "across"), one_row_each, texts, p), "links")
+    more = stored(across_groups(open_, one_row_each, texts, p), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
