@@ -88,7 +88,8 @@ judged AS (
       WHEN loud >= 4 AND loud * 20 >= ink THEN 'punctuation'
       WHEN NOT regexp_matches(line, '[\p{{L}}\p{{N}}]') THEN 'punctuation'
       WHEN ink <= 200 AND regexp_matches(lower(line), '{_BOILERPLATE}') THEN 'boilerplate'
-      WHEN len(lw) >= 10 AND len(list_distinct(lw)) * 100 <= len(lw) * 25 THEN 'stutter'
+      WHEN len(lw) >= 10 AND len(list_distinct(lw)) * 100 <= len(lw) * 25
+        AND len(list_filter(range(1, len(lw)), lambda i: lw[i] = lw[i + 1])) * 100 >= len(lw) * 50 THEN 'stutter'
     END AS rule
   FROM lines WHERE ink > 0
 ),

@@ -49,9 +49,10 @@ class QualityRules:
     chars_per_exclamation: int = 20
     # Boilerplate phrases count in lines of at most so many characters.
     max_boilerplate_chars: int = 200
-    # Lines of at least so many words whose different words are at most this share stutter.
+    # Lines of at least so many words stutter if few are different and many repeat the one before.
     stutter_words: int = 10
-    max_stutter_pct: int = 25
+    stutter_distinct_pct: int = 25
+    stutter_adjacent_pct: int = 50
     # A document must keep this share of its characters other than white space.
     min_kept_pct: int = 50
 
@@ -149,6 +150,11 @@ def repeat_words(tokens: Column) -> Column:
 # ---------------------------------------------------------------- lines
 
 
+def _adjacent(tokens: Column) -> Column:
+    """Words that equal the one before."""
+    return F.size(F.filter(F.zip_with(tokens, _tail(tokens, 1), lambda a, b: a == b), lambda x: x))
+
+
 def failing_rule(line: Column, rules: QualityRules) -> Column:
     """The first rule that a line fails, or null. Lines without a word fail none."""
 
@@ -176,7 +182,11 @@ def failing_rule(line: Column, rules: QualityRules) -> Column:
             )
             .when(
                 (F.size(tokens) >= rules.stutter_words)
-                & (F.size(F.array_distinct(tokens)) * 100 <= F.size(tokens) * rules.max_stutter_pct),
+                & (
+                    F.size(F.array_distinct(tokens)) * 100
+                    <= F.size(tokens) * rules.stutter_distinct_pct
+                )
+                & (_adjacent(tokens) * 100 >= F.size(tokens) * rules.stutter_adjacent_pct),
                 "stutter",
             )
         )

@@ -46,6 +46,7 @@ class WarcOptions:
 
     min_payload: int = 0
     range_bytes: int = 8 << 20
+    max_tasks: int = 20_000
     date: str = "2024-01-01T00:00:00Z"
     # A record's header must end within so many bytes of its start.
     max_header: int = 1 << 16
@@ -259,7 +260,8 @@ def read(archives: DataFrame, folder: str, o: WarcOptions) -> DataFrame:
     ranges = archives.withColumn(
         "start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(o.range_bytes)))
     ).withColumn("end", F.least(F.col("start") + o.range_bytes, F.col("bytes")))
-    spread = ranges.repartition("path", "start")
+    # A given number of partitions is not coalesced; these rows are small, the ranges are not.
+    spread = ranges.repartition(min(o.max_tasks, max(1, ranges.count())), "path", "start")
     texts = ", ".join(
         f"{c} {'long' if c == 'payload_bytes' else 'binary' if c == 'payload' else 'string'}"
         for c in _COLUMNS
