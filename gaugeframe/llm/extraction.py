@@ -90,9 +90,10 @@ def is_noise(node: Node, path: tuple[str, ...]) -> bool:
 
 
 def compact(root: Node) -> list:
-    """[tag, characters, text hash, children] of block elements, noise left out.
+    """[tag, characters, texts, children] of block elements, noise left out.
 
-    Neighbouring leaves of one tag are one node, as their number says nothing of the template.
+    Neighbouring leaves of one tag are one node, as their number says nothing of the template;
+    it holds the (hash, characters) of all their texts.
     """
 
     def build(node: Node, path: tuple[str, ...]) -> list:
@@ -115,10 +116,10 @@ def compact(root: Node) -> list:
         for kid in kids:
             if merged and kid[0] == merged[-1][0] and not kid[3] and not merged[-1][3]:
                 merged[-1][1] += kid[1]
-                merged[-1][2] = _hash(merged[-1][2] + kid[2])
+                merged[-1][2] += kid[2]
             else:
                 merged.append(kid)
-        return [node.tag, len(text), _hash(text) if text else "", merged]
+        return [node.tag, len(text), [[_hash(text), len(text)]] if text else [], merged]
 
     return build(root, ())
 
@@ -163,38 +164,56 @@ def match(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
     return best[-1][-1] + 1, pairs
 
 
+def _places(reference: list) -> dict[int, int]:
+    """Each node's number by identity; the numbers after it are those of its texts."""
+    places, at = {}, 0
+    for node in numbered(reference):
+        places[id(node)] = at
+        at += 1 + len(node[2])
+    return places
+
+
 def votes(page: list, reference: list, w: Wrapper) -> list[tuple[int, int, int]]:
-    """(node of the reference, 1 if its text is the page's, characters that vary)."""
-    place = {id(n): i for i, n in enumerate(numbered(reference))}
+    """(number, equal, varying) for the texts and nodes of the reference that the page matches.
+
+    A text's vote is whether the page's node has it, a node's how many characters vary.
+    """
+    places = _places(reference)
     _, pairs = match(reference, page)
-    texts = [(place[id(r)], r, p) for r, p in pairs if r[1] or p[1]]
-    same = sum(p[1] for _, r, p in texts if p[2] == r[2])
+    same, cast = 0, []
+    for ours, theirs in pairs:
+        mine, has = {h for h, _ in ours[2]}, {h for h, _ in theirs[2]}
+        shared = sum(n for h, n in theirs[2] if h in mine)
+        same += shared
+        at = places[id(ours)]
+        cast.append((at, 0, theirs[1] - shared))
+        cast += [(at + 1 + k, int(h in has), 0) for k, (h, _) in enumerate(ours[2])]
     everything = sum(n[1] for n in numbered(page))
-    if same > w.copy_share * everything:
-        return []
-    return [(i, int(p[2] == r[2]), 0 if p[2] == r[2] else p[1]) for i, r, p in texts]
+    return [] if same > w.copy_share * everything else cast
 
 
 def induce(reference: list, cast: dict[int, tuple[int, int, int]], w: Wrapper) -> dict:
-    """The wrapper from votes {node: (pages, equal, varying characters)}.
+    """The wrapper from votes {number: (pages, equal, varying characters)}.
 
     `slot` is a path of tags below the root, `template` the hashes of constant texts.
     """
-    nodes = numbered(reference)
-    place = {id(n): i for i, n in enumerate(nodes)}
+    places = _places(reference)
     template, mass = [], {}
-    for i in range(len(nodes) - 1, -1, -1):
-        pages, equal, varying = cast.get(i, (0, 0, 0))
-        constant = equal >= w.min_votes and equal >= w.constant_share * pages
-        if constant and nodes[i][2]:
-            template.append(nodes[i][2])
-        own = varying + (0 if constant else nodes[i][1])
-        mass[i] = own + sum(mass[place[id(k)]] for k in nodes[i][3])
+    for node in reversed(numbered(reference)):
+        at = places[id(node)]
+        own = cast.get(at, (0, 0, 0))[2]
+        for k, (text, n) in enumerate(node[2]):
+            pages, equal, _ = cast.get(at + 1 + k, (0, 0, 0))
+            if equal >= w.min_votes and equal >= w.constant_share * pages:
+                template.append(text)
+            else:
+                own += n
+        mass[id(node)] = own + sum(mass[id(kid)] for kid in node[3])
     slot, node = [], reference
     while True:
         inner = [k for k in node[3] if k[0] not in _LEAVES]
-        widest = max(inner, key=lambda k: mass[place[id(k)]], default=None)
-        if widest is None or mass[place[id(widest)]] < w.slot_share * max(1, mass[place[id(node)]]):
+        widest = max(inner, key=lambda k: mass[id(k)], default=None)
+        if widest is None or mass[id(widest)] < w.slot_share * max(1, mass[id(node)]):
             break
         # Among equal tags the path takes the first, so it must lead to this one.
         if next(k for k in node[3] if k[0] == widest[0]) is not widest:

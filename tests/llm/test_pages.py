@@ -114,8 +114,8 @@ def test_copies_of_a_page_are_no_template(spark):
 
 
 def test_tree_matching_by_hand():
-    a = ["r", 0, "", [["x", 0, "", []], ["y", 0, "", []], ["z", 0, "", []]]]
-    b = ["r", 0, "", [["y", 0, "", []], ["q", 0, "", []], ["z", 0, "", []]]]
+    a = ["r", 0, [], [[x, 0, [], []] for x in "xyz"]]
+    b = ["r", 0, [], [[x, 0, [], []] for x in "yqz"]]
     size, pairs = extraction.match(a, b)
     assert size == 3 and {p[0][0] for p in pairs} == {"r", "y", "z"}
 
