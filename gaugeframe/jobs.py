@@ -128,7 +128,7 @@ def run_metrics(spark: SparkSession, args) -> None:
     score = marts.read_run(spark, f"{args.marts}/score_history", args.run_id)
     stages = history.lifecycle_counts(spark.read.parquet(f"{args.marts}/dq_issue_lifecycle"))
     recurring = history.recurring_count(
-        marts.read_run(spark, f"{args.marts}/dq_issue_recurrence", args.run_id)
+        history.recurrence(_mart(spark, args, "dq_issue_history"), limit=None)
     )
     comparison = _comparison(spark, args, checks, issues) if args.baseline else None
     row = gate.project_metrics(

@@ -47,12 +47,12 @@ def _of_dataset(history: DataFrame, dataset_name: str | None) -> DataFrame:
 
 
 def recurrence(
-    history: DataFrame, limit: int = RECURRENCE_LIMIT, dataset_name: str | None = None
+    history: DataFrame, limit: int | None = RECURRENCE_LIMIT, dataset_name: str | None = None
 ) -> DataFrame:
-    """H1: the issues seen most often, most recent first among equals."""
+    """H1: the issues seen most often, most recent first among equals; all if limit is None."""
     keys = ["check_name", "table_name", "issue_type"]
     complete = _of_dataset(history, dataset_name).dropna(subset=keys)
-    return (
+    ranked = (
         with_run_time(complete)
         .groupBy(*keys)
         .agg(
@@ -63,8 +63,8 @@ def recurrence(
             _last("recommended_fix"),
         )
         .orderBy(F.desc("occurrences"), F.desc("last_seen"), *keys)
-        .limit(limit)
     )
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def _with_lifecycle_columns(history: DataFrame) -> DataFrame:
@@ -95,13 +95,15 @@ def issue_lifecycle(
     name = F.concat_ws("|", *[F.coalesce(c, F.lit("None")) for c in (
         "table_name", "check_name", "issue_type")])
     order = F.struct("_ts", "run_id")
+    # Runs whose time cannot be read come last, so the first run is one that has a time.
+    earliest = F.struct(F.col("_ts").isNull(), F.col("_ts"), F.col("run_id"))
     grouped = (
         issues.withColumn("issue_key", name)
         .groupBy("issue_key")
         .agg(
             F.min("_ts").alias("first_seen_run_ts"),
             F.max("_ts").alias("last_seen_run_ts"),
-            F.min_by("run_id", order).alias("first_seen_run_id"),
+            F.min_by("run_id", earliest).alias("first_seen_run_id"),
             F.max_by("run_id", order).alias("last_seen_run_id"),
             F.count("run_id").alias("occurrence_count"),
             *[_last(c) for c in ("table_name", "check_name", "dimension", "issue_type")],
@@ -142,7 +144,7 @@ def lifecycle_counts(lifecycle: DataFrame) -> DataFrame:
 
 
 def recurring_count(recurrences: DataFrame) -> DataFrame:
-    """H5: issues seen more than once."""
+    """H5: issues seen more than once. Takes the recurrences of all issues, not a top list."""
     return recurrences.agg(count_when(F.col("occurrences") > 1).alias("recurring_issue_count"))
 
 

@@ -552,13 +552,13 @@ _MEASURES = """SELECT count(*) AS total_issues, CAST(max(severity) AS INTEGER) A
 ORACLE["root_cause_coverage"] = f"{_ISSUES} {_MEASURES}"
 ORACLE["rule_summary"] = f"{CHECKS} " + " UNION ALL ".join(
     f"SELECT {quote(g)} AS grouping, CAST({g} AS VARCHAR) AS value, count(*) AS rules "
-    f"FROM checks WHERE failure_count > 0 GROUP BY {g}"
+    f"FROM checks GROUP BY {g}"
     for g in ("dimension", "table_name", "rule_type", "severity")
 )
 ORACLE["rule_totals"] = f"""{CHECKS}
 SELECT count(*) AS total_rules, round(sum(weight::DECIMAL(38,12))::DOUBLE, 2) AS total_weight,
   round(count(*) FILTER (WHERE description <> '')::DOUBLE / count(*)::DOUBLE, 4)
-    AS documentation_coverage_pct FROM checks WHERE failure_count > 0"""
+    AS documentation_coverage_pct FROM checks"""
 
 
 def _comparison() -> str:
@@ -642,8 +642,8 @@ SELECT check_name, table_name, issue_type, count(run_id) AS occurrences,
   arg_max(probable_root_cause, run_ts) AS probable_root_cause,
   arg_max(recommended_fix, run_ts) AS recommended_fix
 FROM history GROUP BY check_name, table_name, issue_type
-ORDER BY occurrences DESC, last_seen DESC, check_name LIMIT 10"""
-ORACLE["recurrence_top"] = f"{_HISTORY} {_RECURRENCE}"
+ORDER BY occurrences DESC, last_seen DESC, check_name"""
+ORACLE["recurrence_top"] = f"{_HISTORY} {_RECURRENCE} LIMIT 10"
 ORACLE["recurring_count"] = (
     f"{_HISTORY} SELECT count(*) AS recurring_issue_count FROM ({_RECURRENCE}) WHERE occurrences > 1"
 )

@@ -379,13 +379,12 @@ def root_cause_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Summary of the checks that found something wrong."""
-    return gate.rule_summary(_checks(spark, sf_dir).where("failure_count > 0"))
+    return gate.rule_summary(_checks(spark, sf_dir))
 
 
 @query
 def rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.rule_totals(_checks(spark, sf_dir).where("failure_count > 0"))
+    return gate.rule_totals(_checks(spark, sf_dir))
 
 
 BASELINE = {
@@ -430,7 +429,7 @@ def project_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.project_metrics(
         scoring.score_record(checks, issues, RUN_ID, RUN_TS), checks, issues,
         history.lifecycle_counts(history.issue_lifecycle(past)),
-        history.recurring_count(history.recurrence(past)), GATE, comparison,
+        history.recurring_count(history.recurrence(past, limit=None)), GATE, comparison,
     )
 
 
@@ -496,7 +495,9 @@ def recurrence_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recurring_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.recurring_count(history.recurrence(_daily_issues(spark, sf_dir)))
+    return history.recurring_count(
+        history.recurrence(_daily_issues(spark, sf_dir), limit=None)
+    )
 
 
 @query
