@@ -64,12 +64,12 @@ def run_validate(spark: SparkSession, args) -> None:
     failing = [r.check_id for r in judged.where("failure_count > 0").select("check_id").collect()]
     samples = sample_json(sample_rows(tables, rules.only(*failing))) if failing else None
     issues = outcomes.issue_log(judged, run.run_id, run.dataset_name, run.run_ts, samples)
-    marts.write_run(issues, f"{args.marts}/dq_issue_history")
+    marts.write_run(issues, f"{args.marts}/dq_issue_history", run_id=run.run_id)
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
     validation.release()
     top = history.recurrence(_mart(spark, args, "dq_issue_history"))
     top = top.withColumn("run_id", F.lit(run.run_id))
-    marts.write_run(top, f"{args.marts}/dq_issue_recurrence")
+    marts.write_run(top, f"{args.marts}/dq_issue_recurrence", run_id=run.run_id)
     stamp = {
         "run_id": F.lit(run.run_id), "run_ts": F.lit(run.run_ts),
         "dataset_name": F.lit(run.dataset_name),
@@ -77,12 +77,12 @@ def run_validate(spark: SparkSession, args) -> None:
     metrics = anomaly.run_metrics(tables["events"]).withColumns(stamp)
     past = _mart(spark, args, "dq_metrics_history").where(F.col("run_id") != run.run_id)
     found = anomaly.detect(metrics, anomaly.parse_metrics(past))
-    marts.write_run(found, f"{args.marts}/dq_anomalies")
+    marts.write_run(found, f"{args.marts}/dq_anomalies", run_id=run.run_id)
     marts.write_run(anomaly.metrics_record(metrics), f"{args.marts}/dq_metrics_history")
     drifting = drift.compare_schemas(
         drift.expected_columns(spark, defaults.EXPECTED_SCHEMA), drift.actual_columns(spark, tables)
     )
-    marts.write_run(drifting.withColumns(stamp), f"{args.marts}/dq_schema_drift")
+    marts.write_run(drifting.withColumns(stamp), f"{args.marts}/dq_schema_drift", run_id=run.run_id)
 
 
 def _run_results(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:

@@ -54,12 +54,15 @@ SCHEMAS = {
 PROJECT_KEY = ("run_id", "workflow_run_id", "workflow_attempt")
 
 
-def write_run(df: DataFrame, path: str, files: int = 1) -> None:
+def write_run(df: DataFrame, path: str, files: int = 1, run_id: str | None = None) -> None:
     """IO4, IO5, D8: write rows into the partitions of the runs they belong to.
 
     Mart rows of a run are few (one per check, issue or metric), hence one file per run; raise
-    `files` for profile tables of very wide datasets. A frame without rows changes nothing.
+    `files` for profile tables of very wide datasets. With `run_id`, a frame without rows
+    removes what an earlier attempt of that run wrote; without it, such a frame changes nothing.
     """
+    if run_id is not None and df.isEmpty():
+        _drop_run(df.sparkSession, path, run_id)
     (
         df.repartition(files, "run_id")
         .write.partitionBy("run_id")
@@ -69,6 +72,14 @@ def write_run(df: DataFrame, path: str, files: int = 1) -> None:
     )
 
 
+def _drop_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Removes the partition of one run through the table's own file system."""
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}/run_id={escape(run_id)}")
+    part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(part, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -230,3 +230,12 @@ def test_comparison_reports_the_first_mismatch(spark):
                   ("issue_count", "orphan"): (1.0, False), ("subscore", "x"): (-1.0, False)}
     verdict = gate.match_verdict(rows).first()
     assert not verdict.matched and verdict.reason.startswith("failed_checks checks: expected 4.0 vs actual 5.0")
+
+
+def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
+    path = str(tmp_path / "issues")
+    rows = local_frame(spark, [("a/1", 1), ("b", 2)], "run_id string, n int")
+    marts.write_run(rows, path)
+    marts.write_run(rows.limit(0), path, run_id="a/1")
+    assert [r.n for r in marts.read_run(spark, path, "b").collect()] == [2]
+    assert marts.read_run(spark, path, "a/1").isEmpty()
