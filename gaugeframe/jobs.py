@@ -19,9 +19,9 @@ from gaugeframe.session import configure
 from gaugeframe.sources import exports, marts, synthetic
 
 
-def _rules(args):
-    causes = load_root_causes(args.root_causes) if args.root_causes else None
-    return load_rules(args.rules, causes) if args.rules else defaults.RULES
+def _rules(spark: SparkSession, args):
+    causes = load_root_causes(args.root_causes, spark) if args.root_causes else ()
+    return load_rules(args.rules, causes, spark) if args.rules else defaults.RULES
 
 
 def _mart(spark: SparkSession, args, name: str) -> DataFrame:
@@ -36,7 +36,7 @@ def run_generate(spark: SparkSession, args) -> None:
 
 
 def run_ingest(spark: SparkSession, args) -> None:
-    words = load_vocabulary(args.mappings) if args.mappings else defaults.VOCABULARY
+    words = load_vocabulary(args.mappings, spark) if args.mappings else defaults.VOCABULARY
     run_id = exports.ingest(
         spark, args.raw, args.stage, words, args.dataset, args.seed, args.force, args.run_id
     )
@@ -54,7 +54,7 @@ def run_profile(spark: SparkSession, args) -> None:
 def run_validate(spark: SparkSession, args) -> None:
     """Check results are written first; what follows is derived from the written rows."""
     tables = exports.read_staged(spark, args.stage)
-    rules = _rules(args)
+    rules = _rules(spark, args)
     now = args.run_ts or datetime.now(timezone.utc).isoformat()
     run = Run(args.run_id, args.dataset, now)
     validation = validate(tables, rules, run, with_samples=False)
@@ -93,7 +93,7 @@ def _run_results(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
 
 def run_score(spark: SparkSession, args) -> None:
     checks, issues = _run_results(spark, args)
-    rules = _rules(args)
+    rules = _rules(spark, args)
     past = _mart(spark, args, "dq_run_history")
     when = scoring.resolve_run_ts(past, issues, args.run_id).first().run_ts.isoformat()
     record = scoring.score_record(checks, issues, args.run_id, when, rules.baseline, rules.minimum)
@@ -107,7 +107,7 @@ def run_score(spark: SparkSession, args) -> None:
 
 def run_gate(spark: SparkSession, args) -> None:
     checks, _ = _run_results(spark, args)
-    settings = load_gate_settings(args.gate) if args.gate else defaults.GATE
+    settings = load_gate_settings(args.gate, spark) if args.gate else defaults.GATE
     scores = marts.read_run(spark, f"{args.marts}/score_history", args.run_id)
     verdict = gate.gate_verdict(scores, checks, settings).first()
     print(f"score {verdict.score:.2f}: {verdict.reason or 'passed'}")
@@ -124,7 +124,7 @@ def run_lifecycle(spark: SparkSession, args) -> None:
 
 def run_metrics(spark: SparkSession, args) -> None:
     checks, issues = _run_results(spark, args)
-    settings = load_gate_settings(args.gate) if args.gate else defaults.GATE
+    settings = load_gate_settings(args.gate, spark) if args.gate else defaults.GATE
     score = marts.read_run(spark, f"{args.marts}/score_history", args.run_id)
     stages = history.lifecycle_counts(spark.read.parquet(f"{args.marts}/dq_issue_lifecycle"))
     recurring = history.recurring_count(
@@ -149,7 +149,7 @@ def run_metrics(spark: SparkSession, args) -> None:
 
 
 def _comparison(spark: SparkSession, args, checks: DataFrame, issues: DataFrame) -> DataFrame:
-    rules = _rules(args)
+    rules = _rules(spark, args)
     baseline = json.loads(spark.read.text(args.baseline, wholetext=True).first()[0])
     actual = gate.measure_rows(
         scoring.overall_score(checks, rules.baseline, rules.minimum),

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.config import Rule
+from gaugeframe.config import Rule, RuleSet
 from gaugeframe.functions.stats import ratio
 from gaugeframe.session import local_frame
 
@@ -16,8 +15,7 @@ RULE_SCHEMA = """
     ord int, check_id string, table_name string, stage_table string, dimension string,
     description string, rule_type string, columns array<string>, column_regex string,
     severity int, weight double, threshold_warning double, threshold_fail double,
-    issue_type string, probable_root_cause string, recommended_fix string,
-    root_cause_candidates string
+    issue_type string
 """
 
 CHECK_COLUMNS = (
@@ -39,31 +37,44 @@ EXCEPTION_COLUMNS = (
 )
 
 
-def _compact(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+CAUSES_SCHEMA = """
+    check_id string,
+    causes array<struct<probable_cause: string, recommended_fix: string>>
+"""
 
 
 def _rule_row(ord_: int, rule: Rule) -> tuple:
-    causes = [
-        {"probable_cause": c.probable_cause, "recommended_fix": c.recommended_fix}
-        for c in rule.root_causes
-    ]
-    first = causes[0] if causes else {
-        "probable_cause": rule.description,
-        "recommended_fix": f"Enforce {rule.rule_type} for {rule.table}",
-    }
     swept = rule.kind == "NON_NEGATIVE_COUNTS"
     return (
         ord_, rule.id, rule.table, "*" if swept else f"staging_{rule.table}", rule.dimension,
         rule.description, rule.rule_type, list(rule.columns), rule.column_regex, rule.severity,
-        rule.weight, rule.warning, rule.fail, rule.issue_type, first["probable_cause"],
-        first["recommended_fix"], _compact(causes),
+        rule.weight, rule.warning, rule.fail, rule.issue_type,
     )
 
 
-def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
-    """The rules as a table, root causes included."""
-    return local_frame(spark, [_rule_row(i, r) for i, r in enumerate(rules)], RULE_SCHEMA)
+def causes_frame(spark: SparkSession, rules: RuleSet) -> DataFrame:
+    """The causes of each check, in their order; checks without any are absent."""
+    known = {c.check_id: rules.causes_of(c.check_id) for c in rules.causes}
+    rows = [
+        (check_id, [{"probable_cause": c.probable_cause, "recommended_fix": c.recommended_fix}
+                    for c in causes])
+        for check_id, causes in known.items()
+    ]
+    return local_frame(spark, rows, CAUSES_SCHEMA)
+
+
+def rules_frame(spark: SparkSession, rules: RuleSet | Iterable[Rule]) -> DataFrame:
+    """The rules as a table, joined with their root causes."""
+    declared = local_frame(spark, [_rule_row(i, r) for i, r in enumerate(rules)], RULE_SCHEMA)
+    known = rules if isinstance(rules, RuleSet) else RuleSet(())
+    likeliest = F.get("causes", F.lit(0))
+    remedy = F.concat(F.lit("Enforce "), "rule_type", F.lit(" for "), "table_name")
+    return declared.join(causes_frame(spark, known), "check_id", "left").select(
+        *declared.columns,
+        F.coalesce(likeliest["probable_cause"], "description").alias("probable_root_cause"),
+        F.coalesce(likeliest["recommended_fix"], remedy).alias("recommended_fix"),
+        F.coalesce(F.to_json("causes"), F.lit("[]")).alias("root_cause_candidates"),
+    )
 
 
 def status(rate: Column, warning: Column, fail: Column) -> Column:

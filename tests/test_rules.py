@@ -201,6 +201,6 @@ checks:
     a, b = loaded.rules
     assert (a.columns, a.severity, a.weight, a.warning, a.fail) == (("email",), 1, 1.0, 0.0, 0.0)
     assert (b.columns, b.args, b.dimension) == (("x", "y"), ("users.user_id",), "integrity")
-    assert len(a.root_causes) == 1 and b.root_causes == ()
+    assert [c.probable_cause for c in loaded.causes_of("a")] == ["p"] and loaded.causes_of("b") == ()
     assert (loaded.baseline, loaded.minimum) == (100.0, 0.0)
     assert b.issue_type == "orphan" and rule("enum").issue_type == "invalid"

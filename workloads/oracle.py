@@ -326,13 +326,14 @@ def _rule_values() -> str:
     """The declared rules. Configuration, the same for both sides."""
     rows = []
     for rule in defaults.RULES:
-        cause = rule.root_causes[0].probable_cause if rule.root_causes else rule.description
+        known = defaults.RULES.causes_of(rule.id)
+        cause = known[0].probable_cause if known else rule.description
         fix = (
-            rule.root_causes[0].recommended_fix if rule.root_causes
+            known[0].recommended_fix if known
             else f"Enforce {rule.rule_type} for {rule.table}"
         )
         stage = "*" if rule.table == "*" else f"staging_{rule.table}"
-        causes = "[]" if not rule.root_causes else (
+        causes = "[]" if not known else (
             f'[{{"probable_cause":"{cause}","recommended_fix":"{fix}"}}]'
         )
         texts = [rule.id, rule.table, stage, rule.dimension, rule.description, rule.rule_type,
