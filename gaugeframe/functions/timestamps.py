@@ -10,19 +10,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_HALF = r"(?:\s*([AaPp][Mm]))?"
+# Zone names other than these three are read as naive, whatever they stand for.
+_ZONE = r"(?:\s*([Zz]|[A-Z]{3,5}|[+-]\d{2}:?\d{2}|[+-]\d{2}))?$"
+_HOUR_ALONE = r"(?=\s*[AaPp][Mm]|(?<=\d\d)$)"
 _TIME = (
-    r"(?:(?:\s*,\s*|\s+|[Tt])(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
-    r"\s*([AaPp][Mm])?\s*([Zz]|UTC|GMT|[+-]\d{2}:?\d{2}|[+-]\d{2})?)?$"
+    r"(?:(?:\s*,\s*|\s+(?:at\s+)?|[Tt])(\d{1,2})"
+    rf"(?::(\d{{1,2}})(?::(\d{{1,2}})(?:[.,](\d{{1,9}}))?)?|{_HOUR_ALONE}){_HALF})?{_ZONE}"
 )
+_DIGIT_TIME = rf"(\d{{2}})(\d{{2}})(?:(\d{{2}})(?:[.,](\d{{1,9}}))?)?{_HALF}{_ZONE}"
 _SEP = r"[-/.]"
 _ORDINAL = r"(?:st|nd|rd|th)?"
+_YEARS = r"(\d{4}|\d{2})"
 
 # Shape -> which captured groups hold year, month and day.
 _SHAPES = (
     (rf"^(\d{{4}}){_SEP}(\d{{1,2}}){_SEP}(\d{{1,2}}){_TIME}", (1, 2, 3)),
-    (rf"^(\d{{1,2}}){_SEP}(\d{{1,2}}){_SEP}(\d{{4}}|\d{{2}}){_TIME}", (3, 1, 2)),
-    (rf"^([A-Za-z]{{3,9}})\.?[\s-]+(\d{{1,2}}){_ORDINAL},?[\s-]+(\d{{4}}){_TIME}", (3, 1, 2)),
-    (rf"^(\d{{1,2}}){_ORDINAL}[\s-]+([A-Za-z]{{3,9}})\.?,?[\s-]+(\d{{4}}){_TIME}", (3, 2, 1)),
+    (rf"^(\d{{1,2}}){_SEP}(\d{{1,2}}){_SEP}{_YEARS}{_TIME}", (3, 1, 2)),
+    (rf"^([A-Za-z]{{3,9}})\.?[\s-]+(\d{{1,2}}){_ORDINAL},?[\s-]+{_YEARS}{_TIME}", (3, 1, 2)),
+    (rf"^(\d{{1,2}}){_ORDINAL}[\s-]+([A-Za-z]{{3,9}})\.?,?[\s-]+{_YEARS}{_TIME}", (3, 2, 1)),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}}){_TIME}", (1, 2, 3)),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[Tt]|\s+)?{_DIGIT_TIME}", (1, 2, 3)),
+    (rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})(?:[Tt]|\s+){_DIGIT_TIME}", (1, 2, 3)),
+)
+
+# What may stand before a date: a weekday, which says nothing more, or the time of day.
+_WEEKDAY = (
+    r"^(?i:mon|tue|wed|thu|fri|sat|sun|monday|tuesday|wednesday|thursday|friday|saturday|sunday)"
+    r"(?:\.?,\s*|\.?\s+)(?=\w)"
+)
+_TIME_FIRST = (
+    r"^(\d{1,2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?(?:\s*[AaPp][Mm])?|\s*[AaPp][Mm]))"
+    r"(?:\s*,\s*|\s+)(\w.*)$"
 )
 
 # Unit separator: stands between the parts of the canonical text.
@@ -80,11 +99,13 @@ p -> CASE WHEN size(p) = 9 THEN
 def parse_timestamp(c: Column) -> Column:
     """CL8: month-first dates, 12/24-hour clocks, month names and offsets to naive UTC.
 
-    Unparseable text and text without a full date give NULL. Day-first dates are understood
+    A weekday, or the time, may come first. Unparseable text, text without a full date and six
+    digits alone give NULL. Day-first dates are understood
     only where the first number cannot be a month.
     """
     text = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
-    canonical = text
+    canonical = F.regexp_replace(text, _WEEKDAY, "")
+    canonical = F.regexp_replace(canonical, _TIME_FIRST, "$2 $1")
     for shape, (y, m, d) in _SHAPES:
         fields = _CUT.join(f"${i}" for i in (y, m, d, 4, 5, 6, 7, 8, 9))
         canonical = F.regexp_replace(canonical, shape, fields)

@@ -62,6 +62,12 @@ TIMES = [
     "12/31/2023 12:05 PM", "5 March 2024", "1/5/24", "2024-02-30", "2024-13-01",
     "2024-01-01 10:00:00.123456", "2024-01-01 10:00:00.5", " 2024-01-01 10:00 ", "2024/01/15",
     "2024-01-01T23:30:00-0800", "Sept 9, 2024 7:05 pm", "2024-01-01 25:00", "2024-01-01 13:00 PM",
+    "20240105", "20240105T103000", "20240105 10:30", "20240105T1030", "20240105103000",
+    "2024-01-05T10", "2024-01-05 10 AM", "2024/1/5 3pm", "2024-01-05T103000", "5-Jan-24",
+    "Jan 5 24", "Mon, 05 Jan 2024 10:30:00 GMT", "Fri Jan 5 2024 10:30", "Friday, January 5, 2024",
+    "10:30 2024-01-05", "10:30:15.25 pm, 5 January 2024", "3pm 2024/1/5",
+    "5 January 2024 at 3:15 pm", "2024-01-05 10:30:00 EST", "2024-01-05 10:30 UTC", "10:30",
+    "Monday", "Mon 10:30", "12345678", "2024-01-05 10:3", "20240105 1", "2024-01-05 1:2:3",
     "December 25th, 2023", "1999-12-31T23:59:59.999999Z", "31/12/1999",
 ]
 
@@ -77,6 +83,11 @@ def test_parse_timestamp_as_documented(spark, zone):
     assert dict(zip(TIMES, got)) == {t: reference_parse(t) for t in TIMES}
 
 
+def test_parts_of_a_date_are_no_time(spark):
+    partial = local_frame(spark, [("Jan 2024",), ("10:30",), ("5 March",), ("240105",)], "s string")
+    assert values(partial.select(parse_timestamp(F.col("s")))) == [None] * 4
+
+
 def test_generated_times_agree(spark):
     from hypothesis import given, settings
     from hypothesis import strategies as st
