@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeframe.config import GateSettings
 from gaugeframe.functions.stats import count_when, exact_sum, rounded_ratio
+from gaugeframe.operators.scoring import overall_score
 from gaugeframe.session import local_frame
 
 
@@ -17,35 +18,48 @@ def _critical(settings: GateSettings) -> Column:
     return (F.col("status") == "fail") & (F.col("severity") >= settings.critical_severity)
 
 
-def gate_verdict(scores: DataFrame, checks: DataFrame, settings: GateSettings) -> DataFrame:
-    """G1: one row saying whether the run passes, and if not, why.
+def _culprits(settings: GateSettings) -> Column:
+    """Critical checks in order, as an aggregate; others are NULL, which lists leave out."""
+    label = F.format_string("%s (%s)", "check_id", "table_name")
+    listed = F.collect_list(F.when(_critical(settings), label))
+    return F.array_sort(listed).alias("critical_checks")
 
-    The score decides first (rounded to two places, as published); then any critical check
-    with status `fail`.
-    """
-    listed = F.format_string("%s (%s)", "check_id", "table_name")
-    culprits = checks.where(_critical(settings)).agg(F.array_sort(F.collect_list(listed)))
-    score = F.round("score", 2)
-    named = F.array_join("critical_checks", ", ")
+
+def _verdict(judged: DataFrame, settings: GateSettings) -> DataFrame:
     low = F.format_string(
         f"overall score %.2f is below threshold {settings.score_threshold:.2f}", "score"
     )
+    failed = F.concat(
+        F.lit("critical checks failed: "), F.array_join("critical_checks", ", "),
+        F.lit(f" (severity >= {settings.critical_severity:.1f})"),
+    )
+    reason = F.when(F.col("score") < settings.score_threshold, low).when(
+        F.size("critical_checks") > 0, failed
+    )
     return (
-        scores.select(score.alias("score"), culprits.scalar().alias("critical_checks"))
-        .withColumn(
-            "reason",
-            F.when(F.col("score") < settings.score_threshold, low).when(
-                F.size("critical_checks") > 0,
-                F.concat(
-                    F.lit("critical checks failed: "), named,
-                    F.lit(f" (severity >= {settings.critical_severity:.1f})"),
-                ),
-            ),
-        )
+        judged.select(F.round("score", 2).alias("score"), "critical_checks")
+        .withColumn("reason", reason)
         .withColumn("passed", F.col("reason").isNull())
     )
 
 
+def gate_verdict(scores: DataFrame, checks: DataFrame, settings: GateSettings) -> DataFrame:
+    """G1: one row saying whether the run passes, and if not, why.
+
+    The score decides first (rounded to two places, as published); then any critical check
+    with status `fail`.
+    """
+    culprits = checks.agg(_culprits(settings)).scalar().alias("critical_checks")
+    return _verdict(scores.select("score", culprits), settings)
+
+
+def judge_checks(
+    checks: DataFrame, settings: GateSettings, baseline: float = 100.0, minimum: float = 0.0
+) -> DataFrame:
+    """G1 from the checks alone: score and critical checks in one aggregate."""
+    return _verdict(overall_score(checks, baseline, minimum, also=[_culprits(settings)]), settings)
+
+
 def status_counts(checks: DataFrame) -> DataFrame:
     """G2"""
     return checks.agg(

@@ -64,7 +64,10 @@ def causes_frame(spark: SparkSession, rules: RuleSet) -> DataFrame:
 
 
 def rules_frame(spark: SparkSession, rules: RuleSet | Iterable[Rule]) -> DataFrame:
-    """The rules as a table, joined with their root causes."""
+    """The rules as a table, joined with the root causes that their set knows.
+
+    Bare rules, outside a RuleSet, have none: description and rule type stand in.
+    """
     declared = local_frame(spark, [_rule_row(i, r) for i, r in enumerate(rules)], RULE_SCHEMA)
     known = rules if isinstance(rules, RuleSet) else RuleSet(())
     likeliest = F.get("causes", F.lit(0))

@@ -24,14 +24,21 @@ TOP_VALUES = 5
 NUMERIC_TEXT = r"^[+-]?[0-9]+(\.[0-9]+)?\z"
 
 # Slot a value travels in, by type class. Decimals get the widest scale of the table.
-_SLOTS = ("text", "whole", "real", "exact", "time")
+_SLOTS = ("text", "whole", "real", "exact", "time", "span", "months")
+
+
+# Types narrower than their slot; text shows a value as its own type would.
+_NARROWED = (T.DecimalType, T.FloatType, T.DayTimeIntervalType, T.YearMonthIntervalType)
 
 
 def _slot_type(df: DataFrame, slot: str) -> str:
     if slot == "exact":
         scales = [f.dataType.scale for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
         return f"decimal(38,{max(scales)})"
-    return {"text": "string", "whole": "bigint", "real": "double", "time": "timestamp_ntz"}[slot]
+    return {
+        "text": "string", "whole": "bigint", "real": "double", "time": "timestamp_ntz",
+        "span": "interval day to second", "months": "interval year to month",
+    }[slot]
 
 
 def _slot(kind: T.DataType) -> str:
@@ -43,6 +50,10 @@ def _slot(kind: T.DataType) -> str:
         return "exact"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return "time"
+    if isinstance(kind, T.DayTimeIntervalType):
+        return "span"
+    if isinstance(kind, T.YearMonthIntervalType):
+        return "months"
     return "text"
 
 
@@ -93,7 +104,7 @@ def _as_text(df: DataFrame, slot: str, c: Column) -> Column:
         kind = field.dataType
         if isinstance(kind, T.DateType) and slot == "time":
             text = F.when(F.col("_col") == i, F.date_format(c, "yyyy-MM-dd")).otherwise(text)
-        elif isinstance(kind, (T.DecimalType, T.FloatType)) and _slot(kind) == slot:
+        elif isinstance(kind, _NARROWED) and _slot(kind) == slot:
             narrow = c.cast(kind.simpleString()).cast("string")
             text = F.when(F.col("_col") == i, narrow).otherwise(text)
     return text

@@ -24,13 +24,21 @@ def _score(baseline: float, minimum: float) -> Column:
 
 
 def overall_score(
-    checks: DataFrame, baseline: float = 100.0, minimum: float = 0.0, by: Sequence[str] = ()
+    checks: DataFrame,
+    baseline: float = 100.0,
+    minimum: float = 0.0,
+    by: Sequence[str] = (),
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """SC1: baseline minus the weighted share of penalties, never below the minimum."""
+    """SC1: baseline minus the weighted share of penalties, never below the minimum.
+
+    `also` names further aggregates of the checks to take in the same pass.
+    """
     measures = [
         exact_sum(F.col("penalty")).alias("total_penalty"),
         exact_sum(F.col("weight")).alias("total_weight"),
         F.count(F.lit(1)).alias("total_checks"),
+        *also,
     ]
     sums = checks.groupBy(*by).agg(*measures) if by else checks.agg(*measures)
     return sums.withColumn("score", _score(baseline, minimum))

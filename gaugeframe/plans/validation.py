@@ -77,8 +77,9 @@ class Validation:
         return scoring.dimension_scores(self.checks, self.rules.baseline, self.rules.minimum)
 
     def gate(self, settings: GateSettings) -> DataFrame:
-        scores = scoring.overall_score(self.checks, self.rules.baseline, self.rules.minimum)
-        return gate.gate_verdict(scores, self.checks, settings)
+        return gate.judge_checks(
+            self.checks, settings, self.rules.baseline, self.rules.minimum
+        )
 
 
 def rejudge(checks: DataFrame, rules: RuleSet | tuple[Rule, ...]) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import time
+from collections import defaultdict
 from collections.abc import Mapping
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +20,24 @@ from gaugeframe.sources.marts import path_exists
 def read_export(
     spark: SparkSession, path: str, columns: list[str], multi_line: bool = False
 ) -> DataFrame:
-    """IO1: a CSV file with a header. Everything is text; cleaning decides the types.
+    """IO1: a CSV file with a header, or a folder of them. Everything is text; cleaning decides
+    the types.
 
-    Columns are found by name, in whatever order the file has them. Files are split among tasks
-    unless `multi_line` says that quoted fields may hold line breaks.
+    Columns are found by name, in whatever order each file has them: files with equal headers
+    are read together. Files are split among tasks unless `multi_line` says that quoted fields
+    may hold line breaks.
     """
     reader = spark.read.options(header=True, mode="PERMISSIVE", escape='"', multiLine=multi_line)
-    return reader.csv(path).select(*columns)
+    whole = reader.csv(path)
+    files = [unquote(name) for name in whole.inputFiles()]
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    if len(files) > 1:
+        for name in files:
+            by_header[tuple(reader.csv(name).columns)].append(name)
+        by_header.pop((), None)  # files of no bytes
+    if len(by_header) < 2:
+        return whole.select(*columns)
+    return reduce(DataFrame.union, [reader.csv(fs).select(*columns) for fs in by_header.values()])
 
 
 def read_exports(

@@ -163,3 +163,14 @@ def test_hot_value_and_wide_text(spark):
     row = profile.column_profiles(df, "t").first()
     assert (row.row_count, row.distinct_count) == (1000, 667)
     assert profile.top_values(df, "t", 1).first().frequency == 334
+
+
+def test_extremes_of_intervals_follow_their_length(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES (INTERVAL '9' DAY, INTERVAL '2-1' YEAR TO MONTH, 1),
+          (INTERVAL '10' DAY, INTERVAL '11-0' YEAR TO MONTH, 2), (NULL, NULL, NULL) t(d, m, n)""")
+    d, m, n = profile.column_profiles(df, "t").orderBy("ordinal").collect()
+    assert (d.min_value, d.max_value) == ("INTERVAL '9' DAY", "INTERVAL '10' DAY")
+    assert (m.min_value, m.max_value) == (
+        "INTERVAL '2-1' YEAR TO MONTH", "INTERVAL '11-0' YEAR TO MONTH")
+    assert (n.min_value, n.max_value, d.null_count, d.distinct_count) == ("1", "2", 1, 2)

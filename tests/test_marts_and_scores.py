@@ -239,3 +239,15 @@ def test_a_rerun_without_rows_leaves_none(spark, tmp_path):
     marts.write_run(rows.limit(0), path, run_id="a/1")
     assert [r.n for r in marts.read_run(spark, path, "b").collect()] == [2]
     assert marts.read_run(spark, path, "a/1").isEmpty()
+
+
+def test_files_of_a_folder_are_read_by_their_own_header(spark, tmp_path):
+    folder = tmp_path / "some users.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name,state\n1,N1,NY\n")
+    (folder / "b.csv").write_text("state,id,name\nTX,2,N2\n")
+    (folder / "c.csv").write_text("id,name,state\n3,N3,CA\n")
+    (folder / "d.csv").write_text("")
+    got = exports.read_export(spark, str(folder), ["id", "name", "state"])
+    assert {tuple(r) for r in got.collect()} == {
+        ("1", "N1", "NY"), ("2", "N2", "TX"), ("3", "N3", "CA")}

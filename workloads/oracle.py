@@ -635,7 +635,7 @@ def _daily() -> str:
 _HISTORY = f"""{_daily()}, history AS (
   SELECT run_id, run_ts, dataset_name, table_name, check_id AS check_name, dimension, issue_type,
     severity, failure_count AS affected_rows, failure_rate AS affected_pct, probable_root_cause,
-    recommended_fix FROM checks WHERE failure_count > 0)"""
+    recommended_fix, root_cause_candidates FROM checks WHERE failure_count > 0)"""
 ORACLE["issue_history_daily"] = f"{_HISTORY} SELECT * FROM history"
 _RECURRENCE = """
 SELECT check_name, table_name, issue_type, count(run_id) AS occurrences,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeframe import defaults
-from gaugeframe.config import GateSettings, Rule, RuleSet
+from gaugeframe.config import GateSettings, Rule
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
 from gaugeframe.operators.cleaning import clean_table
 from gaugeframe.operators.rules import count_failures
@@ -357,8 +357,7 @@ def issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks, _ = _run(spark, sf_dir)
-    verdict = gate.gate_verdict(scoring.overall_score(checks), checks, GATE)
+    verdict = gate.judge_checks(_checks(spark, sf_dir), GATE)
     return verdict.withColumn("critical_checks", F.array_join("critical_checks", ", "))
 
 
@@ -457,13 +456,7 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- history: every day is a run
 
-EVENT_RULES = RuleSet(
-    tuple(
-        rule
-        for rule in defaults.RULES
-        if rule.table == "events"
-    )
-)
+EVENT_RULES = defaults.RULES.only(*(r.id for r in defaults.RULES if r.table == "events"))
 
 
 def _daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,7 +478,7 @@ def _kept_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def issue_history_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_issues(spark, sf_dir).drop("sample_bad_rows_json", "root_cause_candidates")
+    return _daily_issues(spark, sf_dir).drop("sample_bad_rows_json")
 
 
 @query
