@@ -513,6 +513,14 @@ FROM checks"""
 
 ORACLE["score_overall"] = f"{CHECKS} {_score('')}"
 ORACLE["score_dimensions"] = f"{CHECKS} {_score('dimension,')} GROUP BY dimension"
+# What each spelling of the query keeps of the time, in its order.
+_KEPT = ("day", "second", "minute", "hour", "hour", "day", "second", "minute", "minute", "minute", "second")
+ORACLE["parsed_times"] = (
+    "SELECT o_orderkey, CASE o_orderkey % 11 "
+    + " ".join(f"WHEN {i} THEN date_trunc('{unit}', moment)" for i, unit in enumerate(_KEPT))
+    + " END AS parsed FROM (SELECT o_orderkey, date_trunc('day', CAST(o_orderdate AS TIMESTAMP))"
+    " + to_seconds(o_orderkey % 86400) AS moment FROM orders)"
+)
 ORACLE["score_record"] = f"""{CHECKS}
 SELECT {_STAMP}, {quote(RUN_TS)} AS run_ts, score, 100.0::DOUBLE AS baseline,
   0.0::DOUBLE AS minimum, total_penalty, total_weight, total_checks,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeframe import defaults
 from gaugeframe.config import GateSettings, Rule
+from gaugeframe.functions.timestamps import parse_timestamp
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
 from gaugeframe.operators.cleaning import clean_table
 from gaugeframe.operators.rules import count_failures
@@ -69,6 +70,30 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# How the time of an order is spelled, in turn by its key.
+TIME_SPELLINGS = (
+    "yyyyMMdd", "yyyyMMdd'T'HHmmss", "yyyyMMdd HH:mm", "yyyy-MM-dd'T'HH", "yyyy-MM-dd h a",
+    "d-MMM-yy", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", "EEE MMM d yyyy HH:mm", "HH:mm yyyy-MM-dd",
+    "d MMMM yyyy 'at' h:mm a", "yyyy-MM-dd HH:mm:ss 'EST'",
+)
+
+
+@query
+def parsed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CL8: every order's day, with a time made from its key, written in one of many spellings."""
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
+    moment = F.date_trunc("day", day).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), key % 86400
+    )
+    spelled = F.coalesce(*[
+        F.when(key % len(TIME_SPELLINGS) == i, F.date_format(moment, pattern))
+        for i, pattern in enumerate(TIME_SPELLINGS)
+    ])
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", parse_timestamp(spelled).alias("parsed")
+    )
+
+
 # ---------------------------------------------------------------- single rules
 
 
