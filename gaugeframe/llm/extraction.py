@@ -211,7 +211,8 @@ def induce(reference: list, cast: dict[int, tuple[int, int, int]], w: Wrapper) -
         mass[id(node)] = own + sum(mass[id(kid)] for kid in node[3])
     slot, node = [], reference
     while True:
-        inner = [k for k in node[3] if k[0] not in _LEAVES]
+        # Merged neighbours have no children and stand for many elements: never a slot.
+        inner = [k for k in node[3] if k[3] and k[0] not in _LEAVES]
         widest = max(inner, key=lambda k: mass[id(k)], default=None)
         if widest is None or mass[id(widest)] < w.slot_share * max(1, mass[id(node)]):
             break

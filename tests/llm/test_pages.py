@@ -113,6 +113,19 @@ def test_copies_of_a_page_are_no_template(spark):
     }
 
 
+def texts_of(spark, rows):
+    got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r.page_id: r.text for r in got.collect()}
+
+
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_sibling_containers_are_all_kept(spark, tag):
+    page = "<body><article><h1>T{0}</h1>" + "".join(f"<{tag}>par {k} of {{0}}</{tag}>" for k in "123")
+    got = texts_of(spark, [(i, "http://h/", page.format(f"n{i}") + "</article></body>") for i in range(7)])
+    for i in range(7):
+        assert got[i] == f"Tn{i}\npar 1 of n{i}\npar 2 of n{i}\npar 3 of n{i}"
+
+
 def test_tree_matching_by_hand():
     a = ["r", 0, [], [[x, 0, [], []] for x in "xyz"]]
     b = ["r", 0, [], [[x, 0, [], []] for x in "yqz"]]
