@@ -2,9 +2,9 @@
 
 Per host, one page is the reference (the smallest id hash). Every page's tree of blocks is
 aligned with it by simple tree matching, and each node of the reference gets the votes of all
-pages: equal text is constant, other text varies. Constant nodes are template. The content slot
-is the deepest container that holds almost all varying text. Extraction takes a page's node at
-the slot's path, without the template's texts, in page order.
+pages: text that is equal on almost all of them is constant, which makes it template. Extraction
+takes all texts of a page but the template's, in page order, so that nothing which varies is
+left out, wherever it stands.
 
 Elements whose tag, role or class says that they are no article (menus, headers, footers,
 sidebars, notices, adverts, forms, comments) never enter the trees, so that varying adverts and
@@ -16,9 +16,10 @@ reference and wrapper by joins on stored tables, which the adaptive skew join ma
 votes are as many as its reference has nodes.
 
 Defined results: a null html is an empty page and gives an empty text. A null or malformed url
-belongs to the empty host. Pages that the wrapper does not fit fall back on their own article,
-main or body element. Hosts of one page use that page's text alone. Rows that share a page_id
-are pages of their own. Other columns play no part.
+belongs to the empty host. Where too few pages vote to tell template from content, and on pages
+of template texts alone, the texts are those of the page's own article and main elements and its
+h1, or all if it has none of these. Rows that share a page_id are pages of their own. Other
+columns play no part.
 """
 
 from __future__ import annotations
@@ -49,7 +50,6 @@ NOISE_NAMES = frozenset(
     "subscribe toolbar widget".split()
 )
 _NAME = re.compile(r"[A-Z]?[a-z]+|[0-9]+")
-_LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption".split())
 
 
 @dataclass(frozen=True)
@@ -59,8 +59,6 @@ class Wrapper:
     # A constant text is template if so many pages agree, and at least this share of all.
     min_votes: int = 4
     constant_share: float = 0.8
-    # The slot is narrowed while one container holds this share of the varying text.
-    slot_share: float = 0.9
     # Pages that repeat more than this share of the reference's text are copies of it.
     copy_share: float = 0.5
 
@@ -173,97 +171,58 @@ def _places(reference: list) -> dict[int, int]:
     return places
 
 
-def votes(page: list, reference: list, w: Wrapper) -> list[tuple[int, int, int]]:
-    """(number, equal, varying) for the texts and nodes of the reference that the page matches.
+def votes(page: list, reference: list, w: Wrapper) -> list[tuple[int, int]]:
+    """(number, equal) for the root and the matched texts of the reference.
 
-    A text's vote is whether the page's node has it, a node's how many characters vary.
+    A text's vote is whether the page's node has it; the root's says that the page votes.
     """
     places = _places(reference)
     _, pairs = match(reference, page)
-    same, cast = 0, []
+    same, cast = 0, [(0, 0)]
     for ours, theirs in pairs:
         mine, has = {h for h, _ in ours[2]}, {h for h, _ in theirs[2]}
-        shared = sum(n for h, n in theirs[2] if h in mine)
-        same += shared
+        same += sum(n for h, n in theirs[2] if h in mine)
         at = places[id(ours)]
-        cast.append((at, 0, theirs[1] - shared))
-        cast += [(at + 1 + k, int(h in has), 0) for k, (h, _) in enumerate(ours[2])]
+        cast += [(at + 1 + k, int(h in has)) for k, (h, _) in enumerate(ours[2])]
     everything = sum(n[1] for n in numbered(page))
     return [] if same > w.copy_share * everything else cast
 
 
-def induce(reference: list, cast: dict[int, tuple[int, int, int]], w: Wrapper) -> dict:
-    """The wrapper from votes {number: (pages, equal, varying characters)}.
+def induce(reference: list, cast: dict[int, tuple[int, int]], w: Wrapper) -> dict:
+    """The wrapper from votes {number: (pages, equal)}.
 
-    `slot` is a path of tags below the root, `template` the hashes of constant texts.
+    `template` has the hashes of constant texts, `voted` says whether enough pages voted.
     """
     places = _places(reference)
-    template, mass = [], {}
-    for node in reversed(numbered(reference)):
-        at = places[id(node)]
-        own = cast.get(at, (0, 0, 0))[2]
-        for k, (text, n) in enumerate(node[2]):
-            pages, equal, _ = cast.get(at + 1 + k, (0, 0, 0))
+    template = []
+    for node in numbered(reference):
+        for k, (text, _) in enumerate(node[2]):
+            pages, equal = cast.get(places[id(node)] + 1 + k, (0, 0))
             if equal >= w.min_votes and equal >= w.constant_share * pages:
                 template.append(text)
-            else:
-                own += n
-        mass[id(node)] = own + sum(mass[id(kid)] for kid in node[3])
-    slot, node = [], reference
-    while True:
-        # Merged neighbours have no children and stand for many elements: never a slot.
-        inner = [k for k in node[3] if k[3] and k[0] not in _LEAVES]
-        widest = max(inner, key=lambda k: mass[id(k)], default=None)
-        if widest is None or mass[id(widest)] < w.slot_share * max(1, mass[id(node)]):
-            break
-        # Among equal tags the path takes the first, so it must lead to this one.
-        if next(k for k in node[3] if k[0] == widest[0]) is not widest:
-            break
-        slot.append(widest[0])
-        node = widest
-    return {"slot": slot, "template": sorted(template)}
+    return {"template": sorted(set(template)), "voted": cast.get(0, (0, 0))[0] >= w.min_votes}
 
 
 # ---------------------------------------------------------------- extraction
 
 
-def _descend(node: Node, tag: str, path: tuple[str, ...]) -> Node | None:
-    for kid in node.kids:
-        if isinstance(kid, Node) and kid.tag == tag and not is_noise(kid, path):
-            return kid
-    return None
-
-
-def _first(root: Node, tags: tuple[str, ...]) -> Node | None:
-    for tag in tags:
-        todo: list[tuple[Node, tuple[str, ...]]] = [(root, ())]
-        while todo:
-            node, path = todo.pop()
-            if node.tag == tag:
-                return node
-            todo.extend(
-                (k, path + (k.tag,)) for k in reversed(node.kids)
-                if isinstance(k, Node) and not is_noise(k, path + (k.tag,))
-            )
-    return None
+def page_texts(root: Node) -> list[tuple[bool, str]]:
+    """(declared, text) of the page's blocks, noise left out.
 
+    A text is declared content if it stands in an article or main element, or is an h1.
+    """
+    found = list(blocks(root, is_noise))
+    if not any("article" in path or "main" in path for path, _ in found):
+        return [(True, text) for _, text in found]
+    return [("article" in path or "main" in path or "h1" in path, text) for path, text in found]
 
-def main_text(page: str, wrapper: dict) -> str:
-    root = parse(page)
-    node, path = root, ()
-    for tag in wrapper["slot"]:
-        node = _descend(node, tag, path) if node is not None else None
-        path += (tag,)
-    template = set(wrapper["template"])
-
-    def texts(top: Node, where: tuple[str, ...]) -> list[str]:
-        return [t for _, t in blocks(top, is_noise, where) if not template or _hash(t) not in template]
 
-    found = texts(node, path) if node is not None else []
-    if not found:
-        own = _first(root, ("article", "main", "body")) or root
-        found = texts(own, ("article",) if own.tag == "article" else ())
-    return "\n".join(found)
+def main_text(texts: list[tuple[bool, str]], wrapper: dict) -> str:
+    found = []
+    if wrapper["voted"]:
+        template = set(wrapper["template"])
+        found = [text for _, text in texts if _hash(text) not in template]
+    return "\n".join(found or [text for declared, text in texts if declared])
 
 
 def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
@@ -293,14 +252,13 @@ def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
             for name, tree, reference in zip(pdf["host"], pdf["tree"], pdf["reference"]):
                 cast = votes(json.loads(tree), json.loads(reference), w)
                 out += [(name, *v) for v in cast]
-            yield pd.DataFrame(out, columns=["host", "node", "equal", "varying"])
+            yield pd.DataFrame(out, columns=["host", "node", "equal"])
 
     cast = (
         trees.join(references, "host")
-        .mapInPandas(vote, "host string, node int, equal int, varying long")
-        .groupBy("host", "node")
-        .agg(F.count("*").alias("pages"), F.sum("equal").alias("equal"), F.sum("varying").alias("varying"))
-        .groupBy("host").agg(F.collect_list(F.struct("node", "pages", "equal", "varying")).alias("cast"))
+        .mapInPandas(vote, "host string, node int, equal int")
+        .groupBy("host", "node").agg(F.count("*").alias("pages"), F.sum("equal").alias("equal"))
+        .groupBy("host").agg(F.collect_list(F.struct("node", "pages", "equal")).alias("cast"))
     )
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -308,7 +266,7 @@ def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
             found = []
             for reference, ballots in zip(pdf["reference"], pdf["cast"]):
                 counted = {} if ballots is None else {
-                    b["node"]: (b["pages"], b["equal"], b["varying"]) for b in ballots
+                    b["node"]: (b["pages"], b["equal"]) for b in ballots
                 }
                 found.append(json.dumps(induce(json.loads(reference), counted, w)))
             yield pd.DataFrame({"host": pdf["host"], "wrapper": found})
@@ -321,7 +279,10 @@ def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf[["page_id", "url"]].assign(
-                text=[main_text(h or "", json.loads(x)) for h, x in zip(pdf["html"], pdf["wrapper"])]
+                text=[
+                    main_text(page_texts(parse(h or "")), json.loads(x))
+                    for h, x in zip(pdf["html"], pdf["wrapper"])
+                ]
             )
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}

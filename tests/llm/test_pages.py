@@ -126,6 +126,17 @@ def test_sibling_containers_are_all_kept(spark, tag):
         assert got[i] == f"Tn{i}\npar 1 of n{i}\npar 2 of n{i}\npar 3 of n{i}"
 
 
+def test_what_stands_beside_a_long_body_is_kept(spark):
+    page = (
+        "<body><div><p>Site menu</p></div><div><h1>Title {0}</h1><p>Lead {0}</p>"
+        "<div><div><p>" + "body {0} " * 80 + "</p></div></div><section><p>End {0}</p></section></div></body>"
+    )
+    got = texts_of(spark, [(i, "http://h/", page.format(f"n{i}")) for i in range(7)])
+    for i in range(7):
+        body = " ".join([f"body n{i}"] * 80)
+        assert got[i] == f"Title n{i}\nLead n{i}\n{body}\nEnd n{i}"
+
+
 def test_tree_matching_by_hand():
     a = ["r", 0, [], [[x, 0, [], []] for x in "xyz"]]
     b = ["r", 0, [], [[x, 0, [], []] for x in "yqz"]]
