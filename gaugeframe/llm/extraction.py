@@ -1,19 +1,21 @@
 """Main text of pages by wrapper induction.
 
-Per host, one page is the reference (the smallest id hash). Every page's tree of blocks is
-aligned with it by simple tree matching, and each node of the reference gets the votes of all
-pages: text that is equal on almost all of them is constant, which makes it template. Extraction
-takes all texts of a page but the template's, in page order, so that nothing which varies is
-left out, wherever it stands.
+A host's pages of one layout (the same nesting of structural elements) are induced together.
+Per layout, one page is the reference: the smallest id hash of those with text. Every page's
+tree of blocks is aligned with it by simple tree matching, and each text of the reference gets
+the votes of all pages: text that is equal on almost all of them is constant, which makes it
+template. Template texts of layouts with many votes hold for the whole host. Extraction takes
+all texts of a page but the template's, in page order, so that nothing which varies is left
+out, wherever it stands.
 
 Elements whose tag, role or class says that they are no article (menus, headers, footers,
 sidebars, notices, adverts, forms, comments) never enter the trees, so that varying adverts and
 menus do not pass for content. Pages that hold mostly the reference's own text are copies and
 vote on nothing: what they share is content, not template.
 
-Skew: votes are sums per host and node, combined before the shuffle. Pages meet the host's
-reference and wrapper by joins on stored tables, which the adaptive skew join may split. A host's
-votes are as many as its reference has nodes.
+Skew: votes are sums per layout and text, combined before the shuffle. Pages meet the layout's
+reference and wrapper by joins on stored tables, which the adaptive skew join may split. A
+layout's votes are as many as its reference has texts.
 
 Defined results: a null html is an empty page and gives an empty text. A null or malformed url
 belongs to the empty host. Where too few pages vote to tell template from content, and on pages
@@ -50,14 +52,20 @@ NOISE_NAMES = frozenset(
     "subscribe toolbar widget".split()
 )
 _NAME = re.compile(r"[A-Z]?[a-z]+|[0-9]+")
+# Elements that make up a layout, down to a depth below the root; others come with the content.
+_STRUCTURE = frozenset("html body main article section div header center table tbody tr td".split())
+_LAYOUT_DEPTH = 4
 
 
 @dataclass(frozen=True)
 class Wrapper:
     """Thresholds of the induction."""
 
-    # A constant text is template if so many pages agree, and at least this share of all.
+    # A constant text is template if so many pages agree, and at least this share of all. Where
+    # fewer pages vote, all of them have to agree, and at least `least_votes`. Template texts
+    # hold for other layouts of the host from `min_votes` on.
     min_votes: int = 4
+    least_votes: int = 2
     constant_share: float = 0.8
     # Pages that repeat more than this share of the reference's text are copies of it.
     copy_share: float = 0.5
@@ -126,6 +134,21 @@ def _hash(text: str) -> str:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
+def layout(tree: list) -> str:
+    """A hash of the paths of structural elements with text, whatever their number and order."""
+    paths = set()
+
+    def walk(node: list, path: tuple[str, ...]) -> bool:
+        held = [walk(kid, path + (kid[0],)) for kid in node[3]]
+        text = bool(node[1]) or any(held)
+        if text and len(path) <= _LAYOUT_DEPTH and _STRUCTURE.issuperset(path):
+            paths.add("/".join(path))
+        return text
+
+    walk(tree, ())
+    return _hash(" ".join(sorted(paths)))
+
+
 def numbered(tree: list) -> list[list]:
     """The nodes in page order; a node's number is its place."""
     out, todo = [], [tree]
@@ -191,16 +214,22 @@ def votes(page: list, reference: list, w: Wrapper) -> list[tuple[int, int]]:
 def induce(reference: list, cast: dict[int, tuple[int, int]], w: Wrapper) -> dict:
     """The wrapper from votes {number: (pages, equal)}.
 
-    `template` has the hashes of constant texts, `voted` says whether enough pages voted.
+    `template` has the hashes of constant texts, `voted` says whether enough pages voted, `wide`
+    whether the template holds for the whole host.
     """
     places = _places(reference)
+    voters = cast.get(0, (0, 0))[0]
+    needed = min(w.min_votes, max(w.least_votes, voters))
     template = []
     for node in numbered(reference):
         for k, (text, _) in enumerate(node[2]):
             pages, equal = cast.get(places[id(node)] + 1 + k, (0, 0))
-            if equal >= w.min_votes and equal >= w.constant_share * pages:
+            if equal >= needed and equal >= w.constant_share * pages:
                 template.append(text)
-    return {"template": sorted(set(template)), "voted": cast.get(0, (0, 0))[0] >= w.min_votes}
+    return {
+        "template": sorted(set(template)), "voted": voters >= w.least_votes,
+        "wide": voters >= w.min_votes,
+    }
 
 
 # ---------------------------------------------------------------- extraction
@@ -217,48 +246,60 @@ def page_texts(root: Node) -> list[tuple[bool, str]]:
     return [("article" in path or "main" in path or "h1" in path, text) for path, text in found]
 
 
-def main_text(texts: list[tuple[bool, str]], wrapper: dict) -> str:
-    found = []
-    if wrapper["voted"]:
-        template = set(wrapper["template"])
-        found = [text for _, text in texts if _hash(text) not in template]
+def main_text(texts: list[tuple[bool, str]], template: set[str], voted: bool) -> str:
+    left = [(declared, text) for declared, text in texts if _hash(text) not in template]
+    found = [text for declared, text in left if voted or declared]
     return "\n".join(found or [text for declared, text in texts if declared])
 
 
 def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
     host = F.lower(F.coalesce(F.regexp_extract("url", r"(?s)://([^/?#]*)", 1), F.lit("")))
-    rows = pages.select("page_id", "url", "html", host.alias("host"))
+    rows = pages.select(
+        F.col("page_id").cast("string").alias("page_id"), "url", "html", host.alias("host"),
+        F.xxhash64("page_id", "url").alias("mark"),
+    )
+    key = ["host", "layout"]
 
     def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            trees = [json.dumps(compact(parse(h or ""))) for h in pdf["html"]]
-            yield pdf[["host", "mark"]].assign(tree=trees)
+            out = []
+            for page in pdf["html"]:
+                root = parse(page or "")
+                tree = compact(root)
+                empty = not any(node[1] for node in numbered(tree))
+                texts = json.dumps(page_texts(root), ensure_ascii=False)
+                out.append((layout(tree), empty, json.dumps(tree), texts))
+            found = pd.DataFrame(out, columns=["layout", "empty", "tree", "texts"], index=pdf.index)
+            yield pdf[["page_id", "url", "host", "mark"]].join(found)
 
     trees = stored(
-        rows.select("host", F.xxhash64("page_id", "url").alias("mark"), "html")
-        .mapInPandas(shrink, "host string, mark long, tree string"),
+        rows.mapInPandas(
+            shrink,
+            "page_id string, url string, host string, mark long, layout string, empty boolean, "
+            "tree string, texts string",
+        ),
         "trees",
     )
     references = stored(
-        trees.groupBy("host").agg(F.min(F.struct("mark", "tree")).alias("first"))
-        .select("host", F.col("first.tree").alias("reference")),
+        trees.groupBy(key).agg(F.min(F.struct("empty", "mark", "tree")).alias("first"))
+        .select(*key, F.col("first.tree").alias("reference")),
         "references",
     )
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for name, tree, reference in zip(pdf["host"], pdf["tree"], pdf["reference"]):
+            for *name, tree, reference in zip(*(pdf[c] for c in (*key, "tree", "reference"))):
                 cast = votes(json.loads(tree), json.loads(reference), w)
-                out += [(name, *v) for v in cast]
-            yield pd.DataFrame(out, columns=["host", "node", "equal"])
+                out += [(*name, *v) for v in cast]
+            yield pd.DataFrame(out, columns=[*key, "node", "equal"])
 
     cast = (
-        trees.join(references, "host")
-        .mapInPandas(vote, "host string, node int, equal int")
-        .groupBy("host", "node").agg(F.count("*").alias("pages"), F.sum("equal").alias("equal"))
-        .groupBy("host").agg(F.collect_list(F.struct("node", "pages", "equal")).alias("cast"))
+        trees.select(*key, "tree").join(references, key)
+        .mapInPandas(vote, "host string, layout string, node int, equal int")
+        .groupBy(*key, "node").agg(F.count("*").alias("pages"), F.sum("equal").alias("equal"))
+        .groupBy(key).agg(F.collect_list(F.struct("node", "pages", "equal")).alias("cast"))
     )
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,25 +309,38 @@ def extract(pages: DataFrame, w: Wrapper = Wrapper()) -> DataFrame:
                 counted = {} if ballots is None else {
                     b["node"]: (b["pages"], b["equal"]) for b in ballots
                 }
-                found.append(json.dumps(induce(json.loads(reference), counted, w)))
-            yield pd.DataFrame({"host": pdf["host"], "wrapper": found})
+                found.append(induce(json.loads(reference), counted, w))
+            yield pdf[key].assign(**{c: [x[c] for x in found] for c in ("template", "voted", "wide")})
 
     wrappers = stored(
-        references.join(cast, "host", "left").mapInPandas(learn, "host string, wrapper string"),
+        references.join(cast, key, "left").mapInPandas(
+            learn, "host string, layout string, template array<string>, voted boolean, wide boolean"
+        ),
         "wrappers",
     )
+    wide = stored(
+        wrappers.where("wide").select("host", F.explode("template").alias("text")).distinct()
+        .groupBy("host").agg(F.collect_list("text").alias("everywhere")),
+        "host-templates",
+    )
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[["page_id", "url"]].assign(
-                text=[
-                    main_text(page_texts(parse(h or "")), json.loads(x))
-                    for h, x in zip(pdf["html"], pdf["wrapper"])
-                ]
-            )
-
-    kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    text = rows.join(wrappers, "host").select("page_id", "url", "html", "wrapper").mapInPandas(
-        read, f"page_id {kinds['page_id']}, url string, text string"
+            out = []
+            for texts, own, everywhere, voted in zip(
+                pdf["texts"], pdf["template"], pdf["everywhere"], pdf["voted"]
+            ):
+                template = {*own, *(() if everywhere is None else everywhere)}
+                out.append(main_text(json.loads(texts), template, voted))
+            yield pdf[["page_id", "url"]].assign(text=out)
+
+    kind = pages.schema["page_id"].dataType
+    text = (
+        trees.select("page_id", "url", "texts", *key)
+        .join(wrappers.drop("wide"), key).join(wide, "host", "left")
+        .select("page_id", "url", "texts", "template", "everywhere", "voted")
+        .mapInPandas(read, "page_id string, url string, text string")
+    )
+    return text.select(
+        F.col("page_id").cast(kind), "url", "text", F.length("text").cast("long").alias("n_chars")
     )
-    return text.withColumn("n_chars", F.length("text").cast("long"))

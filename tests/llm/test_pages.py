@@ -137,6 +137,21 @@ def test_what_stands_beside_a_long_body_is_kept(spark):
         assert got[i] == f"Title n{i}\nLead n{i}\n{body}\nEnd n{i}"
 
 
+def test_layouts_of_a_host_are_induced_apart(spark):
+    """Also pages without text, of which one would have the smallest hash, and small hosts."""
+    one = "<body><div><p>Menu one</p></div><div><p>A {0}</p><p>more {0}</p></div></body>"
+    two = "<body><section><p>Menu two</p></section><main><p>B {0}</p><p>more {0}</p></main></body>"
+    rows = [(i, "http://h/", one.format(f"n{i}")) for i in range(20)]
+    rows += [(i, "http://h/", two.format(f"n{i}")) for i in range(20, 40)]
+    rows += [(i, "http://h/", "" if i % 2 else None) for i in range(40, 80)]
+    rows += [(i, "http://small/", one.format(f"n{i}")) for i in range(80, 83)]
+    rows += [(90, "http://single/", two.format("n90"))]
+    got = texts_of(spark, rows)
+    for i, text in got.items():
+        kind = "B" if 20 <= i < 40 or i == 90 else "A"
+        assert text == ("" if 40 <= i < 80 else f"{kind} n{i}\nmore n{i}")
+
+
 def test_tree_matching_by_hand():
     a = ["r", 0, [], [[x, 0, [], []] for x in "xyz"]]
     b = ["r", 0, [], [[x, 0, [], []] for x in "yqz"]]
