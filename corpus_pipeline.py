@@ -14,8 +14,9 @@ from gaugeframe.llm.common import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass, with their failing lines removed."""
-    judged = quality.clean_lines(docs, prefix="_q_").where("_q_kept")
+    """Documents that pass, without notices and other failing lines; the rest is as it was."""
+    rules = quality.QualityRules(notices_only=True)
+    judged = quality.clean_lines(docs, rules=rules, prefix="_q_").where("_q_kept")
     text = F.col("_q_clean_text")
     return judged.withColumns(
         {"text": text, "n_chars": F.length(text).cast("long")}

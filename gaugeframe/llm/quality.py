@@ -5,6 +5,12 @@ Failing lines are removed; a document that loses too much of its text is rejecte
 that, two base rules hold for whole texts: enough words, and not too many words in eight-word
 windows that occur twice.
 
+There are two sets of line rules. The default one is that of op10's SQL: any line with a phrase
+of BOILERPLATE fails, and blank lines and later copies of a line go and count as lost. With
+`notices_only`, as the pipeline cleans, a line fails as boilerplate only if it is a notice or
+mostly made of such phrases, closing brackets are text, and all lines that fail no rule stay as
+they are, blank and equal ones included.
+
 Defined results: a null or empty text has no words, fails the base rules and is rejected. Rows
 are judged one by one, so repeated rows get equal results and other columns play no part. A
 table without rows gives none. Everything is an expression over one row; nothing is shuffled.
@@ -28,6 +34,22 @@ BOILERPLATE = (
     "subscribe to", "sign up for", "click here", "read more", "share this",
 )
 BOILERPLATE_PATTERN = "|".join(BOILERPLATE)
+# Notices, as whole lines or phrases that prose on the same topics does not have. Lower case.
+NOTICE_PATTERN = "|".join((
+    r"^\W*(?:copyright\s*(?:©|\(c\)|[0-9]{4})|©|\(c\)\s*[0-9]{4})",
+    r"(?:^|[.;,|)0-9-]\s*)all rights reserved\W*$",
+    r"^\W*(?:this (?:work|software|project|program|page|site|website|document|content|file|"
+    r"article|text|code|material) is )?(?:licensed|released) under the\b",
+    r"\b(?:we|site|website|page) uses? cookies\b", r"\baccept (?:all )?cookies\b",
+    r"^\W*(?:please )?enable javascript\b", r"\bjavascript (?:is disabled|must be enabled)\b",
+    r"^\W*(?:please )?(?:subscribe to|sign up for) (?:our|my)\b.*\b(?:newsletter|updates|list|feed|channel)\b",
+))
+# Phrases that make a line a notice if they are at least half of it.
+PHRASE_PATTERN = (
+    r"\b(?:all rights reserved|terms of use|terms of service|privacy policy|cookie policy|"
+    r"cookie settings|cookie notice|lorem ipsum|click here|read more|share this)\b"
+)
+BRACKETS = r"^[\s{}()\[\];,]+$"
 MENU_SEPARATORS = "|»›•·"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 HAS_LETTER_OR_DIGIT = r"[\p{L}\p{N}]"
@@ -53,6 +75,8 @@ class QualityRules:
     stutter_words: int = 10
     stutter_distinct_pct: int = 25
     stutter_adjacent_pct: int = 50
+    # Only notices are boilerplate; lines that fail no rule stay as they are.
+    notices_only: bool = False
     # A document must keep this share of its characters other than white space.
     min_kept_pct: int = 50
 
@@ -155,12 +179,23 @@ def _adjacent(tokens: Column) -> Column:
     return F.size(F.filter(F.zip_with(tokens, _tail(tokens, 1), lambda a, b: a == b), lambda x: x))
 
 
+def _boilerplate(line: Column, ink: Column, rules: QualityRules) -> Column:
+    lowered = F.lower(line)
+    if not rules.notices_only:
+        return lowered.rlike(BOILERPLATE_PATTERN)
+    rest = _ink(words(F.regexp_replace(lowered, PHRASE_PATTERN, " ")))
+    return lowered.rlike(NOTICE_PATTERN) | (lowered.rlike(PHRASE_PATTERN) & (rest * 2 <= ink))
+
+
 def failing_rule(line: Column, rules: QualityRules) -> Column:
     """The first rule that a line fails, or null. Lines without a word fail none."""
 
     def judge(tokens: Column, ink: Column) -> Column:
         separators = _count(line, MENU_SEPARATORS)
         exclamations = _count(line, "!")
+        bare = ~line.rlike(HAS_LETTER_OR_DIGIT)
+        if rules.notices_only:
+            bare = bare & ~line.rlike(BRACKETS)
         return (
             F.when(ink == 0, F.lit(None).cast("string"))
             .when(
@@ -174,10 +209,10 @@ def failing_rule(line: Column, rules: QualityRules) -> Column:
                 & (exclamations * rules.chars_per_exclamation >= ink),
                 "punctuation",
             )
-            .when(~line.rlike(HAS_LETTER_OR_DIGIT), "punctuation")
+            .when(bare, "punctuation")
             .when(
                 (ink <= rules.max_boilerplate_chars)
-                & F.lower(line).rlike(BOILERPLATE_PATTERN),
+                & _boilerplate(line, ink, rules),
                 "boilerplate",
             )
             .when(
@@ -199,14 +234,18 @@ def clean_lines(
 ) -> DataFrame:
     """All columns of `docs`, and what the rules find, in columns that start with `prefix`.
 
-    `clean_text` is the text without its failing lines and without later copies of a line;
-    `clean_chars` counts its characters other than white space. Columns of `docs` that
+    `clean_text` is the text without its failing lines and, unless `notices_only` is set, without
+    blank lines and later copies of a line; `clean_chars` counts its characters other than white space. Columns of `docs` that
     already have one of these names are replaced.
     """
     body = text_of(text)
     lines = F.split(body, "\n")
     with_word = F.filter(lines, lambda line: line.rlike(HAS_WORD))
-    good = F.array_distinct(F.filter(with_word, lambda line: failing_rule(line, rules).isNull()))
+    good = F.filter(
+        lines if rules.notices_only else with_word, lambda line: failing_rule(line, rules).isNull()
+    )
+    if not rules.notices_only:
+        good = F.array_distinct(good)
     counted = let(
         words(body),
         lambda t: F.struct(

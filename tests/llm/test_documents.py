@@ -69,6 +69,30 @@ def test_quality_verdicts(docs):
     assert out.z_clean_text == GOOD and out.note == "x" and out.n_words == -1
 
 
+def test_pipeline_leaves_clean_prose_and_code_as_they_are(spark):
+    prose = (
+        "Bake each cookie for ten minutes.\nJavaScript runs in the browser.\n\n"
+        "Copyright law protects authors of 1976 and later.\nMy aunt used to subscribe to two papers.\n"
+        "Nobody should read more than this into it.\nThe song was licensed under odd terms.\n"
+        "Cookies\nOh, the river runs.\nWe baked on and on.\nOh, the river runs.\n"
+    )
+    code = (
+        "function total(list) {\n  let sum = 0;\n  for (const x of list) {\n    sum += x;\n  }\n"
+        "  return sum;\n}\n\nfunction first(list) {\n  if (list.length) {\n    return list[0];\n  }\n"
+        "  return null;\n}\n"
+    )
+    notices = (
+        "Copyright (c) 2020 Somebody", "© 2021 A. Company. All rights reserved.", "Read more",
+        "Privacy policy and terms of use", "Licensed under the Apache License, Version 2.0.",
+        "This site uses cookies to improve your visit.", "Please enable JavaScript to go on.",
+        "Subscribe to our weekly newsletter!", "Share this page",
+    )
+    rows = [(1, prose), (2, code), (3, "\n".join(notices) + "\n" + prose), (4, "\n".join(notices))]
+    df = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, df, "").collect()}
+    assert got == {1: prose, 2: code, 3: prose}
+
+
 @pytest.mark.parametrize("frame", ["docs", "given"])
 def test_pii_base(frame, request):
     df = request.getfixturevalue(frame)
