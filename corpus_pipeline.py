@@ -24,18 +24,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id.
+    """One row of each group of near duplicates: the one with the smallest id.
 
-    Of rows that share an id, the first by text stays. Rows without id cannot be told apart
-    and stay.
+    A row without id stays only if its group has no id; of rows that share the id, the first by
+    a hash of the text. Texts without words are no duplicates and stay.
     """
-    kept = near_dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    first = Window.partitionBy("doc_id").orderBy("text")
+    rows = near_dedup.grouped_rows(docs)
+    place = F.struct(F.col("doc").isNull().alias("unnamed"), F.coalesce("doc", F.lit(0).cast("long")).alias("doc"), "t1", "t2")
+    kept = stored(
+        rows.where("n > 0").groupBy("root").agg(F.min(place).alias("row")).select("row.*"), "kept"
+    )
+    ends = ["unnamed", "doc", "t1", "t2"]
+    doc = F.col("doc_id").cast("long")
+    placed = docs.withColumns(
+        {"unnamed": doc.isNull(), "doc": F.coalesce(doc, F.lit(0).cast("long"))}
+    ).select("*", *near_dedup.text_keys("text"))
+    first = Window.partitionBy(*ends).orderBy(F.xxhash64(*docs.columns))
     named = (
-        docs.join(kept.distinct(), "doc_id", "left_semi")
+        placed.join(kept, ends, "left_semi")
         .withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
     )
-    return named.select(docs.columns).union(docs.where("doc_id IS NULL"))
+    wordless = ~F.coalesce(F.col("text").rlike(quality.HAS_WORD), F.lit(False))
+    return named.select(docs.columns).union(docs.where(wordless))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

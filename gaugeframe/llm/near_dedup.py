@@ -1,7 +1,8 @@
 """Near-duplicate documents: SuperMinHash signatures, banding, verification, union-find.
 
-1. Every text becomes a set of hashed word shingles. Equal sets are one node, whose id is the
-   smallest document id; nothing later grows with the number of exact copies.
+1. Every text becomes a set of hashed word shingles. Equal sets are one node, whose id is a hash
+   of the set, so that rows which share a document id or have none are nodes by their texts.
+   Only the result names components, by their smallest document id; nothing later grows with the number of exact copies.
 2. SuperMinHash: each shingle ranks the signature's slots by a permutation of its own, and the
    j-th ranked slot is offered j plus a random fraction. A slot keeps its smallest offer, and
    ranks stop once no later one could win. The permutation is a keyed mixing of j, so numpy
@@ -161,7 +162,8 @@ def _features(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFr
                 h2 = [int(np.bitwise_xor.reduce(_mix(s + _U(7)), initial=_U(0)).view(np.int64)) for s in sets]
             yield pd.DataFrame(
                 {
-                    "id": part["id"].array, "n": [len(s) for s in sets], "h1": h1, "h2": h2,
+                    "doc": part["doc"].array, "t1": part["t1"].array, "t2": part["t2"].array,
+                    "n": [len(s) for s in sets], "h1": h1, "h2": h2,
                     "bands": [band[at[i]].view(np.int64) if i in at else None for i in range(len(part))],
                     "sig": [
                         (sig[at[i]] & _U(255)).astype(np.uint8).tobytes() if i in at else None
@@ -171,13 +173,20 @@ def _features(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFr
             )
 
 
+def text_keys(text: str) -> list[F.Column]:
+    """`t1`, `t2`: a 128-bit hash of the text."""
+    body = F.col(text).cast("string")
+    return [F.xxhash64(body).alias("t1"), F.xxhash64(F.lit(1), body).alias("t2")]
+
+
 def features(docs: DataFrame, p: NearDup, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, set size `n`, a 128-bit hash of the set, band keys and signature bytes."""
+    """Per row: id `doc`, text keys, set size `n`, a 128-bit hash of the set, band keys and
+    signature bytes."""
     return docs.select(
-        F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("long").alias("doc"), *text_keys(text), F.col(text).cast("string").alias("text")
     ).mapInPandas(
         lambda batches: _features(batches, p),
-        "id long, n long, h1 long, h2 long, bands array<long>, sig binary",
+        "doc long, t1 long, t2 long, n long, h1 long, h2 long, bands array<long>, sig binary",
     )
 
 
@@ -203,7 +212,7 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
-    """Full sets (id, n, items) of the rows in `ids`, from their whole texts."""
+    """Full sets (id, n, items) of the nodes in `ids`, from their whole texts."""
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(p.shingle)
@@ -217,7 +226,8 @@ def _sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
                 )
 
     return (
-        docs.join(ids, "id", "left_semi").mapInPandas(build, "id long, n long, items binary")
+        docs.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        .mapInPandas(build, "id long, n long, items binary")
     )
 
 
@@ -451,23 +461,31 @@ def components(links: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
-def near_duplicates(
+def grouped_rows(
     docs: DataFrame, p: NearDup = NearDup(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of `docs`."""
+    """(doc, t1, t2, n, root, component_id) for every row of `docs`.
+
+    `root` tells the components apart, and is null for texts without words; `component_id` is
+    the smallest document id in it, or null.
+    """
     rows = stored(features(docs, p, doc_id, text), "features")
+    # A row of each set stands for its node; which one of equal texts does not matter.
+    place = F.coalesce("doc", F.lit(0).cast("long")).alias("place")
     copies = stored(
-        rows.where("n > 0 AND id IS NOT NULL")
-        .groupBy("h1", "h2", "n").agg(F.min("id").alias("id")),
+        rows.where("n > 0").groupBy("h1", "h2", "n")
+        .agg(F.min("doc").alias("doc"), F.min(F.struct(place, "t1", "t2")).alias("row"))
+        .select("h1", "h2", "n", "doc", "row.place", "row.t1", "row.t2",
+                F.shiftrightunsigned(F.xxhash64("h1", "h2", "n"), 1).alias("id")),
         "copies",
     )
-    # One row per node. Rows that share a doc_id are one node if their sets differ, too.
+    ends = ["place", "t1", "t2"]
     nodes = stored(
-        rows.where("n > 0").join(copies, ["h1", "h2", "n", "id"], "left_semi")
-        .dropDuplicates(["id", "h1", "h2"]),
+        rows.where("n > 0").select("*", place)
+        .join(copies.drop("doc"), ["h1", "h2", "n", *ends])
+        .select("id", "n", "bands", "sig").dropDuplicates(["id"]),
         "nodes",
     )
-    one_row_each = nodes.dropDuplicates(["id"])
     keyed = nodes.select(F.explode("bands").alias("key"), "id", "n")
     met = stored(
         keyed.groupBy("key").agg(F.count("*").alias("met"), F.min("id").alias("x"), F.max("id").alias("y"))
@@ -493,10 +511,11 @@ def near_duplicates(
         .agg(F.max(F.struct("weight", (-F.col("leader")).alias("leader"))).alias("best"))
         .select((-F.col("best.leader")).alias("a"), "b")
     )
-    texts = docs.select(
-        F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")
+    texts = (
+        docs.select(F.col(doc_id).cast("long").alias("doc"), *text_keys(text), F.col(text).cast("string").alias("text"))
+        .select("t1", "t2", "text", place).join(copies.select("id", *ends), ends).select("id", "text")
     )
-    links = stored(verified(stored(stars, "stars"), one_row_each, texts, p), "links")
+    links = stored(verified(stored(stars, "stars"), nodes, texts, p), "links")
     labels = components(links)
 
     def grouped(frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -510,17 +529,29 @@ def near_duplicates(
     mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     mixed = stored(mixed.where("x != y").select("key"), "mixed")
     open_ = stored(placed.join(mixed, "key", "left_semi"), "open")
-    more = stored(across_groups(open_, one_row_each, texts, p), "links")
+    more = stored(across_groups(open_, nodes, texts, p), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 
     component = stored(
         copies.join(labels, "id", "left")
-        .select("h1", "h2", "n", F.coalesce("root", "id").alias("component_id")),
+        .select("h1", "h2", "n", "doc", F.coalesce("root", "id").alias("root")),
         "components",
     )
-    return rows.join(component, ["h1", "h2", "n"], "left").select(
-        F.col("id").alias(doc_id),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    names = stored(component.groupBy("root").agg(F.min("doc").alias("component_id")), "names")
+    named = stored(component.drop("doc").join(names, "root"), "named")
+    return rows.select("doc", "t1", "t2", "n", "h1", "h2").join(
+        named, ["h1", "h2", "n"], "left"
+    ).select(
+        "doc", "t1", "t2", "n", "root",
+        F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, p: NearDup = NearDup(), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of `docs`."""
+    return grouped_rows(docs, p, doc_id, text).select(
+        F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
     ).withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))

@@ -173,6 +173,26 @@ def test_near_duplicates_chains_in_blocks(spark):
     assert {r.doc_id: r.component_id for r in got} == root
 
 
+def test_near_duplicates_of_shared_and_missing_ids(spark):
+    """Rows with one id and different texts, each near another row; rows without id in copies."""
+    def text(stem, change=None):
+        return " ".join(f"{stem}{'x' if i == change else i}" for i in range(80))
+
+    rows = [(7, text("a")), (8, text("a", 40)), (7, text("b")), (9, text("b", 3)), (7, text("c"))]
+    rows += [(None, text("d")), (None, text("d")), (None, text("a", 9)), (12, " "), (12, "")]
+    df = stored(spark.createDataFrame(
+        [(*r, "en") for r in rows], "doc_id long, text string, lang string"), "shared")
+    got = near_dedup.near_duplicates(df).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == sorted(
+        [("7", "7")] * 3 + [("8", "7"), ("9", "7"), ("12", "12"), ("12", "12"), ("None", "7")]
+        + [("None", "None")] * 2
+    )
+    kept = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(
+        map(str, [rows[0], rows[2], rows[4], rows[5], rows[8], rows[9]])
+    )
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(3)
     for both, each in ((400, 50), (40, 30), (8, 1)):
