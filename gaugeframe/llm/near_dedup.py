@@ -183,11 +183,12 @@ def features(docs: DataFrame, p: NearDup, doc_id: str = "doc_id", text: str = "t
     """Per row: id `doc`, text keys, set size `n`, a 128-bit hash of the set, band keys and
     signature bytes."""
     return docs.select(
-        F.col(doc_id).cast("long").alias("doc"), *text_keys(text), F.col(text).cast("string").alias("text")
-    ).mapInPandas(
+        F.col(doc_id).cast("long").cast("string").alias("doc"), *text_keys(text),
+        F.col(text).cast("string").alias("text"),
+    ).mapInPandas(  # ids as text: beside nulls pandas would round large numbers
         lambda batches: _features(batches, p),
-        "doc long, t1 long, t2 long, n long, h1 long, h2 long, bands array<long>, sig binary",
-    )
+        "doc string, t1 long, t2 long, n long, h1 long, h2 long, bands array<long>, sig binary",
+    ).withColumn("doc", F.col("doc").cast("long"))
 
 
 # ---------------------------------------------------------------- verification

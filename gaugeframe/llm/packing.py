@@ -95,7 +95,8 @@ def pack(
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf["group"].iloc[0])
-        keys = ["size", "doc_id", "source", "cluster"]
+        keys = ["size", "order", "source", "cluster"]
+        pdf["order"] = pd.array([None if d is None else int(d) for d in pdf["doc_id"]], "Int64")
         pdf = pdf.sort_values(keys, ascending=[False, True, True, True], na_position="last")
         out, rest, whole = [], [], 0
         for row in zip(pdf["doc_id"], pdf["source"], pdf["cluster"], pdf["size"]):
@@ -117,10 +118,11 @@ def pack(
             out,
             columns=["doc_id", "source", "piece", "first_word", "n_words", "bin", "bin_offset"],
         )
-        return result.astype({"doc_id": "Int64", "bin_offset": "Int64"})
+        return result.astype({"bin_offset": "Int64"})
 
-    return dealt.groupBy("group").applyInPandas(
+    # Ids as text: beside nulls pandas would round large numbers.
+    return dealt.withColumn("doc_id", F.col("doc_id").cast("long").cast("string")).groupBy("group").applyInPandas(
         fill,
-        "doc_id long, source string, piece int, first_word long, n_words long, bin string, "
+        "doc_id string, source string, piece int, first_word long, n_words long, bin string, "
         "bin_offset long",
-    )
+    ).withColumn("doc_id", F.col("doc_id").cast("long"))

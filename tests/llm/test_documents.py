@@ -285,6 +285,16 @@ def test_packing_keeps_copies_apart(docs):
     assert len({r.bin for r in rows if r.doc_id == 8}) == 3
 
 
+def test_large_ids_beside_nulls_are_not_rounded(spark):
+    big = 2**60
+    rows = [(big + i if i % 3 else None, f"some words of text {i}", "s") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    want = sorted(str(r[0]) for r in rows)
+    assert sorted(str(r.doc_id) for r in packing.pack(df).collect()) == want
+    features = near_dedup.features(df, near_dedup.NearDup())
+    assert sorted(str(r.doc) for r in features.select("doc").collect()) == want
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     bins = packing.Bins(packing.Packing(capacity=10, source_share=0.8))
     assert bins.place(6, "a", 1) == (0, 0) and bins.place(7, "b", 2) == (1, 0)
