@@ -36,8 +36,6 @@ RULES = (
 @dataclass(frozen=True)
 class UrlOptions:
     rules: tuple[tuple[str, str], ...] = RULES
-    # The longest word a host label may contain.
-    max_word: int = 24
     buckets: int = 1 << 14
     smoothing: float = 1.0
 
@@ -101,6 +99,10 @@ def segmented_hosts(hosts: DataFrame, pages: DataFrame, o: UrlOptions) -> DataFr
     labels = hosts.select("host").distinct().select(
         "host", F.posexplode(F.split("host", "[.:]")).alias("at", "label")
     ).withColumn("part", F.explode(F.split("label", r"[^\p{L}]+")))
+    counts = stored(word_counts(pages), "word-counts")
+    # No piece longer than the longest word that a label of a host can hold (63 letters by DNS)
+    # or that the texts have is worth a look.
+    longest = counts.where(F.length("word") <= 63).agg(F.max(F.length("word"))).first()[0] or 1
     parts = stored(labels.select("part").where("part != ''").distinct(), "host-parts")
     pieces = parts.select(
         "part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("i")
@@ -108,12 +110,11 @@ def segmented_hosts(hosts: DataFrame, pages: DataFrame, o: UrlOptions) -> DataFr
         "part",
         F.explode(
             F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(o.max_word), F.length("part") - F.col("i") + 1)),
+                F.sequence(F.lit(1), F.least(F.lit(longest), F.length("part") - F.col("i") + 1)),
                 lambda n: F.substr(F.col("part"), F.col("i"), n),
             )
         ).alias("word"),
     ).distinct()
-    counts = stored(word_counts(pages), "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 1
     known = (
         pieces.join(counts, "word")

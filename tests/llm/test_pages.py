@@ -227,6 +227,17 @@ def test_viterbi_against_all_splits():
     assert url_filter.viterbi("qqad", cost, 20.0) == ["qq", "ad"]
 
 
+def test_long_words_of_the_texts_are_found_in_hosts(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    df = spark.createDataFrame(
+        [(1, f"http://my{word}.de/", f"<p>my {word} my donau dampf</p>")],
+        "page_id long, url string, html string",
+    )
+    hosts = df.selectExpr(f"'my{word}.de' AS host")
+    got = url_filter.segmented_hosts(hosts, df, url_filter.UrlOptions()).first()
+    assert got.words == sorted(["de", "my", word])
+
+
 def test_classifier_separates_hosts(spark):
     rows = [(i, f"http://{'badads' if i % 2 else 'goodnews'}.x.{'com' if i % 2 == 0 else 'net'}/{'es/' if i % 2 else ''}p{i}",
              "<p>bad ads good news</p>" * 3) for i in range(40)]
