@@ -114,3 +114,40 @@ based AS (
 )
 SELECT *, NOT base_failed AND clean_chars * 100 >= word_chars * 50 AS kept FROM based
 """
+
+# Terms of a text: only A-Z is lower-cased, letters beyond ASCII are kept as they are.
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+ORACLE["op11_decontamination"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents
+),
+items AS (SELECT item_id, {_TERMS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS m,
+         array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS w
+  FROM (SELECT item_id, words, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM items WHERE len(words) > 0)
+),
+places AS (
+  SELECT r, i, m, array_to_string(words[i:i + m - 1], ' ') AS w
+  FROM (SELECT r, words, m, unnest(range(1, len(words) - m + 2)) AS i
+        FROM d, (SELECT DISTINCT m FROM windows) WHERE len(words) >= m)
+),
+hits AS (SELECT r, i, m, item_id FROM places JOIN windows USING (m, w)),
+marked AS (
+  SELECT r, count(DISTINCT word_at) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + m)) AS word_at FROM hits) GROUP BY r
+),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeframe.llm import (
-    extraction, language_id, mixing, near_dedup, packing, pii, quality, topk_search, url_filter,
-    warc,
+    decontamination, extraction, language_id, mixing, near_dedup, packing, pii, quality,
+    topk_search, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,11 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a ten-word window of a benchmark item."""
+    return decontamination.digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
