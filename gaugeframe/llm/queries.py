@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeframe.llm import (
-    decontamination, extraction, language_id, mixing, near_dedup, packing, pii, quality,
-    topk_search, url_filter, warc,
+    decontamination, extraction, hard_negatives, language_id, lexical_search, mixing, near_dedup,
+    packing, pii, quality, topk_search, url_filter, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,17 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return lexical_search.ranked(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
