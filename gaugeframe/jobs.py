@@ -14,8 +14,7 @@ from gaugeframe import defaults
 from gaugeframe.config import load_gate_settings, load_root_causes, load_rules, load_vocabulary
 from gaugeframe.functions.timestamps import parse_timestamp, utc_now
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
-from gaugeframe.operators.samples import sample_json, sample_rows
-from gaugeframe.plans.validation import Run, rejudge, validate
+from gaugeframe.plans.validation import Run, validate
 from gaugeframe.session import configure
 from gaugeframe.sources import exports, marts, synthetic
 
@@ -53,22 +52,16 @@ def run_profile(spark: SparkSession, args) -> None:
 
 
 def run_validate(spark: SparkSession, args) -> None:
-    """Check results are written first; what follows is derived from the written rows."""
+    """Two scans per table give checks and issues; the rest is derived from marts or metrics."""
     tables = exports.read_staged(spark, args.stage)
     rules = _rules(spark, args)
     now = args.run_ts or datetime.now(timezone.utc).isoformat()
     run = Run(args.run_id, args.dataset, now)
     as_of = F.coalesce(parse_timestamp(F.lit(now)), utc_now())
-    validation = validate(tables, rules, run, as_of=as_of, with_samples=False)
+    validation = validate(tables, rules, run, as_of=as_of)
     marts.write_run(validation.checks, f"{args.marts}/dq_check_results")
-    judged = rejudge(marts.read_run(spark, f"{args.marts}/dq_check_results", args.run_id), rules)
-    # One row per rule: which of them need samples at all.
-    failing = [r.check_id for r in judged.where("failure_count > 0").select("check_id").collect()]
-    samples = sample_json(sample_rows(tables, rules.only(*failing), as_of)) if failing else None
-    issues = outcomes.issue_log(judged, run.run_id, run.dataset_name, run.run_ts, samples)
-    marts.write_run(issues, f"{args.marts}/dq_issue_history", run_id=run.run_id)
+    marts.write_run(validation.issues, f"{args.marts}/dq_issue_history", run_id=run.run_id)
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
-    validation.release()
     top = history.recurrence(_mart(spark, args, "dq_issue_history"))
     top = top.withColumn("run_id", F.lit(run.run_id))
     marts.write_run(top, f"{args.marts}/dq_issue_recurrence", run_id=run.run_id)

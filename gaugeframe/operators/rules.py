@@ -1,17 +1,21 @@
 """The nine rule types as Spark plans.
 
-Rules fall into three families, and each family shares its passes over the data:
-
-* row rules (NULL_PERCENTAGE, PATTERN, DATE_RANGE, TIMESTAMP_ORDER, ENUM,
-  NON_NEGATIVE_COUNTS) become boolean columns; one aggregate per table counts them all;
-* key rules (DUPLICATE_PERCENTAGE, UNIQUE_MAPPING) only need how often each key occurs; one
-  GROUPING SETS aggregate per table counts every key of every rule. Map-side partial
-  aggregation turns a hot key into one row per task before anything is shuffled;
-* reference rules (FK) count rows per foreign key first and then join the counts, not the
-  rows, with the distinct referenced keys. A hot key is a single row in that join.
-
-Every family emits `(check_id, failure_count, total_rows)`. With `by`, the same passes
-evaluate many runs at once, one result per run and check.
+A table is scanned once, whatever its rules. One GROUPING SETS aggregate, the table's summary,
+counts its rows per
+
+* set of row rules that fail together (NULL_PERCENTAGE, PATTERN, DATE_RANGE, TIMESTAMP_ORDER,
+  ENUM, NON_NEGATIVE_COUNTS), as bits of a number;
+* key of each duplicate rule and (key, value) of each mapping (DUPLICATE_PERCENTAGE,
+  UNIQUE_MAPPING);
+* key of each reference, on the referring and on the referred side alike (FK).
+
+Map-side partial aggregation turns a hot key into one row per task before anything is shuffled.
+The summaries of all tables then become shares (rule, key, rows, ...), which meet in one
+aggregate per rule and key: there a mapping sees the values of a key, and a reference whether
+the other table knows the key. No rows are joined, and no table is read for another's rule.
+
+The outcome is `(check_id, failure_count, total_rows)`. With `by`, the same passes evaluate
+many runs at once, one result per run and check.
 """
 
 from __future__ import annotations
@@ -24,12 +28,11 @@ from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.config import Rule
-from gaugeframe.functions.stats import count_when
 from gaugeframe.functions.text import strip_spaces
 from gaugeframe.functions.timestamps import utc_now
 
@@ -145,20 +148,7 @@ def row_checks(
     return dict(grouped)
 
 
-def _count_row_checks(df: DataFrame, checks: Sequence[RowCheck], by: Sequence[str]) -> DataFrame:
-    counts = [count_when(check.failing).alias(f"_f{i}") for i, check in enumerate(checks)]
-    total = F.count(F.lit(1)).alias("total_rows")
-    wide = df.groupBy(*by).agg(total, *counts) if by else df.agg(total, *counts)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(check.rule.id).alias("check_id"), F.col(f"_f{i}").alias("failure_count"))
-            for i, check in enumerate(checks)
-        ]
-    )
-    return wide.select(*by, F.inline(pairs), "total_rows")
-
-
-# ---------------------------------------------------------------- key rules
+# ---------------------------------------------------------------- table summaries
 
 
 def key_columns(rule: Rule) -> tuple[str, ...]:
@@ -170,137 +160,243 @@ def key_columns(rule: Rule) -> tuple[str, ...]:
     return rule.columns
 
 
-def _count_key_rules(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) -> DataFrame:
-    # Rules over the same columns, in whatever order, share one grouping set.
-    sets = list(dict.fromkeys(frozenset(key_columns(rule)) for rule in rules))
-    columns = sorted({c for one in sets for c in one})
-    masks = {
-        one: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in one)
-        for one in sets
-    }
-    slim = df.select(*by, *columns)
-    if len(sets) == 1:
-        per_key = slim.groupBy(*by, *columns).agg(
-            F.lit(0).cast("long").alias("_set"), F.count(F.lit(1)).alias("_n")
-        )
-    else:
-        # The run columns come first, so they do not disturb the grouping bits of the keys.
-        per_key = slim.groupingSets([[*by, *one] for one in sets], *by, *columns).agg(
-            F.grouping_id().cast("long").alias("_set"), F.count(F.lit(1)).alias("_n")
-        )
-    mappings = [rule for rule in rules if rule.kind == "UNIQUE_MAPPING"]
-    tallies = [F.sum(F.col("_n") - 1).alias("_repeats"), F.sum("_n").alias("_rows")]
-    if mappings:
-        per_key = _count_values_per_key(per_key, mappings, masks, by)
-        own = F.col("_rule") == _NO_MAPPING
-        tallies = [
-            F.sum(F.when(own, F.col("_repeats"))).alias("_repeats"),
-            F.sum(F.when(own, F.col("_n"))).alias("_rows"),
-        ]
-        for i in range(len(mappings)):
-            mixed = (F.col("_rule") == i) & F.col(f"_key{i}").isNotNull() & (F.col("_values") > 1)
-            tallies.append(F.sum(F.when(mixed, F.col("_n"))).alias(f"_mixed{i}"))
-    per_set = per_key.groupBy(*by, "_set").agg(*tallies)
-    mixed = {rule.id: f"_mixed{i}" for i, rule in enumerate(mappings)}
-    outcomes = F.array(
-        *[
-            F.struct(
-                F.lit(masks[frozenset(key_columns(rule))]).cast("long").alias("set_id"),
-                F.lit(rule.id).alias("check_id"),
-                F.coalesce(F.col(mixed.get(rule.id, "_repeats")), F.lit(0)).alias("failure_count"),
-            )
-            for rule in rules
-        ]
-    )
-    return (
-        per_set.select(*by, "_set", "_rows", F.inline(outcomes))
-        .where(F.col("_set") == F.col("set_id"))
-        .select(*by, "check_id", "failure_count", F.col("_rows").alias("total_rows"))
-    )
+def reference_of(rule: Rule) -> tuple[str, str]:
+    """The referenced table and column."""
+    table, _, column = rule.args[0].partition(".")
+    return table, column
 
 
-_NO_MAPPING = -1
+@dataclass(frozen=True)
+class Need:
+    """Columns of one table whose keys a rule wants counted. `referred` is the far side of R9."""
+
+    rule: Rule
+    table: str
+    columns: tuple[str, ...]
+    referred: bool = False
 
 
-def _count_values_per_key(
-    per_key: DataFrame,
-    mappings: Sequence[Rule],
-    masks: Mapping[frozenset[str], int],
-    by: Sequence[str],
-) -> DataFrame:
-    """Fold (key, value) counts to one row per key with its number of distinct values.
+def needs(rules: Iterable[Rule], tables: Mapping[str, DataFrame]) -> list[Need]:
+    """What the rules read of each table; row rules need no keys."""
+    out = []
+    for rule in rules:
+        if rule.kind == "NON_NEGATIVE_COUNTS":
+            out += [Need(rule, t, ()) for t in dict.fromkeys(t for t, _ in counted_columns(rule, tables))]
+        elif rule.kind in ROW_KINDS:
+            out.append(Need(rule, rule.table, ()))
+        else:
+            out.append(Need(rule, rule.table, key_columns(rule)))
+            if rule.kind == "FK":
+                table, column = reference_of(rule)
+                out.append(Need(rule, table, (column,), referred=True))
+    return out
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def shared_type(one: T.DataType, other: T.DataType) -> str | None:
+    """The type in which two columns are compared; None where their own will do."""
+    if one == other:
+        return None
+    if isinstance(one, _INTEGRAL) and isinstance(other, _INTEGRAL):
+        return "bigint"
+    if isinstance(one, T.NumericType) and isinstance(other, T.NumericType):
+        return "double"
+    return "string"
+
+
+def order_text(c: Column, data_type: T.DataType) -> Column:
+    """A text per value that tells values apart and, fractional numbers aside, sorts as they do."""
+    if isinstance(data_type, T.DateType):
+        c, data_type = F.unix_date(c), T.IntegerType()
+    elif isinstance(data_type, T.TimestampNTZType | T.TimestampType):
+        c, data_type = F.unix_micros(c.cast("timestamp")), T.LongType()
+    if isinstance(data_type, _INTEGRAL):
+        # Negative numbers sort as "0..", in complement; others as "1..".
+        digits = F.lpad(F.hex(c.cast("bigint").bitwiseAND(F.lit(2**63 - 1))), 16, "0")
+        return F.when(c.isNotNull(), F.concat(F.when(c < 0, "0").otherwise("1"), digits))
+    if isinstance(data_type, T.FloatType | T.DoubleType):
+        plain = F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double"))  # one zero
+        return plain.cast("string")
+    return c.cast("string")
+
+
+_MASK_BITS = 62
+# One share of a summary row in a rule's outcome.
+_SHARE = (
+    "rule int, key array<string>, rows bigint, failing bigint, filled int, known int"
+)
 
-    Each count goes once to the plain tallies of its set, which fold to a single row per set,
-    and once to every mapping over its set. Both folds start map-side.
-    """
-    kinds = {rule.args[0]: per_key.schema[rule.args[0]].dataType for rule in mappings}
 
-    def share(owner: int, filled: Column) -> Column:
-        keys = [
-            (F.col(rule.args[0]) if i == owner else F.lit(None).cast(kinds[rule.args[0]]))
-            .alias(f"_key{i}")
-            for i, rule in enumerate(mappings)
+@dataclass(frozen=True)
+class Summary:
+    """Rows of one table counted by every key its rules need: (by..., _set, _k..., _m..., _n)."""
+
+    counted: DataFrame
+    sets: Mapping[tuple[str, ...], int]
+    names: Mapping[str, str]
+    types: Mapping[str, T.DataType]
+    checks: Sequence[RowCheck]
+
+    def rows_of(self, columns: tuple[str, ...]) -> Column:
+        return F.col("_set") == self.sets[tuple(sorted(set(columns)))]
+
+    def key(self, columns: Sequence[str], cast: str | None = None) -> Column:
+        kinds = {c: self.types[c] for c in columns}
+        parts = []
+        for c in columns:
+            own = F.col(self.names[c])
+            if cast is not None:
+                own = own.cast(cast)
+                kinds[c] = T.DataType.fromDDL(cast)
+            parts.append(order_text(own, kinds[c]))
+        return F.array(*parts)
+
+
+def summarise(
+    df: DataFrame, checks: Sequence[RowCheck], key_sets: Iterable[tuple[str, ...]], by: Sequence[str]
+) -> Summary:
+    """One scan: counts per key of each set of columns, and per combination of failing checks."""
+    sets = list(dict.fromkeys(tuple(sorted(set(columns))) for columns in key_sets))
+    keys = sorted({c for one in sets for c in one})
+    names = {c: f"_k{i}" for i, c in enumerate(keys)}
+    masks = []
+    for at in range(0, len(checks), _MASK_BITS):
+        bits = [
+            F.when(check.failing, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+            for i, check in enumerate(checks[at : at + _MASK_BITS])
         ]
-        return F.struct(F.lit(owner).alias("_rule"), *keys, filled.cast("int").alias("_filled"))
-
-    shares = [share(_NO_MAPPING, F.lit(False))] + [
-        F.when(
-            F.col("_set") == masks[frozenset(rule.args)],
-            share(i, F.col(rule.args[1]).isNotNull()),
-        )
-        for i, rule in enumerate(mappings)
-    ]
-    return (
-        per_key.select(*by, "_set", "_n", F.inline(F.array(*shares)))
-        .where(F.col("_rule").isNotNull())
-        .groupBy(*by, "_set", "_rule", *[f"_key{i}" for i in range(len(mappings))])
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.sum(F.col("_n") - 1).alias("_repeats"),
-            F.sum("_filled").alias("_values"),
+        masks.append(reduce(Column.__add__, bits).alias(f"_m{at // _MASK_BITS}"))
+    mask_names = [f"_m{i}" for i in range(len(masks))]
+    slim = df.select(*by, *[F.col(c).alias(n) for c, n in names.items()], *masks)
+    grouped = [*names.values(), *mask_names]
+    wanted = [[names[c] for c in one] for one in sets]
+    if masks:
+        wanted.append(mask_names)
+    count = F.count(F.lit(1)).alias("_n")
+    if len(wanted) == 1:
+        counted = slim.groupBy(*by, *grouped).agg(F.lit(0).cast("bigint").alias("_set"), count)
+        ids = [0]
+    else:
+        # The run columns come first, so they do not disturb the grouping bits of the keys.
+        counted = slim.groupingSets([[*by, *one] for one in wanted], *by, *grouped).agg(
+            F.grouping_id().cast("bigint").alias("_set"), count
         )
-    )
-
-
-# ---------------------------------------------------------------- reference rules
+        ids = [
+            sum(1 << (len(grouped) - 1 - i) for i, c in enumerate(grouped) if c not in one)
+            for one in wanted
+        ]
+    by_columns = dict(zip([*sets, ()] if masks else sets, ids))
+    types = {c: df.schema[c].dataType for c in keys}
+    return Summary(counted, by_columns, names, types, checks)
 
 
-def reference_of(rule: Rule) -> tuple[str, str]:
-    """The referenced table and column."""
-    table, _, column = rule.args[0].partition(".")
-    return table, column
+def _share(rule: int, key: Column | None, rows: Column, **more: Column) -> Column:
+    parts = {
+        "key": F.lit(None) if key is None else key, "rows": rows, "failing": F.lit(0),
+        "filled": F.lit(0), "known": F.lit(0), **more,
+    }
+    return F.struct(F.lit(rule).alias("rule"), *[c.alias(n) for n, c in parts.items()]).cast(
+        f"struct<{', '.join(field.replace(' ', ': ', 1) for field in _SHARE.split(', '))}>"
+    )
 
 
-def referenced_keys(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    table, column = reference_of(rule)
-    keys = resolve(tables, table).select(F.col(column).alias("_key"))
-    return keys.where(F.col("_key").isNotNull()).distinct()
+def _shares(
+    summary: Summary, own: Sequence[Need], place: Mapping[str, int], casts: Mapping[str, str | None],
+    with_keys: bool,
+) -> list[Column]:
+    """What each row of a summary adds to the rules; NULL where it adds nothing."""
+    n, shares = F.col("_n"), []
+    for i, check in enumerate(summary.checks):
+        bit = F.lit(1 << (i % _MASK_BITS)).cast("bigint")
+        fails = F.col(f"_m{i // _MASK_BITS}").bitwiseAND(bit) != 0
+        failing = F.when(fails, n).otherwise(0)
+        shares.append(
+            F.when(summary.rows_of(()), _share(place[check.rule.id], None, n, failing=failing))
+        )
+    for need in own:
+        if not need.columns:
+            continue
+        rule, columns = place[need.rule.id], need.columns
+        if need.rule.kind == "DUPLICATE_PERCENTAGE":
+            # Keys that occur once, and all keys where only counts are asked for, fold to one row.
+            key = F.when(n > 1, summary.key(columns)) if with_keys else None
+            share = _share(rule, key, n, failing=n - 1)
+        elif need.rule.kind == "UNIQUE_MAPPING":
+            held, value = (F.col(summary.names[c]).isNotNull() for c in columns)
+            key = F.when(held, summary.key(columns[:1]))
+            share = _share(rule, key, n, filled=value.cast("int"))
+        else:
+            held = F.col(summary.names[columns[0]]).isNotNull()
+            key = F.when(held, summary.key(columns, casts[need.rule.id]))
+            share = _share(rule, key, n)
+            if need.referred:
+                share = F.when(held, _share(rule, key, F.lit(0), known=F.lit(1)))
+        shares.append(F.when(summary.rows_of(columns), share))
+    return shares
+
+
+def _reference_casts(rules: Iterable[Rule], tables: Mapping[str, DataFrame]) -> dict[str, str | None]:
+    casts = {}
+    for rule in rules:
+        if rule.kind == "FK":
+            table, column = reference_of(rule)
+            ends = [resolve(tables, rule.table).schema[rule.columns[0]], resolve(tables, table).schema[column]]
+            casts[rule.id] = shared_type(*[end.dataType for end in ends])
+    return casts
 
 
-def foreign_key_counts(
-    rule: Rule, tables: Mapping[str, DataFrame], by: Sequence[str] = ()
+def _per_key(
+    tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: Column | None,
+    by: Sequence[str], with_keys: bool,
 ) -> DataFrame:
-    """Rows per foreign key with whether the key is an orphan: (by..., _key, _n, _orphan)."""
-    source = resolve(tables, rule.table).select(*by, _column(rule).alias("_key"))
-    per_key = source.groupBy(*by, "_key").agg(F.count(F.lit(1)).alias("_n"))
-    known = referenced_keys(rule, tables).withColumn("_known", F.lit(True))
-    orphan = F.col("_key").isNotNull() & F.col("_known").isNull()
-    return per_key.join(known, "_key", "left").select(
-        *by, "_key", "_n", orphan.alias("_orphan")
+    """Rows (by..., rule, key, rows, failing, offending) of every rule, by its place in `rules`."""
+    row_checks_of = row_checks(rules, tables, as_of)
+    needed: dict[str, list[Need]] = defaultdict(list)
+    for need in needs(rules, tables):
+        resolve(tables, need.table)
+        needed[need.table].append(need)
+    if not needed:
+        raise ValueError("No rule applies to the given tables")
+    place = {rule.id: i for i, rule in enumerate(rules)}
+    casts = _reference_casts(rules, tables)
+    # The far side of a reference need not know of runs; it then holds for all of them.
+    kinds = {
+        c: next(tables[t].schema[c].dataType for t in needed if c in tables[t].columns) for c in by
+    }
+    parts = []
+    for name, own in needed.items():
+        df = tables[name]
+        runs = [c for c in by if c in df.columns]
+        for need in own:
+            if len(runs) < len(by) and not need.referred:
+                raise ValueError(f"Table '{name}' has rules but lacks a column of {list(by)}")
+        sets = [need.columns for need in own if need.columns]
+        summary = summarise(df, row_checks_of.get(name, ()), sets, runs)
+        shares = F.array_compact(F.array(*_shares(summary, own, place, casts, with_keys)))
+        run = [
+            (F.when(F.col("known") == 0, F.col(c)) if c in runs else F.lit(None)).cast(kinds[c]).alias(c)
+            for c in by
+        ]
+        counted = summary.counted.select(*runs, F.inline(shares))
+        parts.append(counted.select(*run, "rule", "key", "rows", "failing", "filled", "known"))
+    of_kind = {
+        kind: [place[r.id] for r in rules if r.kind == kind] for kind in ("UNIQUE_MAPPING", "FK")
+    }
+    met = reduce(DataFrame.unionByName, parts).groupBy(*by, "rule", "key").agg(
+        F.sum("rows").alias("rows"), F.sum("failing").alias("failing"),
+        F.sum("filled").alias("filled"), F.max("known").alias("known"),
     )
-
-
-def _count_foreign_key(
-    rule: Rule, tables: Mapping[str, DataFrame], by: Sequence[str]
-) -> DataFrame:
-    counts = foreign_key_counts(rule, tables, by)
-    failures = F.coalesce(F.sum(F.when(F.col("_orphan"), F.col("_n"))), F.lit(0))
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    measures = [failures.alias("failure_count"), total.alias("total_rows")]
-    grouped = counts.groupBy(*by).agg(*measures) if by else counts.agg(*measures)
-    return grouped.select(
-        *by, F.lit(rule.id).alias("check_id"), "failure_count", "total_rows"
+    if by and of_kind["FK"]:
+        # A key has a row per run here, so no partition of this window holds more than that.
+        known = F.max("known").over(Window.partitionBy("rule", "key"))
+        met = met.withColumn("known", known).where(" AND ".join(f"{c} IS NOT NULL" for c in by))
+    offends = (F.col("rule").isin(of_kind["UNIQUE_MAPPING"]) & (F.col("filled") > 1)) | (
+        F.col("rule").isin(of_kind["FK"]) & (F.col("known") == 0)
     )
+    failing = F.when(F.col("key").isNotNull() & offends, F.col("rows")).otherwise(F.col("failing"))
+    return met.select(*by, "rule", "key", "rows", failing.alias("failing"))
 
 
 # ---------------------------------------------------------------- all rules
@@ -312,6 +408,18 @@ def resolve(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     return tables[name]
 
 
+def _checked(rules: Iterable[Rule]) -> list[Rule]:
+    rules = list(rules)
+    unknown = sorted({r.rule_type for r in rules if r.kind not in ALL_KINDS})
+    if unknown:
+        raise ValueError(f"No handler for rule type {', '.join(unknown)}")
+    return rules
+
+
+def _ids(rules: Sequence[Rule]) -> Column:
+    return F.get(F.array(*[F.lit(r.id) for r in rules]), F.col("rule")).alias("check_id")
+
+
 def count_failures(
     tables: Mapping[str, DataFrame],
     rules: Iterable[Rule],
@@ -323,29 +431,41 @@ def count_failures(
     A rule that finds no rows at all, or no column, is absent here; `check_results` adds it
     back with zero counts.
     """
-    rules = list(rules)
-    unknown = sorted({r.rule_type for r in rules if r.kind not in ALL_KINDS})
-    if unknown:
-        raise ValueError(f"No handler for rule type {', '.join(unknown)}")
-    parts = [
-        _count_row_checks(tables[name], checks, by)
-        for name, checks in row_checks(rules, tables, as_of).items()
-    ]
-    key_rules: dict[str, list[Rule]] = defaultdict(list)
-    for rule in rules:
-        if rule.kind in KEY_KINDS:
-            key_rules[rule.table].append(rule)
-    parts += [
-        _count_key_rules(resolve(tables, name), same_table, by)
-        for name, same_table in key_rules.items()
-    ]
-    parts += [_count_foreign_key(rule, tables, by) for rule in rules if rule.kind == "FK"]
-    if not parts:
-        raise ValueError("No rule applies to the given tables")
-    united = reduce(DataFrame.unionByName, parts)
-    if not any(rule.kind == "NON_NEGATIVE_COUNTS" for rule in rules):
-        return united
-    # Column sweeps contribute one row per matched column.
-    return united.groupBy(*by, "check_id").agg(
-        F.sum("failure_count").alias("failure_count"), F.sum("total_rows").alias("total_rows")
+    rules = _checked(rules)
+    return (
+        _per_key(tables, rules, as_of, by, with_keys=False)
+        .groupBy(*by, "rule")
+        .agg(F.sum("failing").alias("failure_count"), F.sum("rows").alias("total_rows"))
+        .select(*by, _ids(rules), "failure_count", "total_rows")
+    )
+
+
+def findings(
+    tables: Mapping[str, DataFrame],
+    rules: Iterable[Rule],
+    as_of: Column | None = None,
+    keys: int = 5,
+) -> DataFrame:
+    """What `count_failures` counts, and from the same scans the first `keys` offending keys.
+
+    (check_id, key, failure_count, total_rows): a row without key has the counts; each further
+    row of a check has a key (as ordered texts, see `order_text`) with its failing rows. At
+    most `keys` + 1 rows per check, cut in every task before the last shuffle.
+    """
+    rules = _checked(rules)
+    whole = F.struct(F.lit(True).alias("whole"), F.lit(None).cast("array<string>").alias("key"))
+    one = F.struct(F.lit(False).alias("whole"), F.col("key").alias("key"))
+    both = F.array_compact(
+        F.array(whole, F.when(F.col("key").isNotNull() & (F.col("failing") > 0), one))
+    )
+    tallies = (
+        _per_key(tables, rules, as_of, (), with_keys=True)
+        .select("rule", "failing", "rows", F.inline(both))
+        .groupBy("rule", "whole", "key")
+        .agg(F.sum("failing").alias("failure_count"), F.sum("rows").alias("total_rows"))
+    )
+    first = F.row_number().over(Window.partitionBy("rule", "whole").orderBy("key"))
+    return (
+        tallies.withColumn("place", first).where(F.col("place") <= keys)
+        .select(_ids(rules), "key", "failure_count", "total_rows")
     )

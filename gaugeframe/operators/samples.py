@@ -1,15 +1,16 @@
 """Failing rows and samples of them (R7-R9 rows, R11).
 
-Samples are chosen by value, so re-running a check shows the same rows. They stay cheap on
-skewed data: per-check and per-key limits are window group limits, which cut every task's
-output before the shuffle, and key and reference rules first pick at most SAMPLE_LIMIT
-offending keys (each owns at least one failing row), which alone are then looked up in the
-table.
+Samples are chosen by value, so re-running a check shows the same rows. What needs samples, and
+of which keys, is known from the counting pass (`rules.findings`): a handful of rows per check.
+One more scan per table then finds the sample rows of all its checks. Per-check and per-key
+limits are window group limits, which cut every task's output before the shuffle.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,12 +20,8 @@ from pyspark.sql import types as T
 from gaugeframe.config import Rule
 from gaugeframe.functions.timestamps import iso_text
 from gaugeframe.operators.rules import (
-    RowCheck,
-    failing_condition,
-    foreign_key_counts,
-    key_columns,
-    resolve,
-    row_checks,
+    RowCheck, failing_condition, findings, key_columns, order_text, reference_of, resolve,
+    row_checks, shared_type,
 )
 
 SAMPLE_LIMIT = 5
@@ -64,13 +61,11 @@ def failing_rows(
     if rule.kind == "DUPLICATE_PERCENTAGE":
         return duplicate_rows(resolve(tables, rule.table), rule.columns)
     if rule.kind == "UNIQUE_MAPPING":
-        key = rule.args[0]
-        bad = mixed_keys(resolve(tables, rule.table), *rule.args)
-        return resolve(tables, rule.table).join(bad, key, "left_semi")
+        df = resolve(tables, rule.table)
+        return rows_with_keys(df, rule.args[0], mixed_keys(df, *rule.args))
     if rule.kind == "FK":
-        counts = foreign_key_counts(rule, tables)
-        orphans = counts.where("_orphan").select(F.col("_key").alias(rule.columns[0]))
-        return resolve(tables, rule.table).join(orphans, rule.columns[0], "left_semi")
+        df = resolve(tables, rule.table)
+        return rows_with_keys(df, rule.columns[0], orphan_keys(tables, rule))
     if rule.kind == "NON_NEGATIVE_COUNTS":
         raise ValueError("A column sweep spans tables; use negative_rows per table")
     return resolve(tables, rule.table).where(failing_condition(rule, as_of))
@@ -90,15 +85,42 @@ def mixed_keys(df: DataFrame, key: str, value: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.count(value).alias("_values")).where("_values > 1").select(key)
 
 
-def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, as a struct so that NULL equals NULL."""
+def orphan_keys(tables: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
+    """Non-null keys of the rule's table that the referenced column does not hold."""
+    table, column = reference_of(rule)
+    own, far = resolve(tables, rule.table), resolve(tables, table)
+    key = rule.columns[0]
+    cast = shared_type(own.schema[key].dataType, far.schema[column].dataType)
+
+    def side(df: DataFrame, name: str, known: bool) -> DataFrame:
+        shared = F.col(name) if cast is None else F.col(name).cast(cast)
+        kept = F.lit(None).cast(own.schema[key].dataType) if known else F.col(name)
+        return df.where(F.col(name).isNotNull()).select(
+            shared.alias("_shared"), kept.alias(key), F.lit(known).alias("_known")
+        )
+
+    # Sets of keys, not rows: both sides fold map-side.
+    ends = side(own, key, False).unionByName(side(far, column, True))
     return (
-        df.select(*columns)
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select(F.struct(*columns).alias("_key"))
+        ends.groupBy("_shared").agg(F.collect_set(key).alias("_own"), F.max("_known").alias("_known"))
+        .where("NOT _known").select(F.explode("_own").alias(key))
+    )
+
+
+def rows_with_keys(df: DataFrame, column: str, keys: DataFrame, slices: int = 64) -> DataFrame:
+    """Rows of `df` whose `column` is among `keys`, without ever bringing a key's rows together.
+
+    Rows are dealt by key and a slice of the row hash; the keys, which are slim and distinct, are
+    repeated for every slice. A key that holds a third of all rows thus meets them in `slices`
+    places.
+    """
+    slice_ = F.pmod(F.xxhash64(*df.columns), F.lit(slices)).cast("int")
+    repeated = keys.select(
+        F.col(column).alias("_key"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice_of")
     )
+    sliced = df.withColumn("_slice", slice_)
+    same = (sliced[column] == repeated["_key"]) & (sliced["_slice"] == repeated["_slice_of"])
+    return sliced.join(repeated, same, "left_semi").drop("_slice")
 
 
 def duplicate_rows(
@@ -162,91 +184,122 @@ def duplicate_rows(
 # ---------------------------------------------------------------- samples
 
 
-def _row_rule_samples(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    """One pass over the table for all of its row rules."""
+@dataclass(frozen=True)
+class Sought:
+    """Rows that one check wants samples of. Duplicates are ranked within their key."""
+
+    check_id: str
+    found: Column
+    failed_column: str | None = None
+    key: Column | None = None
+
+
+def _sought(
+    tables: Mapping[str, DataFrame], rules: Sequence[Rule], as_of: Column | None,
+    failing: Mapping[str, list[list[str]]],
+) -> dict[str, list[Sought]]:
+    """By table, the conditions of all checks in `failing`, which has offending keys of key rules."""
+    wanted = [rule for rule in rules if rule.id in failing]
+    out: dict[str, list[Sought]] = defaultdict(list)
+    for table, checks in row_checks(wanted, tables, as_of).items():
+        out[table] += [Sought(c.rule.id, c.failing, c.failed_column) for c in checks]
+    for rule in wanted:
+        if rule.kind not in ("DUPLICATE_PERCENTAGE", "UNIQUE_MAPPING", "FK"):
+            continue
+        df = resolve(tables, rule.table)
+        columns = key_columns(rule)[:1] if rule.kind == "UNIQUE_MAPPING" else key_columns(rule)
+        cast = None
+        if rule.kind == "FK":
+            table, column = reference_of(rule)
+            cast = shared_type(df.schema[columns[0]].dataType, resolve(tables, table).schema[column].dataType)
+        parts = []
+        for c in columns:
+            kind = df.schema[c].dataType
+            parts.append(
+                order_text(F.col(c), kind) if cast is None
+                else order_text(F.col(c).cast(cast), T.DataType.fromDDL(cast))
+            )
+        # Nulls are equal here, and a text never has this character alone for its value.
+        key = F.to_json(F.array(*parts))
+        keys = [F.to_json(F.array(*[F.lit(x).cast("string") for x in k])) for k in failing[rule.id]]
+        found = F.coalesce(key.isin(*keys), F.lit(False))
+        ranked = F.array(*parts) if rule.kind == "DUPLICATE_PERCENTAGE" else None
+        out[rule.table].append(Sought(rule.id, found, key=ranked))
+    return dict(out)
+
+
+def _table_samples(df: DataFrame, sought: Sequence[Sought], ranked: Sequence[str]) -> DataFrame:
+    """Samples of all checks of a table, from one scan: (check_id, at, row)."""
     names = df.columns
-    flags = F.array(
+    no_key = F.lit(None).cast("array<string>")
+    hits = F.array(
         *[
             F.when(
-                check.failing,
+                s.found,
                 F.struct(
-                    F.lit(check.rule.id).alias("check_id"),
-                    F.lit(check.failed_column).cast("string").alias("failed_column"),
+                    F.lit(s.check_id).alias("check_id"),
+                    F.lit(s.failed_column).cast("string").alias("failed_column"),
+                    (no_key if s.key is None else s.key).alias("key"),
                 ),
             )
-            for check in checks
+            for s in sought
         ]
     )
-    hits = df.withColumn("_hits", F.filter(flags, lambda hit: hit.isNotNull())).where(
-        F.size("_hits") > 0
-    )
-    texts = [value_text(field).alias(field.name) for field in df.schema.fields]
-    exploded = hits.select(*texts, F.explode("_hits").alias("_hit")).select(
-        *names, "_hit.check_id", F.col("_hit.failed_column").alias("_failed_column")
+    found = (
+        df.withColumn("_hits", F.array_compact(hits)).where(F.size("_hits") > 0)
+        .select(*_as_texts(df), F.explode("_hits").alias("_hit"))
+        .select(*names, "_hit.check_id", F.col("_hit.failed_column").alias("_failed_column"),
+                F.col("_hit.key").alias("_key"))
     )
     order = [F.col("_failed_column").asc_nulls_first(), *_row_order(names)]
-    first = _first_rows(exploded, ["check_id"], order, SAMPLE_LIMIT)
-    named = F.struct(*names, F.col("_failed_column").alias("failed_column"))
-    row = F.when(F.col("_failed_column").isNull(), _row_json(names)).otherwise(
-        F.to_json(named, {"ignoreNullFields": "false"})
+    # The first of equal rows is no duplicate: one more is needed to fill the samples.
+    rows = _first_rows(found, ["check_id", "_key"], order, SAMPLE_LIMIT + 1)
+    rows = rows.withColumnRenamed("_place", "_rank")
+    is_ranked = F.col("check_id").isin(*ranked)
+    if ranked:
+        rows = rows.where(~is_ranked | (F.col("_rank") > 1))
+    first = _first_rows(rows, ["check_id"], [F.col("_key"), F.col("_rank")], SAMPLE_LIMIT)
+    swept = F.struct(*names, F.col("_failed_column").alias("failed_column"))
+    keyed = F.struct(*names, F.col("_rank").cast("string").alias("dq_rank"))
+    options = {"ignoreNullFields": "false"}
+    row = F.when(F.col("_failed_column").isNotNull(), F.to_json(swept, options))
+    if ranked:
+        row = row.when(is_ranked, F.to_json(keyed, options))
+    return first.select(
+        "check_id", F.col("_place").alias("_at"), row.otherwise(_row_json(names)).alias("row")
     )
-    return first.select("check_id", "_place", row.alias("row"))
-
-
-def _look_up_keys(df: DataFrame, columns: Sequence[str], keys: DataFrame) -> DataFrame:
-    """Rows of at most SAMPLE_LIMIT keys. The keys are limited, hence safe to broadcast."""
-    keyed = df.withColumn("_key", F.struct(*columns))
-    return keyed.join(F.broadcast(keys), "_key", "left_semi")
-
-
-def _duplicate_samples(df: DataFrame, rule: Rule) -> DataFrame:
-    names = df.columns
-    keys = duplicate_keys(df, rule.columns).orderBy("_key").limit(SAMPLE_LIMIT)
-    found = _look_up_keys(df, rule.columns, keys).select("_key", *_as_texts(df))
-    ranked = _first_rows(found, ["_key"], _row_order(names), SAMPLE_LIMIT + 1)
-    repeats = ranked.where(F.col("_place") > 1).withColumnRenamed("_place", "dq_rank")
-    first = repeats.orderBy("_key", "dq_rank").limit(SAMPLE_LIMIT)
-    place = F.row_number().over(Window.orderBy("_key", "dq_rank"))
-    row = _row_json(names, ["dq_rank"])
-    numbered = first.withColumn("_place", place).withColumn("dq_rank", F.col("dq_rank").cast("string"))
-    return numbered.select(F.lit(rule.id).alias("check_id"), "_place", row.alias("row"))
-
-
-def _keyed_samples(df: DataFrame, rule: Rule, column: str, keys: DataFrame) -> DataFrame:
-    """Samples of the rows whose `column` is among the offending keys."""
-    few = keys.orderBy("_key").limit(SAMPLE_LIMIT)
-    found = _look_up_keys(df, [column], few.select(F.struct(F.col("_key").alias(column)).alias("_key")))
-    texts = found.select(*_as_texts(df)).withColumn("check_id", F.lit(rule.id))
-    first = _first_rows(texts, ["check_id"], _row_order(df.columns), SAMPLE_LIMIT)
-    return first.select("check_id", "_place", _row_json(df.columns).alias("row"))
 
 
 def sample_rows(
-    tables: Mapping[str, DataFrame], rules: Iterable[Rule], as_of: Column | None = None
+    tables: Mapping[str, DataFrame], rules: Iterable[Rule], as_of: Column | None = None,
+    found: Iterable | None = None,
 ) -> DataFrame:
-    """Up to SAMPLE_LIMIT failing rows per check: (check_id, place, row as JSON)."""
+    """Up to SAMPLE_LIMIT failing rows per check: (check_id, place, row as JSON).
+
+    `found` are the collected rows of `rules.findings`, at most SAMPLE_LIMIT + 1 per check. By
+    default they are counted here. Key rules show rows of their first offending keys.
+    """
     rules = list(rules)
+    if found is None:
+        found = findings(tables, rules, as_of, SAMPLE_LIMIT).collect()
+    failing: dict[str, list[list[str]]] = {}
+    for r in found:
+        if r["key"] is None and r["failure_count"]:
+            failing.setdefault(r["check_id"], [])
+    for r in found:
+        if r["key"] is not None:
+            failing.setdefault(r["check_id"], []).append(r["key"])
+    ranked = [r.id for r in rules if r.kind == "DUPLICATE_PERCENTAGE" and r.id in failing]
     parts = [
-        _row_rule_samples(tables[name], checks)
-        for name, checks in row_checks(rules, tables, as_of).items()
+        _table_samples(tables[name], sought, [s.check_id for s in sought if s.check_id in ranked])
+        for name, sought in _sought(tables, rules, as_of, failing).items()
     ]
-    for rule in rules:
-        if rule.kind == "DUPLICATE_PERCENTAGE":
-            parts.append(_duplicate_samples(resolve(tables, rule.table), rule))
-        elif rule.kind == "UNIQUE_MAPPING":
-            df = resolve(tables, rule.table)
-            bad = mixed_keys(df, *key_columns(rule)).withColumnRenamed(rule.args[0], "_key")
-            parts.append(_keyed_samples(df, rule, rule.args[0], bad))
-        elif rule.kind == "FK":
-            bad = foreign_key_counts(rule, tables).where("_orphan").select("_key")
-            df = resolve(tables, rule.table)
-            parts.append(_keyed_samples(df, rule, rule.columns[0], bad))
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "check_id string, place int, row string")
     united = reduce(DataFrame.unionByName, parts)
     # Sweeps sample every table they touch; the first SAMPLE_LIMIT rows are kept.
-    first = _first_rows(
-        united.withColumnRenamed("_place", "_at"), ["check_id"], [F.col("_at"), F.col("row")],
-        SAMPLE_LIMIT,
-    )
+    first = _first_rows(united, ["check_id"], [F.col("_at"), F.col("row")], SAMPLE_LIMIT)
     return first.select("check_id", F.col("_place").alias("place"), "row")
 
 

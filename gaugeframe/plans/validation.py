@@ -6,13 +6,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from gaugeframe.config import GateSettings, Rule, RuleSet
+from gaugeframe.config import GateSettings, RuleSet
 from gaugeframe.operators import gate, outcomes, scoring
-from gaugeframe.operators.rules import count_failures
-from gaugeframe.operators.samples import sample_json, sample_rows
+from gaugeframe.operators.rules import count_failures, findings
+from gaugeframe.operators.samples import SAMPLE_LIMIT, sample_json, sample_rows
+from gaugeframe.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -26,9 +27,9 @@ class Run:
 class Validation:
     """The outcome of one run, as lazy DataFrames.
 
-    `judged`, one row per rule, is the source of everything but the samples and is kept, so
-    that the tables are scanned once however many results are read. `release` lets go of it. A
-    job that writes its marts continues from those instead, as `jobs.run_validate` does.
+    The tables are scanned once to count, when a result is first asked for. What comes back is
+    one row per rule and a few offending keys, which become a local table that all results derive
+    from. Samples take one more scan.
     """
 
     tables: Mapping[str, DataFrame]
@@ -38,12 +39,21 @@ class Validation:
     with_samples: bool = True
 
     @cached_property
-    def judged(self) -> DataFrame:
+    def found(self) -> list[Row]:
+        """Counts per rule, and with samples at most SAMPLE_LIMIT offending keys of each."""
+        if self.with_samples:
+            return findings(self.tables, self.rules, self.as_of, SAMPLE_LIMIT).collect()
         counts = count_failures(self.tables, self.rules, self.as_of)
-        return outcomes.judge(counts, self.rules).persist()
+        return counts.withColumn("key", F.lit(None)).collect()
 
-    def release(self) -> None:
-        self.judged.unpersist()
+    @cached_property
+    def judged(self) -> DataFrame:
+        spark = next(iter(self.tables.values())).sparkSession
+        rows = [
+            (r["check_id"], r["failure_count"], r["total_rows"]) for r in self.found if r["key"] is None
+        ]
+        counts = local_frame(spark, rows, "check_id string, failure_count bigint, total_rows bigint")
+        return outcomes.judge(counts, self.rules)
 
     @cached_property
     def checks(self) -> DataFrame:
@@ -53,7 +63,7 @@ class Validation:
     def issues(self) -> DataFrame:
         samples = None
         if self.with_samples:
-            samples = sample_json(sample_rows(self.tables, self.rules, self.as_of))
+            samples = sample_json(sample_rows(self.tables, self.rules, self.as_of, self.found))
         return outcomes.issue_log(
             self.judged, self.run.run_id, self.run.dataset_name, self.run.run_ts, samples
         )
@@ -82,12 +92,6 @@ class Validation:
         )
 
 
-def rejudge(checks: DataFrame, rules: RuleSet | tuple[Rule, ...]) -> DataFrame:
-    """Stored check results with their rules' issue types and root causes again."""
-    counts = checks.select("check_id", "failure_count", "total_rows")
-    return outcomes.judge(counts, rules)
-
-
 def validate(
     tables: Mapping[str, DataFrame],
     rules: RuleSet,

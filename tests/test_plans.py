@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gaugeframe import defaults
 from gaugeframe.config import Rule
 from gaugeframe.operators import profile
-from gaugeframe.operators.rules import count_failures
+from gaugeframe.operators.rules import count_failures, findings
 from gaugeframe.operators.samples import duplicate_rows, sample_rows
 from workloads.queries import QUERIES, staged
 from workloads.views import table
@@ -37,13 +37,39 @@ def test_key_rules_of_a_table_share_a_scan(spark):
     assert re.search(r"ReadSchema: struct<c_custkey:bigint,c_nationkey:int>", text)
 
 
-def test_reference_rules_join_counts_not_rows(spark):
+def scans(text: str) -> int:
+    return len(re.findall(r"FileScan parquet", text))
+
+
+def test_reference_rules_add_counts_and_join_nothing(spark):
     tables = {n: table(spark, SF, n) for n in ("lineitem", "orders")}
     rule = Rule("f", "lineitem", "d", "FK", ("orders.o_orderkey",), ("l_orderkey",))
     text = plan(count_failures(tables, [rule]))
-    assert "ReadSchema: struct<l_orderkey:bigint>" in text
-    join = text.index("Join")
-    assert "HashAggregate" in text[join:] and "partial_count" in text[join:]
+    assert "ReadSchema: struct<l_orderkey:bigint>" in text and "partial_count" in text
+    assert scans(text) == 2 and "Join" not in text
+
+
+def test_all_rules_scan_each_table_once(spark):
+    text = plan(count_failures(staged(spark, SF), defaults.RULES))
+    assert scans(text) == 5 and "Join" not in text
+    assert scans(plan(QUERIES["check_results"](spark, SF))) == 5
+    assert scans(plan(findings(staged(spark, SF), defaults.RULES))) == 5
+
+
+def test_samples_take_one_more_scan_per_table(spark):
+    # The counting scans are over when the plan is built; what it holds is the second pass.
+    for name in ("rule_samples", "issue_log", "exceptions_export"):
+        assert scans(plan(QUERIES[name](spark, SF))) == 5, name
+
+
+def test_rows_of_hot_keys_are_sliced(spark):
+    for name in ("rule_unique_mapping_rows_hot_key", "rule_fk_rows_hot_key"):
+        text = plan(QUERIES[name](spark, SF))
+        exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+        rows = [e for e in exchanges if "_slice" in e]
+        assert rows and all(re.match(r"l_returnflag#\d+, _slice#\d+|_key#\d+, _slice_of#\d+", e) for e in rows), name
+        # Other exchanges bring keys together that were folded before.
+        assert text.count("partial_") >= len(exchanges) - len(rows), name
 
 
 def test_samples_are_cut_before_the_shuffle(spark):

@@ -261,6 +261,12 @@ ORACLE["rule_foreign_key"] = _test_query(
 # ---------------------------------------------------------------- failing rows
 
 ORACLE["rule_pattern_rows"] = f"{staged('users')} {pattern_rows('c_users', 'email', EMAIL)}"
+ORACLE["rule_unique_mapping_rows_hot_key"] = """
+SELECT * FROM lineitem WHERE l_returnflag IN (
+  SELECT l_returnflag FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linestatus) > 1)"""
+ORACLE["rule_fk_rows_hot_key"] = """
+SELECT * FROM lineitem WHERE l_returnflag NOT IN (
+  SELECT l_returnflag FROM lineitem WHERE l_returnflag <> 'N')"""
 ORACLE["rule_fk_failing_rows"] = (
     f"{staged('users', 'events')} SELECT * EXCLUDE (day) FROM "
     f"({orphan_rows('c_events', 'user_id', 'c_users', 'user_id')})"
@@ -495,9 +501,9 @@ ORACLE["issue_log"] = f"""{_ISSUES}, samples AS (
   SELECT check_id, concat('[', string_agg(row, ',' ORDER BY place), ']') AS sample_bad_rows_json
   FROM ({_SAMPLES}) GROUP BY check_id)
 SELECT i.*, s.sample_bad_rows_json FROM issues i JOIN samples s ON s.check_id = i.check_name"""
-ORACLE["exceptions_export"] = f"""{_ISSUES}
-SELECT check_name, table_name, dimension, issue_type, severity, affected_rows, affected_pct,
-  probable_root_cause, recommended_fix, '[]' AS sample_bad_rows_json FROM issues"""
+ORACLE["exceptions_export"] = f"""SELECT check_name, table_name, dimension, issue_type, severity,
+  affected_rows, affected_pct, probable_root_cause, recommended_fix, sample_bad_rows_json
+FROM ({ORACLE["issue_log"]})"""
 
 # ---------------------------------------------------------------- scores
 

@@ -13,8 +13,8 @@ from gaugeframe.functions.timestamps import parse_timestamp
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
 from gaugeframe.operators.cleaning import clean_table
 from gaugeframe.operators.rules import count_failures
-from gaugeframe.operators.samples import failing_rows, negative_rows, sample_json, sample_rows
-from gaugeframe.plans.validation import daily_runs, validate_runs
+from gaugeframe.operators.samples import failing_rows, negative_rows, sample_rows
+from gaugeframe.plans.validation import Run, daily_runs, validate, validate_runs
 from gaugeframe.sources import marts
 from gaugeframe.sources.synthetic import stable_id
 from workloads.views import raw, table
@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 
 AS_OF = "2024-01-25 00:00:00"
 RUN_ID, RUN_TS, DATASET = "run-1", "2024-01-25T00:00:00", "phase1"
+RUN = Run(RUN_ID, DATASET, RUN_TS)
 GATE = GateSettings(score_threshold=90.0, critical_severity=5.0)
 
 
@@ -253,6 +254,23 @@ def rule_unique_mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failing_rows(tables, rule)
 
 
+@query
+def rule_unique_mapping_rows_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flag holds half of all rows and maps to two statuses; the other two are clean."""
+    tables = {"lineitem": table(spark, sf_dir, "lineitem")}
+    rule = _rule("flag_status", "lineitem", "UNIQUE_MAPPING", "l_returnflag", "l_linestatus")
+    return failing_rows(tables, rule)
+
+
+@query
+def rule_fk_rows_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One flag holds half of all rows and is unknown to the referenced table."""
+    lines = table(spark, sf_dir, "lineitem")
+    tables = {"lineitem": lines, "returned": lines.where("l_returnflag <> 'N'")}
+    rule = _rule("flag", "lineitem", "FK", "returned.l_returnflag", columns=("l_returnflag",))
+    return failing_rows(tables, rule)
+
+
 @query
 def rule_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of several equal-keyed rows gets which rank is free; keys and ranks are not."""
@@ -298,16 +316,9 @@ def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Checks and issues for queries that read them several times.
-
-    The jobs read them back from their marts; a query keeps the judged rules (one row per rule)
-    instead, so that the tables behind them are scanned once.
-    """
-    judged = _judged(spark, sf_dir).persist()
-    return (
-        outcomes.check_results(judged, RUN_ID, DATASET),
-        outcomes.issue_log(judged, RUN_ID, DATASET, RUN_TS),
-    )
+    """Checks and issues for queries that read them several times: the tables are scanned once."""
+    v = validate(staged(spark, sf_dir), defaults.RULES, RUN, as_of(), with_samples=False)
+    return v.checks, v.issues
 
 
 @query
@@ -318,14 +329,13 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def issue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = staged(spark, sf_dir)
-    samples = sample_json(sample_rows(tables, defaults.RULES, as_of()))
-    return outcomes.issue_log(_judged(spark, sf_dir), RUN_ID, DATASET, RUN_TS, samples)
+    return validate(staged(spark, sf_dir), defaults.RULES, RUN, as_of()).issues
 
 
 @query
 def exceptions_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes.exceptions(_issues(spark, sf_dir))
+    v = validate(staged(spark, sf_dir), defaults.RULES, RUN, as_of())
+    return outcomes.exceptions(v.issues)
 
 
 @query
