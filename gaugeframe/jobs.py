@@ -6,6 +6,7 @@ import argparse
 import json
 import sys
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +45,22 @@ def run_ingest(spark: SparkSession, args) -> None:
 
 
 def run_profile(spark: SparkSession, args) -> None:
-    results = profile.profile(
-        exports.read_staged(spark, args.stage), args.run_id, args.dataset, args.top_n
-    )
+    """Two scans per table: one counts its values, one fetches the long texts among top values."""
+    tables = exports.read_staged(spark, args.stage)
+
+    def keep(name: str, counts: DataFrame) -> DataFrame:
+        # As large as the distinct values are many, so each task writes its own file.
+        path = f"{args.marts}/profiles/value_counts/{name}/{quote(args.run_id, safe='')}"
+        counts.write.mode("overwrite").parquet(path)
+        return spark.read.schema(counts.schema).parquet(path)
+
+    results = profile.profile(tables, args.run_id, args.dataset, args.top_n, keep)
     for name, df in results.items():
         marts.write_run(df, f"{args.marts}/profiles/{name}")
+    if args.sketches:
+        for name, df in tables.items():
+            sketches = profile.distinct_sketches(df, name).withColumn("run_id", F.lit(args.run_id))
+            marts.write_run(sketches, f"{args.marts}/profiles/distinct_sketches/{name}", run_id=args.run_id)
 
 
 def run_validate(spark: SparkSession, args) -> None:
@@ -190,6 +202,7 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--baseline")
     parser.add_argument("--tolerance", type=float, default=0.01)
     parser.add_argument("--top-n", type=int, default=profile.TOP_VALUES)
+    parser.add_argument("--sketches", action="store_true")
     parser.add_argument("--workflow-run-id", default="local")
     parser.add_argument("--workflow-attempt", default="local")
     parser.add_argument("--force", action="store_true")

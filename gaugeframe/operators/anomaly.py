@@ -5,19 +5,24 @@ Two ways to use it:
 * `detect` compares the current run of each dataset with a stored history, as happens after
   every run. Medians are plain aggregates; cost is linear in the history.
 * `backtest` flags every run of a history against the runs before it. The only per-dataset
-  order involved is over run metrics, one row per run, never over data rows.
+  order involved is over run metrics, one row per run, never over data rows. Running medians and
+  deviations come from one sorted list per dataset, or per dataset and event type, in place of
+  the earlier values of each run. Shares of types that a run lacks are not spelled out per run:
+  between two occurrences a type's median is one interval, and intervals meet runs in blocks.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.stats import array_median, ratio
+from gaugeframe.functions.stats import ratio
 from gaugeframe.operators.history import with_run_time
 
 COMPLETION = "complete"
@@ -159,14 +164,11 @@ def _value_records(scored: DataFrame, test: ValueTest) -> DataFrame:
 def _shift_records(deltas: DataFrame, threshold: float) -> DataFrame:
     """The largest change of any type's share; the smallest name wins a tie.
 
-    `deltas` has one row per run and type: run_id, run_ts, dataset_name, key, baseline, current.
+    `deltas` has run_id, run_ts, dataset_name, key, baseline and current, of one or more types.
     """
-    delta = F.abs(F.col("current") - F.col("baseline"))
-    # min over the negated change, then the name: largest change, smallest name.
-    worst = F.min(F.struct((-delta).alias("neg"), "key", "baseline", "current"))
     return (
         deltas.groupBy("dataset_name", "run_id", "run_ts")
-        .agg(worst.alias("w"))
+        .agg(_worst(F.abs(F.col("current") - F.col("baseline"))))
         .select(
             "dataset_name", "run_id", "run_ts", F.col("w.key").alias("category"),
             "w.baseline", "w.current", (-F.col("w.neg")).alias("delta"),
@@ -263,76 +265,210 @@ def detect(
 # ---------------------------------------------------------------- every run against earlier runs
 
 
-def _earlier() -> Window:
-    return (
-        Window.partitionBy("dataset_name")
-        .orderBy("_ts", "run_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+def _kth(below: int, values: list[float], middle: float, k: int) -> float:
+    """The k-th smallest (from 0) distance to `middle` of sorted values, `below` of them under it.
+
+    Distances fall towards `middle` from the left and rise from it to the right; k + 1 of them
+    split into some of either side, which a binary search finds.
+    """
+    left, right = below, len(values) - below
+    low, high = max(0, k + 1 - right), min(k + 1, left)
+    while low < high:
+        take = (low + high) // 2
+        if middle - values[below - 1 - take] < values[below + k - take] - middle:
+            low = take + 1
+        else:
+            high = take
+    ends = []
+    if low:
+        ends.append(middle - values[below - low])
+    if k + 1 - low:
+        ends.append(values[below + k - low] - middle)
+    return max(ends)
+
+
+class Running:
+    """Median and unscaled MAD of the values added so far, which are kept sorted."""
+
+    def __init__(self):
+        self.values: list[float] = []
+
+    def add(self, value: float) -> None:
+        insort(self.values, value)
+
+    def median(self) -> float | None:
+        n = len(self.values)
+        return (self.values[(n - 1) // 2] + self.values[n // 2]) / 2.0 if n else None
+
+    def mad(self) -> float | None:
+        n, middle = len(self.values), self.median()
+        if middle is None:
+            return None
+        below = bisect_left(self.values, middle)
+        return (_kth(below, self.values, middle, (n - 1) // 2) + _kth(below, self.values, middle, n // 2)) / 2.0
 
 
 def prior_statistics(metrics: DataFrame, metric: str) -> DataFrame:
     """A3: per run, median and (unscaled) MAD of the metric over the dataset's earlier runs.
 
-    The earlier values of a run exist only while its own row is evaluated: the window keeps one
-    growing buffer per dataset and the arrays are reduced in the projection above it.
+    Runs whose metric is NULL are judged like others but add nothing. A dataset's runs, one row
+    each, are read in order by one task; its memory is the sorted list of their values.
     """
-    past = F.collect_list("value").over(_earlier())
+
+    def running(runs: pd.DataFrame) -> pd.DataFrame:
+        runs, past = runs.sort_values(["_ts", "run_id"], na_position="first"), Running()
+        medians, mads = [], []
+        for value in runs["value"]:
+            medians.append(past.median())
+            mads.append(past.mad())
+            if not pd.isna(value):
+                past.add(value)
+        return runs.assign(median=pd.array(medians, "Float64"), mad=pd.array(mads, "Float64"))
+
+    columns = "run_id string, run_ts string, dataset_name string, _ts timestamp_ntz, value double"
     return (
         with_run_time(metrics)
-        .withColumn("value", F.col(metric).cast("double"))
-        .withColumn("_past", past)
-        .withColumn("median", array_median(F.col("_past")))
-        .withColumn(
-            "mad", array_median(F.transform("_past", lambda x: F.abs(x - F.col("median"))))
-        )
+        .select("run_id", "run_ts", "dataset_name", "_ts", F.col(metric).cast("double").alias("value"))
+        .groupBy("dataset_name").applyInPandas(running, f"{columns}, median double, mad double")
         .where(F.col("median").isNotNull())
         .select("run_id", "run_ts", "dataset_name", "value", "median", "mad")
     )
 
 
-def prior_baselines(metrics: DataFrame) -> DataFrame:
-    """Per run and event type, the type's baseline over earlier runs and its share now.
-
-    A type's baseline changes only in runs where the type occurs. Each occurrence therefore
-    carries its baseline forward, as a range of run numbers, up to the next occurrence.
-    """
+def _numbered(metrics: DataFrame) -> DataFrame:
+    """Metrics with the run's number `_no` in its dataset, from 1, and their number `_runs`."""
     in_order = Window.partitionBy("dataset_name").orderBy("_ts", "run_id")
-    numbered = (
-        with_run_time(metrics)
-        .withColumn("_no", F.row_number().over(in_order))
-        .withColumn("_runs", F.count(F.lit(1)).over(Window.partitionBy("dataset_name")))
+    return with_run_time(metrics).withColumns(
+        {
+            "_no": F.row_number().over(in_order).cast("long"),
+            "_runs": F.count(F.lit(1)).over(Window.partitionBy("dataset_name")),
+        }
     )
-    occurrences = numbered.select(
-        "dataset_name", "_no", "_runs",
-        F.explode("event_type_distribution").alias("key", "share"),
+
+
+def type_medians(numbered: DataFrame) -> DataFrame:
+    """Every occurrence of a type (dataset_name, key, _no, _runs, current): its median share
+    `before` it and `after` it, and the number of the next occurrence, `_until`."""
+
+    def running(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, seen = rows.sort_values("_no"), Running()
+        before, after = [], []
+        for share in rows["current"]:
+            before.append(seen.median())
+            seen.add(share)
+            after.append(seen.median())
+        return rows.assign(
+            before=pd.array(before, "Float64"), after=after,
+            _until=pd.array([*rows["_no"].tolist()[1:], None], "Int64"),
+        )
+
+    columns = "dataset_name string, key string, _no long, _runs long, current double"
+    return (
+        numbered.select(
+            "dataset_name", "_no", "_runs", F.explode("event_type_distribution").alias("key", "current")
+        )
+        .select("dataset_name", "key", "_no", "_runs", "current")
+        .groupBy("dataset_name", "key")
+        .applyInPandas(running, f"{columns}, before double, after double, _until long")
     )
-    per_key = Window.partitionBy("dataset_name", "key").orderBy("_no")
-    known = occurrences.withColumn(
-        "_median",
-        array_median(
-            F.collect_list("share").over(
-                per_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-        ),
-    ).withColumn("_until", F.lead("_no").over(per_key))
+
+
+def prior_baselines(metrics: DataFrame) -> DataFrame:
+    """Per run and event type, the type's baseline over earlier runs and its share now.
+
+    One row per run and type, for publishing baselines; `largest_shifts` tests without them.
+    """
+    numbered = _numbered(metrics)
+    known = type_medians(numbered)
     # Runs after an occurrence up to and including the next one see this median.
     later = known.where(F.col("_no") < F.coalesce("_until", "_runs")).select(
-        "dataset_name", "key", F.col("_median").alias("baseline"),
+        "dataset_name", "key", F.col("after").alias("baseline"),
         F.explode(F.sequence(F.col("_no") + 1, F.coalesce("_until", "_runs"))).alias("_no"),
     )
-    shares = occurrences.select("dataset_name", "key", "_no", F.col("share").alias("current"))
-    runs = numbered.where((F.col("_no") > 1) & (F.size("event_type_distribution") > 0)).select(
-        "dataset_name", "_no", "run_id", "run_ts"
-    )
+    shares = known.select("dataset_name", "key", "_no", "current")
     return (
         later.join(shares, ["dataset_name", "key", "_no"], "full_outer")
         .fillna(0.0, ["current", "baseline"])
-        .join(runs, ["dataset_name", "_no"])
+        .join(_tested(numbered), ["dataset_name", "_no"])
         .drop("_no")
     )
 
 
+def _tested(numbered: DataFrame) -> DataFrame:
+    """Runs that have shares and a history to compare them with."""
+    return numbered.where((F.col("_no") > 1) & (F.size("event_type_distribution") > 0)).select(
+        "dataset_name", "_no", "run_id", "run_ts"
+    )
+
+
+# Blocks of 2^level runs; the largest covers any history.
+_LEVELS = range(32)
+
+
+def _covering(first: Column, end: Column) -> Column:
+    """The aligned blocks (level, block) that make up the run numbers from `first` below `end`.
+
+    At most two per level: where the range, in units of the level, begins or ends at an odd
+    place, that place is a block of its own, and what remains doubles its unit.
+    """
+    blocks = []
+    for level in _LEVELS:
+        size = F.lit(1 << level).cast("long")
+        low = F.floor((first + size - 1) / size).cast("long")
+        high = F.floor(end / size).cast("long")
+        inside = low < high
+        for place, odd in ((low, low % 2 == 1), (high - 1, high % 2 == 1)):
+            blocks.append(
+                F.when(inside & odd, F.struct(F.lit(level).alias("_level"), place.alias("_block")))
+            )
+    return F.array_compact(F.array(*blocks))
+
+
+def _worst(delta: Column) -> Column:
+    """The largest change; the smallest name wins a tie."""
+    return F.min(F.struct((-delta).alias("neg"), "key", "baseline", "current")).alias("w")
+
+
+def largest_shifts(metrics: DataFrame) -> DataFrame:
+    """Per run, the type whose share moved most from its median over earlier runs.
+
+    (dataset_name, run_id, run_ts, key, baseline, current). Types that a run has are compared at
+    their occurrences. A type that it lacks has fallen by its whole median, which holds from one
+    occurrence to the next. These intervals are cut into at most 64 aligned blocks, of which the
+    largest median is kept, and a run looks up the blocks it lies in: one per level.
+    """
+    numbered = _numbered(metrics)
+    known = type_medians(numbered)
+    present = known.where(F.col("_no") > 1).select(
+        "dataset_name", "_no", "key", F.coalesce("before", F.lit(0.0)).alias("baseline"), "current"
+    )
+    of_run = present.groupBy("dataset_name", "_no").agg(_worst(F.abs(F.col("current") - F.col("baseline"))))
+    end = F.coalesce("_until", F.col("_runs") + 1)
+    absent = (
+        known.select(
+            "dataset_name", "key", F.col("after").alias("baseline"), F.lit(0.0).alias("current"),
+            F.inline(_covering(F.col("_no") + 1, end)),
+        )
+        .groupBy("dataset_name", "_level", "_block").agg(_worst(F.col("baseline")))
+    )
+    levels = F.array(
+        *[
+            F.struct(F.lit(i).alias("_level"), F.floor(F.col("_no") / F.lit(1 << i)).cast("long").alias("_block"))
+            for i in _LEVELS
+        ]
+    )
+    tested = _tested(numbered)
+    met = (
+        tested.select("dataset_name", "_no", F.inline(levels))
+        .join(absent, ["dataset_name", "_level", "_block"]).select("dataset_name", "_no", "w")
+    )
+    return (
+        of_run.unionByName(met).groupBy("dataset_name", "_no").agg(F.min("w").alias("w"))
+        .join(tested, ["dataset_name", "_no"])
+        .select("dataset_name", "run_id", "run_ts", "w.key", "w.baseline", "w.current")
+    )
+
+
 def backtest(
     metrics: DataFrame,
     tests: Sequence[ValueTest] = VALUE_TESTS,
@@ -340,5 +476,5 @@ def backtest(
 ) -> DataFrame:
     """A9 in batch form: the anomalies each run would have raised when it was the newest."""
     parts = [_value_records(prior_statistics(metrics, t.metric), t) for t in tests]
-    parts.append(_shift_records(prior_baselines(metrics), shift_threshold))
+    parts.append(_shift_records(largest_shifts(metrics), shift_threshold))
     return reduce(DataFrame.unionByName, parts).select(*ANOMALY_COLUMNS)

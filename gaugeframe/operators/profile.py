@@ -4,11 +4,17 @@ How often each value of each column occurs is enough to derive the whole profile
 counts, exact distinct counts, extremes, mixed types and top values. `value_counts` gets that
 in one scan and one shuffle; partial aggregation folds frequent values (and NULLs) before the
 shuffle. Values keep their type class, so numbers order as numbers.
+
+A text travels as its first HEAD characters and, if it is longer, its SHA-256. Only the texts of
+top values are fetched in full, by a second scan that compares digests.
+
+Exact distinct counts shuffle every distinct value. `distinct_sketches` is the way around it: a
+sketch of fixed size per column and run, which merges over runs, and no shuffle of values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +27,12 @@ from gaugeframe.functions.timestamps import iso_text
 from gaugeframe.session import local_frame
 
 TOP_VALUES = 5
+# Characters of a text that take part in a shuffle.
+HEAD = 32
+# At most so many winning values are looked up by literals; more are joined.
+_FEW = 2000
+# 2^12 registers: a relative standard error of 1.6 %.
+SKETCH_BITS = 12
 NUMERIC_TEXT = r"^[+-]?[0-9]+(\.[0-9]+)?\z"
 
 # Slot a value travels in, by type class. Decimals get the widest scale of the table.
@@ -75,18 +87,39 @@ def _used_slots(df: DataFrame) -> list[str]:
     return [s for s in _SLOTS if s in present]
 
 
+def _keyed(text: Column) -> tuple[Column, Column]:
+    """What stands for a text: its head, and its digest where it is longer."""
+    return (
+        F.substring(text, 1, HEAD),
+        F.when(F.length(text) > HEAD, F.unhex(F.sha2(text.cast("binary"), 256))),
+    )
+
+
 def value_counts(df: DataFrame) -> DataFrame:
-    """How often each value occurs: (_col, one typed slot per class, _n)."""
+    """How often each value occurs: (_col, one typed slot per class, _n).
+
+    A text slot is a head (`_text`), and `_digest` and `_numeric` say more about the whole text.
+    """
     slots = _used_slots(df)
     names = [f"_{s}" for s in slots]
+    if "text" in slots:
+        names += ["_digest", "_numeric"]
     cells: list[Column] = []
     for i, field in enumerate(df.schema.fields):
-        mine = _slot(field.dataType)
+        mine, c = _slot(field.dataType), F.col(field.name)
         cells.append(F.lit(i))
-        cells += [
-            (F.col(field.name) if s == mine else F.lit(None)).cast(_slot_type(df, s))
-            for s in slots
-        ]
+        if mine == "text":
+            text = c.cast("string")
+            head, digest = _keyed(text)
+            numeric = F.coalesce(strip_spaces(text).rlike(NUMERIC_TEXT), F.lit(False))
+        for s in slots:
+            value = F.lit(None) if s != mine else head if s == "text" else c
+            cells.append(value.cast(_slot_type(df, s)))
+        if "text" in slots:
+            cells += (
+                [digest, numeric] if mine == "text"
+                else [F.lit(None).cast("binary"), F.lit(None).cast("boolean")]
+            )
     unfolded = df.select(F.stack(F.lit(len(df.columns)), *cells).alias("_col", *names))
     return unfolded.groupBy("_col", *names).agg(F.count(F.lit(1)).alias("_n"))
 
@@ -133,8 +166,8 @@ def _statistics(df: DataFrame, counts: DataFrame) -> DataFrame:
     ]
     for slot in slots:
         if slot == "text":
-            numeric = F.coalesce(strip_spaces(F.col("_text")).rlike(NUMERIC_TEXT), F.lit(False))
-            measures.append(F.sum(F.when(numeric, F.col("_n")).otherwise(F.lit(0))).alias("_numeric"))
+            numeric = F.sum(F.when(F.col("_numeric"), F.col("_n")).otherwise(F.lit(0)))
+            measures.append(numeric.alias("_numeric"))
         else:
             measures += [
                 F.min(f"_{slot}").alias(f"_min_{slot}"), F.max(f"_{slot}").alias(f"_max_{slot}")
@@ -195,21 +228,53 @@ def type_issues(df: DataFrame, table: str, counts: DataFrame | None = None) -> D
     )
 
 
+def _long_texts(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_col, _text, _digest, _full): the long texts among `wanted`, from one scan of `df`."""
+    cells = []
+    texts = [(i, f) for i, f in enumerate(df.schema.fields) if _slot(f.dataType) == "text"]
+    for i, field in texts:
+        text = F.col(field.name).cast("string")
+        cells += [F.lit(i), *_keyed(text), text]
+    unfolded = df.select(F.stack(F.lit(len(texts)), *cells).alias("_col", "_text", "_digest", "_full"))
+    keys = ["_col", "_text", "_digest"]
+    # Copies of a text fold to one in every task.
+    return unfolded.where("_digest IS NOT NULL").join(wanted, keys, "left_semi").groupBy(*keys).agg(
+        F.any_value("_full").alias("_full")
+    )
+
+
 def top_values(
     df: DataFrame, table: str, top_n: int = TOP_VALUES, counts: DataFrame | None = None
 ) -> DataFrame:
-    """The most frequent values of every column, NULL among them.
+    """The most frequent values of every column, NULL among them; ties go by value.
 
-    The per-column limit is a window group limit: each task passes on at most `top_n` values.
+    The per-column limit is a window group limit: each task passes on at most `top_n` values and
+    those that tie with them by count and head. These few are collected; for long texts among
+    them a second scan fetches the whole values, and settles ties. Should more than _FEW tie
+    (texts of one head and count), they are not collected but joined.
     """
     counted = value_counts(df) if counts is None else counts
     slots = _used_slots(df)
     order = [F.desc("_n"), *[F.col(f"_{s}").asc_nulls_last() for s in slots]]
+    leading = counted.withColumn("_place", F.rank().over(Window.partitionBy("_col").orderBy(*order))).where(
+        F.col("_place") <= top_n
+    )
+    few = leading.limit(_FEW + 1).collect()
+    small = len(few) <= _FEW
+    if small:
+        leading = local_frame(df.sparkSession, few, leading.schema)
+    if "text" in slots and (not small or any(r["_digest"] is not None for r in few)):
+        wanted = leading.where("_digest IS NOT NULL").select("_col", "_text", "_digest")
+        texts = _long_texts(df, F.broadcast(wanted) if small else wanted)
+        keys = ["_col", "_text", "_digest"]
+        leading = leading.join(texts, keys, "left").withColumn("_text", F.coalesce("_full", "_text"))
     place = F.row_number().over(Window.partitionBy("_col").orderBy(*order))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
+    rows = df.agg(F.count(F.lit(1)).alias("_total")) if counts is None else counts.groupBy("_col").agg(
+        F.sum("_n").alias("_total")
+    ).agg(F.max("_total").alias("_total"))
     names = _columns_frame(df).select("_col", "column_name")
     return (
-        counted.withColumn("rank", place)
+        leading.withColumn("rank", place)
         .where(F.col("rank") <= top_n)
         .join(names, "_col")
         .select(
@@ -219,11 +284,41 @@ def top_values(
             "rank",
             F.coalesce(*[_as_text(df, s, F.col(f"_{s}")) for s in slots]).alias("value"),
             F.col("_n").alias("frequency"),
-            ratio(F.col("_n"), total.scalar()).alias("relative_frequency"),
+            ratio(F.col("_n"), rows.scalar()).alias("relative_frequency"),
         )
     )
 
 
+# ---------------------------------------------------------------- approximate distinct counts
+
+
+def distinct_sketches(df: DataFrame, table: str, by: Sequence[str] = ()) -> DataFrame:
+    """P3, opt-in: a HyperLogLog sketch per column: (by..., table_name, ordinal, column_name, sketch).
+
+    Sketches are built in the scanning tasks and merged; no values are shuffled. Kept per run,
+    they merge over runs with `distinct_estimates`.
+    """
+    fields = [f for f in df.schema.fields if f.name not in by]
+    # A leading mark: an empty text would not be counted.
+    sketches = [
+        F.hll_sketch_agg(F.concat(F.lit("."), F.col(f.name).cast("string")), F.lit(SKETCH_BITS)).alias(f"_s{i}")
+        for i, f in enumerate(fields)
+    ]
+    wide = df.groupBy(*by).agg(*sketches) if by else df.agg(*sketches)
+    columns = F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"), F.col(f"_s{i}").alias("sketch"))
+        for i, f in enumerate(fields)
+    ])
+    return wide.select(*by, F.lit(table).alias("table_name"), F.inline(columns))
+
+
+def distinct_estimates(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct counts per column (and `by`), over all runs that `sketches` holds."""
+    return sketches.groupBy(*by, "table_name", "ordinal", "column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_estimate")
+    )
+
+
 def table_summaries(profiles: DataFrame) -> DataFrame:
     """Per table, the column with most NULLs and the one with most distinct values.
 
@@ -252,14 +347,15 @@ def table_summaries(profiles: DataFrame) -> DataFrame:
 
 
 def profile(
-    tables: Mapping[str, DataFrame], run_id: str, dataset_name: str, top_n: int = TOP_VALUES
+    tables: Mapping[str, DataFrame], run_id: str, dataset_name: str, top_n: int = TOP_VALUES,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda name, counts: counts,
 ) -> dict[str, DataFrame]:
     """The profile tables of a run.
 
-    Persist or write the value counts of very large tables yourself and use the single
-    functions with `counts` when several of the results are needed.
+    All derive from the value counts of the tables. `keep` is given each table's name and counts
+    and returns them from where they were kept, so that a job counts once and reads back.
     """
-    counts = {name: value_counts(df) for name, df in tables.items()}
+    counts = {name: keep(name, value_counts(df)) for name, df in tables.items()}
 
     def united(make) -> DataFrame:
         frames = [make(df, name, counts=counts[name]) for name, df in tables.items()]

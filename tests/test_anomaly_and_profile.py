@@ -1,3 +1,4 @@
+import random
 from statistics import median
 
 import pytest
@@ -100,6 +101,40 @@ def test_prior_statistics_equal_brute_force(spark):
         assert row.mad == median(abs(x - row.median) for x in past)
 
 
+def test_running_median_and_mad():
+    rng = random.Random(5)
+    for size in (1, 2, 3, 10, 60):
+        values = [rng.choice([rng.random(), rng.randint(0, 4), -3.5]) for _ in range(size)]
+        running = anomaly.Running()
+        assert running.median() is None and running.mad() is None
+        for i, value in enumerate(values, start=1):
+            running.add(float(value))
+            middle = median(values[:i])
+            assert running.median() == middle
+            assert running.mad() == pytest.approx(median(abs(x - middle) for x in values[:i]), abs=1e-12)
+
+
+def test_largest_shifts_equal_all_types_of_all_runs(spark):
+    rng = random.Random(7)
+    shares = [{k: rng.choice([0.1, 0.25, 0.5]) for k in rng.sample("abcdefg", rng.randint(0, 4))} for _ in range(25)]
+    metrics = runs(spark, [1] * 25, shares=shares).unionByName(runs(spark, [1] * 3, shares=shares[:3], dataset="e"))
+    got = {(r.dataset_name, r.run_id): (r.key, r.baseline, r.current) for r in anomaly.largest_shifts(metrics).collect()}
+    worst = {}
+    for r in anomaly.prior_baselines(metrics).collect():
+        place = (-abs(r.current - r.baseline), r.key, r.baseline, r.current)
+        run = (r.dataset_name, r.run_id)
+        worst[run] = min(worst.get(run, place), place)
+    assert got == {run: place[1:] for run, place in worst.items()} and len(got) > 15
+
+
+def test_blocks_cover_a_range_once(spark):
+    ends = [(a, b) for a in range(1, 12) for b in range(a, 20)]
+    df = local_frame(spark, ends, "a bigint, b bigint")
+    for r in df.withColumn("blocks", anomaly._covering(F.col("a"), F.col("b"))).collect():
+        covered = [x for k in r.blocks for x in range(k._block << k._level, (k._block + 1) << k._level)]
+        assert sorted(covered) == list(range(r.a, r.b))
+
+
 @pytest.fixture(scope="module")
 def mixed(spark):
     return spark.sql("""
@@ -165,6 +200,34 @@ def test_hot_value_and_wide_text(spark):
     assert profile.top_values(df, "t", 1).first().frequency == 334
 
 
+def test_long_texts_with_one_head(spark):
+    """Ties among texts that only differ late go by the whole text; copies count together."""
+    head = "same beginning of every text, longer than any head: "
+    rows = [(f"{head}{i:03d}",) for i in range(40)] + [(f"{head}007",), ("short",), ("short",), (None,), ("",)]
+    df = local_frame(spark, rows, "v string")
+    want = [("short", 2), (head + "007", 2), ("", 1), (head + "000", 1), (head + "001", 1)]
+    want.sort(key=lambda x: (-x[1], x[0]))
+    for few in (2000, 3):
+        profile._FEW, before = few, profile._FEW
+        got = profile.top_values(df, "t", 5).orderBy("rank").collect()
+        profile._FEW = before
+        assert [(r.value, r.frequency) for r in got] == want
+    row = profile.column_profiles(df, "t").first()
+    assert (row.row_count, row.null_count, row.distinct_count) == (45, 1, 42)
+
+
+def test_sketches_merge_over_runs(spark):
+    df = spark.range(4000).select(
+        F.concat(F.lit("r"), F.col("id") % 4).alias("run_id"), (F.col("id") % 3000).alias("n"),
+        F.when(F.col("id") % 2 == 0, "").otherwise(None).alias("t"))
+    kept = profile.distinct_sketches(df, "t", ["run_id"])
+    assert kept.count() == 8
+    found = {r.column_name: r.distinct_estimate for r in profile.distinct_estimates(kept).collect()}
+    assert abs(found["n"] - 3000) <= 150 and found["t"] == 1
+    nothing = profile.distinct_estimates(profile.distinct_sketches(df.limit(0), "t"))
+    assert {r.distinct_estimate for r in nothing.collect()} == {0}
+
+
 def test_extremes_of_intervals_follow_their_length(spark):
     df = spark.sql("""
         SELECT * FROM VALUES (INTERVAL '9' DAY, INTERVAL '2-1' YEAR TO MONTH, 1),

@@ -903,6 +903,11 @@ ORACLE["profile_top_values"] = " UNION ALL ".join(
     f"AS rank FROM {t} GROUP BY {c}) WHERE rank <= 5"
     for t in PROFILED for i, c, k in _columns_of(t)
 )
+ORACLE["profile_distinct_estimates"] = " UNION ALL ".join(
+    f"SELECT 'events' AS table_name, {quote(c)} AS column_name, count(DISTINCT {c}) AS distinct_count, "
+    "TRUE AS within_bound FROM events"
+    for _, c, _ in _columns_of("events")
+)
 ORACLE["profile_type_issues"] = """
 WITH contacts AS (
   SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(c_acctbal AS VARCHAR)

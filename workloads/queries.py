@@ -717,6 +717,20 @@ def profile_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _united([profile.top_values(table(spark, sf_dir, n), n) for n in PROFILED])
 
 
+@query
+def profile_distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch per column and day, merged over all days, beside the exact count: within 5 %."""
+    events = daily_runs(table(spark, sf_dir, "events"), "ts", DATASET).drop("run_ts", "dataset_name")
+    kept = profile.distinct_sketches(events, "events", ["run_id"])
+    estimates = profile.distinct_estimates(kept).drop("ordinal")
+    exact = profile.column_profiles(table(spark, sf_dir, "events"), "events")
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return exact.join(estimates, ["table_name", "column_name"]).select(
+        "table_name", "column_name", "distinct_count",
+        (off <= F.col("distinct_count") * 0.05).alias("within_bound"),
+    )
+
+
 @query
 def profile_type_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order statuses and districts do not mix; the raw time and balance texts do."""
