@@ -54,18 +54,34 @@ def canonicalise(c: Column, aliases: Mapping[str, str], fallback: Column) -> Col
 
 
 def canonicalise_by_table(
-    df: DataFrame, column: str, aliases: DataFrame, fallback: Column
+    df: DataFrame, column: str, aliases: DataFrame, fallback: Column,
+    map_rows: int = 10_000, broadcast_bytes: int = 64 << 20, slices: int = 16,
 ) -> DataFrame:
-    """CL3 for a large vocabulary: `aliases` has columns (alias, canonical).
+    """CL3 for a vocabulary that is data: `aliases` has columns (alias, canonical).
 
-    No broadcast hint: the optimizer broadcasts the vocabulary only when its measured size
-    allows it. Aliases are made unique first so that the join cannot multiply rows.
+    The vocabulary is made unique and measured first. Up to `map_rows` aliases become a constant
+    map; up to `broadcast_bytes` of text are broadcast. A larger one is joined by alias and a
+    slice of the row hash, to each of which the vocabulary is repeated: rows of a hot alias are
+    dealt to `slices` places, not one.
     """
-    vocabulary = aliases.groupBy(F.col("alias").alias("_alias")).agg(
-        F.min("canonical").alias("_canonical")
-    )
-    joined = df.withColumn("_alias", alias_key(F.col(column))).join(
-        vocabulary, "_alias", "left"
+    vocabulary = (
+        aliases.where("alias IS NOT NULL").groupBy(F.col("alias").alias("_alias"))
+        .agg(F.min("canonical").alias("_canonical"))
     )
+    size = F.sum(F.octet_length("_alias") + F.coalesce(F.octet_length("_canonical"), F.lit(0)) + 32)
+    rows, octets = vocabulary.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    if rows <= map_rows and octets <= broadcast_bytes:
+        known = {r["_alias"]: r["_canonical"] for r in vocabulary.collect()}
+        return df.withColumn(column, canonicalise(F.col(column), known, fallback))
+    keyed = df.withColumn("_alias", alias_key(F.col(column)))
+    keys = ["_alias"]
+    if octets <= broadcast_bytes:
+        vocabulary = F.broadcast(vocabulary)
+    else:
+        keys.append("_slice")
+        keyed = keyed.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(slices)).cast("int"))
+        places = F.sequence(F.lit(0), F.lit(slices - 1))
+        vocabulary = vocabulary.withColumn("_slice", F.explode(places))
+    joined = keyed.join(vocabulary, keys, "left")
     value = empty_to_null(F.coalesce(F.col("_canonical"), fallback))
     return joined.select(*[value.alias(n) if n == column else F.col(n) for n in df.columns])

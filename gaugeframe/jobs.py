@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeframe import defaults
-from gaugeframe.config import load_gate_settings, load_root_causes, load_rules, load_vocabulary
+from gaugeframe.config import (
+    load_expected_schema, load_gate_settings, load_root_causes, load_rules, load_vocabulary,
+)
 from gaugeframe.functions.timestamps import parse_timestamp, utc_now
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
+from gaugeframe.operators.rules import skipped_report
 from gaugeframe.plans.validation import Run, validate
 from gaugeframe.session import configure
 from gaugeframe.sources import exports, marts, synthetic
@@ -64,32 +67,53 @@ def run_profile(spark: SparkSession, args) -> None:
 
 
 def run_validate(spark: SparkSession, args) -> None:
-    """Two scans per table give checks and issues; the rest is derived from marts or metrics."""
+    """Two scans per table give checks and issues; the rest is derived from marts or metrics.
+
+    Drift is written first: a missing table is on record even though rules that need it fail.
+    """
     tables = exports.read_staged(spark, args.stage)
     rules = _rules(spark, args)
     now = args.run_ts or datetime.now(timezone.utc).isoformat()
     run = Run(args.run_id, args.dataset, now)
+    stamp = {
+        "run_id": F.lit(run.run_id), "run_ts": F.lit(run.run_ts),
+        "dataset_name": F.lit(run.dataset_name),
+    }
+
+    def write(df: DataFrame, name: str) -> None:
+        marts.write_run(df, f"{args.marts}/{name}", run_id=run.run_id)
+
+    declared = (
+        load_expected_schema(args.expected_schema, spark) if args.expected_schema
+        else defaults.EXPECTED_SCHEMA
+    )
+    actual = drift.actual_columns(spark, tables)
+    drifting = drift.compare_schemas(drift.expected_columns(spark, declared), actual)
+    write(drifting.withColumns(stamp), "dq_schema_drift")
+    write(skipped_report(spark, rules, tables).withColumns(stamp), "dq_skipped_columns")
+
     as_of = F.coalesce(parse_timestamp(F.lit(now)), utc_now())
     validation = validate(tables, rules, run, as_of=as_of)
     marts.write_run(validation.checks, f"{args.marts}/dq_check_results")
-    marts.write_run(validation.issues, f"{args.marts}/dq_issue_history", run_id=run.run_id)
+    write(validation.issues, "dq_issue_history")
     marts.write_run(validation.run_history, f"{args.marts}/dq_run_history")
+    write(outcomes.expectation_results(validation.checks).withColumns(stamp), "dq_expectation_results")
+    write(outcomes.expectation_statistics(validation.checks).withColumns(stamp), "dq_expectation_statistics")
+    write(gate.rule_summary(validation.checks).withColumns(stamp), "dq_rule_summary")
     top = history.recurrence(_mart(spark, args, "dq_issue_history"))
-    top = top.withColumn("run_id", F.lit(run.run_id))
-    marts.write_run(top, f"{args.marts}/dq_issue_recurrence", run_id=run.run_id)
-    stamp = {
-        "run_id": F.lit(run.run_id), "run_ts": F.lit(run.run_ts),
-        "dataset_name": F.lit(run.dataset_name),
-    }
-    metrics = anomaly.run_metrics(tables["events"]).withColumns(stamp)
-    past = _mart(spark, args, "dq_metrics_history").where(F.col("run_id") != run.run_id)
-    found = anomaly.detect(metrics, anomaly.parse_metrics(past))
-    marts.write_run(found, f"{args.marts}/dq_anomalies", run_id=run.run_id)
-    marts.write_run(anomaly.metrics_record(metrics), f"{args.marts}/dq_metrics_history")
-    drifting = drift.compare_schemas(
-        drift.expected_columns(spark, defaults.EXPECTED_SCHEMA), drift.actual_columns(spark, tables)
+    write(top.withColumn("run_id", F.lit(run.run_id)), "dq_issue_recurrence")
+    if "events" not in tables:
+        return
+    marts.write_run(
+        anomaly.metrics_record(anomaly.run_metrics(tables["events"]).withColumns(stamp)),
+        f"{args.marts}/dq_metrics_history",
+    )
+    known = _mart(spark, args, "dq_metrics_history")
+    metrics, past = (
+        anomaly.parse_metrics(known.where(F.col("run_id").eqNullSafe(run.run_id) == own))
+        for own in (True, False)
     )
-    marts.write_run(drifting.withColumns(stamp), f"{args.marts}/dq_schema_drift", run_id=run.run_id)
+    write(anomaly.detect(metrics, past), "dq_anomalies")
 
 
 def _run_results(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
@@ -123,8 +147,10 @@ def run_gate(spark: SparkSession, args) -> None:
 
 
 def run_lifecycle(spark: SparkSession, args) -> None:
+    """With `--close-issues`, a later run without issues closes them: the run history tells."""
     issues = _mart(spark, args, "dq_issue_history")
-    history.issue_lifecycle(issues).write.mode("overwrite").parquet(
+    runs = _mart(spark, args, "dq_run_history") if args.close_issues else None
+    history.issue_lifecycle(issues, runs=runs).write.mode("overwrite").parquet(
         f"{args.marts}/dq_issue_lifecycle"
     )
 
@@ -198,10 +224,12 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--rules")
     parser.add_argument("--root-causes")
     parser.add_argument("--mappings")
+    parser.add_argument("--expected-schema")
     parser.add_argument("--gate")
     parser.add_argument("--baseline")
     parser.add_argument("--tolerance", type=float, default=0.01)
     parser.add_argument("--top-n", type=int, default=profile.TOP_VALUES)
+    parser.add_argument("--close-issues", action="store_true")
     parser.add_argument("--sketches", action="store_true")
     parser.add_argument("--workflow-run-id", default="local")
     parser.add_argument("--workflow-attempt", default="local")

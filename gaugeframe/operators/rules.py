@@ -28,13 +28,14 @@ from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.config import Rule
 from gaugeframe.functions.text import strip_spaces
 from gaugeframe.functions.timestamps import utc_now
+from gaugeframe.session import local_frame
 
 ROW_KINDS = frozenset(
     {"NULL_PERCENTAGE", "PATTERN", "DATE_RANGE", "TIMESTAMP_ORDER", "ENUM", "NON_NEGATIVE_COUNTS"}
@@ -131,6 +132,18 @@ def skipped_columns(rule: Rule, tables: Mapping[str, DataFrame]) -> list[tuple[s
     ]
 
 
+def skipped_report(
+    spark: SparkSession, rules: Iterable[Rule], tables: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The columns that sweeps skipped, with their types."""
+    rows = [
+        (rule.id, table, column, tables[table].schema[column].dataType.simpleString())
+        for rule in rules if rule.kind == "NON_NEGATIVE_COUNTS"
+        for table, column in skipped_columns(rule, tables)
+    ]
+    return local_frame(spark, rows, "check_id string, table_name string, column_name string, type string")
+
+
 def row_checks(
     rules: Iterable[Rule], tables: Mapping[str, DataFrame], as_of: Column | None = None
 ) -> dict[str, list[RowCheck]]:

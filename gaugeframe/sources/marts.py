@@ -45,6 +45,19 @@ SCHEMAS = {
     "dq_schema_drift": """
         run_id string, run_ts string, dataset_name string, table_name string,
         missing_columns string, new_columns string, type_changes string, notes string""",
+    "dq_skipped_columns": """
+        run_id string, run_ts string, dataset_name string, check_id string, table_name string,
+        column_name string, type string""",
+    "dq_expectation_results": """
+        run_id string, run_ts string, dataset_name string, check_id string, table_name string,
+        dimension string, success boolean, unexpected_count bigint, unexpected_percent double""",
+    "dq_expectation_statistics": """
+        run_id string, run_ts string, dataset_name string, evaluated_expectations bigint,
+        successful_expectations bigint, unsuccessful_expectations bigint, success_percent double,
+        success boolean""",
+    "dq_rule_summary": """
+        run_id string, run_ts string, dataset_name string, grouping string, value string,
+        rules bigint""",
     "score_history": """
         run_id string, run_ts string, dataset_name string, score double, baseline double,
         minimum double, total_penalty double, total_weight double, total_checks bigint,

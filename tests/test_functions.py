@@ -33,10 +33,11 @@ def test_canonicalise_by_table_keeps_every_row_once(spark):
     df = local_frame(spark, [(1, " Texas"), (2, "zz"), (3, None)], "id int, s string")
     words = local_frame(
         spark, [("texas", "TX"), ("texas", "TX")], "alias string, canonical string")
-    got = text.canonicalise_by_table(df, "s", words, F.upper(F.col("s")))
-    assert got.columns == ["id", "s"]
-    assert sorted(tuple(r) for r in got.dropna().collect()) == [(1, "TX"), (2, "ZZ")]
-    assert got.count() == 3
+    for limits in ({}, {"map_rows": 0}, {"map_rows": 0, "broadcast_bytes": 0}):  # map, broadcast, split
+        got = text.canonicalise_by_table(df, "s", words, F.upper(F.col("s")), **limits)
+        assert got.columns == ["id", "s"]
+        assert sorted(tuple(r) for r in got.dropna().collect()) == [(1, "TX"), (2, "ZZ")]
+        assert got.count() == 3
 
 
 def reference_parse(value):

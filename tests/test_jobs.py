@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 from gaugeframe import jobs
+from gaugeframe.operators import profile
 from gaugeframe.sources import marts
 
 
@@ -97,3 +98,74 @@ def test_compare_and_failing_gate(spark, folders, capsys):
     with pytest.raises(SystemExit):
         step("gate", "--run-id", "001", "--gate", str(gate))
     assert "below threshold 99.50" in capsys.readouterr().out
+
+
+def test_missing_extra_and_drifted_tables(spark, folders, tmp_path):
+    """Tables are what the stage holds, and the expected schema is the configured one."""
+    base, _, step = folders
+    schema = tmp_path / "schema.yml"
+    schema.write_text("""
+tables:
+  users: {columns: {user_id: {type: uuid}, nick: string}}
+  payments: {columns: {payment_id: uuid}}
+""")
+    rules = tmp_path / "rules.yml"
+    rules.write_text("""
+checks:
+  completeness:
+    - {id: note, table: extra, column: note, rule: NULL_PERCENTAGE}
+    - {id: counts, table: "*", rule: NON_NEGATIVE_COUNTS, column_regex: "count"}
+""")
+    stage, marts_ = str(tmp_path / "stage"), str(tmp_path / "marts")
+    spark.createDataFrame([(1,)], "user_id int").write.parquet(f"{stage}/users")
+    spark.createDataFrame([("x", "n", 3), (None, "m", -2)], "note string, count_text string, n_count int").write.parquet(f"{stage}/extra")
+
+    def validate(*more):
+        args = jobs.arguments().parse_args(
+            ["validate", "--stage", stage, "--marts", marts_, "--run-id", "9", "--run-ts", "2026-01-01T00:00:00", *more])
+        jobs.run_step(spark, args)
+
+    def rows(name):
+        return marts.read_run(spark, f"{marts_}/{name}", "9").collect()
+
+    validate("--expected-schema", str(schema), "--rules", str(rules))
+    drift = {r.table_name: r for r in rows("dq_schema_drift")}
+    assert drift["payments"].notes == "Expected staging table was not created."
+    assert drift["extra"].notes == "Unexpected staging table appeared."
+    assert json.loads(drift["extra"].new_columns) == ["count_text", "n_count", "note"]
+    assert json.loads(drift["users"].missing_columns) == ["nick"]
+    assert json.loads(drift["users"].type_changes) == [
+        {"column": "user_id", "expected": "varchar", "actual": "integer"}]
+    assert [(r.check_id, r.table_name, r.column_name, r.type) for r in rows("dq_skipped_columns")] == [
+        ("counts", "extra", "count_text", "string")]
+    assert {r.check_name: r.affected_rows for r in rows("dq_issue_history")} == {"note": 1, "counts": 1}
+    assert {r.check_id: r.success for r in rows("dq_expectation_results")} == {"note": False, "counts": False}
+    assert rows("dq_expectation_statistics")[0].success_percent == 0.0
+    assert sum(r.rules for r in rows("dq_rule_summary") if r.grouping == "table_name") == 2
+    assert json.loads(rows("dq_run_history")[0].total_rows_by_table) == {"extra": 2, "users": 1}
+    # The built-in rules need tables that are not there: the drift is on record all the same.
+    with pytest.raises(ValueError, match="Missing staging table"):
+        validate()
+    assert "newsletter" in {r.table_name for r in rows("dq_schema_drift")}
+
+
+def test_a_clean_run_closes_issues(spark, folders):
+    _, store, step = folders
+    clean = spark.createDataFrame([("003", "2026-01-03T00:00:00+00:00", "phase1", "{}")],
+                                  "run_id string, run_ts string, dataset_name string, total_rows_by_table string")
+    marts.write_run(clean, f"{store}/dq_run_history")
+    step("lifecycle", "--close-issues")
+    assert {r.status for r in spark.read.parquet(f"{store}/dq_issue_lifecycle").collect()} == {"not_seen_in_latest_run"}
+    step("lifecycle")
+    assert {r.status for r in spark.read.parquet(f"{store}/dq_issue_lifecycle").collect()} == {"open"}
+
+
+def test_profile_keeps_counts_and_sketches(spark, folders):
+    _, store, step = folders
+    step("profile", "--run-id", "001", "--sketches")
+    assert spark.read.parquet(f"{store}/profiles/value_counts/users/001").agg({"_n": "sum"}).first()[0] == 8 * 6
+    kept = marts.read_mart(spark, f"{store}/profiles/distinct_sketches/users")
+    exact = {r.column_name: r.distinct_count for r in marts.read_run(spark, f"{store}/profiles/column_profiles", "001")
+             .where("table_name = 'users'").collect()}
+    found = {r.column_name: r.distinct_estimate for r in profile.distinct_estimates(kept).collect()}
+    assert found == exact

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeframe import defaults
@@ -251,3 +252,27 @@ def test_files_of_a_folder_are_read_by_their_own_header(spark, tmp_path):
     got = exports.read_export(spark, str(folder), ["id", "name", "state"])
     assert {tuple(r) for r in got.collect()} == {
         ("1", "N1", "NY"), ("2", "N2", "TX"), ("3", "N3", "CA")}
+
+
+def test_headers_are_found_in_one_job(spark, tmp_path):
+    """Quoted names over two lines, blank first lines, files without bytes; any number of files."""
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    for i in range(12):
+        (folder / f"p{i:02d}.csv").write_text("a,b\n" + f"{i},x\n" if i % 2 else "b,\"c,d\",a\n" + f"y,z,{i}\n")
+    (folder / "blank.csv").write_text("\n\nB ,a\n7,8\n")
+    (folder / "quoted.csv").write_text('"two\nlines",a,b\n1,2,3\n')
+    (folder / "none.csv").write_text("")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    heads = exports.first_lines(spark, str(folder))
+    assert len(tracker.getJobIdsForGroup("headers")) == 1
+    assert sorted(map(len, heads.values())) == [1, 1, 6, 6]
+    spark.sparkContext.setJobGroup("other", "other")
+    got = {(r.a, r.b) for r in exports.read_export(spark, str(folder), ["a", "b"], multi_line=True).collect()}
+    assert got == {(str(i), "x" if i % 2 else "y") for i in range(12)} | {("8", "7"), ("2", "3")}
+    with pytest.raises(ValueError, match="No column q"):
+        exports.read_export(spark, str(folder), ["a", "q"])
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="No file with a header"):
+        exports.read_export(spark, str(tmp_path / "empty.csv"), ["a"])

@@ -519,6 +519,13 @@ FROM checks"""
 
 ORACLE["score_overall"] = f"{CHECKS} {_score('')}"
 ORACLE["score_dimensions"] = f"{CHECKS} {_score('dimension,')} GROUP BY dimension"
+for _way in ("map", "broadcast", "split_join"):
+    ORACLE[f"canonical_by_{_way}"] = """
+SELECT o_orderkey, coalesce(v.segment, 'unknown') AS customer
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'customer#000000001'
+        ELSE concat('customer#', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) END AS name FROM orders) o
+LEFT JOIN (SELECT lower(c_name) AS name, min(c_mktsegment) AS segment FROM customer
+           WHERE c_custkey % 5 <> 0 GROUP BY 1) v ON v.name = o.name"""
 # What each spelling of the query keeps of the time, in its order.
 _KEPT = ("day", "second", "minute", "hour", "hour", "day", "second", "minute", "minute", "minute", "second")
 ORACLE["parsed_times"] = (

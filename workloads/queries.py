@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeframe import defaults
 from gaugeframe.config import GateSettings, Rule
+from gaugeframe.functions.text import canonicalise_by_table
 from gaugeframe.functions.timestamps import parse_timestamp
 from gaugeframe.operators import anomaly, drift, gate, history, outcomes, profile, scoring
 from gaugeframe.operators.cleaning import clean_table
@@ -71,6 +72,33 @@ def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _canonical_segments(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    """Orders' customers by name, a third of them one name, replaced by their segment."""
+    name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(" customer#000000001 ")).otherwise(name)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", hot.alias("customer"))
+    known = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select(
+        F.lower("c_name").alias("alias"), F.col("c_mktsegment").alias("canonical")
+    )
+    return canonicalise_by_table(orders, "customer", known, F.lit("unknown"), **limits)
+
+
+@query
+def canonical_by_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _canonical_segments(spark, sf_dir)
+
+
+@query
+def canonical_by_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _canonical_segments(spark, sf_dir, map_rows=0)
+
+
+@query
+def canonical_by_split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CL3 as for a vocabulary too large to broadcast; one alias holds a third of the rows."""
+    return _canonical_segments(spark, sf_dir, map_rows=0, broadcast_bytes=0)
+
+
 # How the time of an order is spelled, in turn by its key.
 TIME_SPELLINGS = (
     "yyyyMMdd", "yyyyMMdd'T'HHmmss", "yyyyMMdd HH:mm", "yyyy-MM-dd'T'HH", "yyyy-MM-dd h a",
