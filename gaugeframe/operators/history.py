@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.stats import count_when
+from gaugeframe.functions.stats import count_when, ranked
 from gaugeframe.functions.timestamps import parse_timestamp
 
 RECURRENCE_LIMIT = 10
@@ -153,12 +153,11 @@ def _named_type() -> Column:
 
 
 def issue_totals(history: DataFrame) -> DataFrame:
-    """H6: all-time number of issues per type."""
-    return (
-        history.groupBy(_named_type().alias("issue_type"))
-        .agg(F.count(F.lit(1)).alias("issue_count"))
-        .orderBy(F.desc("issue_count"), "issue_type")
+    """H6: all-time number of issues per type, most frequent first by `rank`."""
+    totals = history.groupBy(_named_type().alias("issue_type")).agg(
+        F.count(F.lit(1)).alias("issue_count")
     )
+    return ranked(totals, F.desc("issue_count"), F.col("issue_type"))
 
 
 def trend_matrix(history: DataFrame, types: int = TREND_TYPES) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.stats import exact_sum
+from gaugeframe.functions.stats import exact_sum, ranked
 from gaugeframe.functions.timestamps import parse_timestamp, utc_now
 
 PREVIEW_SIZE = 12
@@ -52,12 +52,15 @@ def dimension_scores(
 
 
 def ranked_dimension_scores(scores: DataFrame) -> DataFrame:
-    """SC8: best dimension first."""
-    return scores.orderBy(F.desc("score"), "dimension")
+    """SC8: best dimension first, with its `rank`."""
+    return ranked(scores, F.desc("score"), F.col("dimension"))
 
 
 def check_summary(checks: DataFrame) -> DataFrame:
-    """SC3: fail, pass, warn (alphabetical), highest failure rate first; gaps become zero."""
+    """SC3: fail, pass, warn (alphabetical), highest failure rate first; gaps become zero.
+
+    `rank` says the order.
+    """
     columns = [
         F.col(c) if c in checks.columns else F.lit(None).cast("string").alias(c)
         for c in SUMMARY_COLUMNS
@@ -65,11 +68,8 @@ def check_summary(checks: DataFrame) -> DataFrame:
     zero = {c: 0.0 for c in (
         "failure_rate", "threshold_warning", "threshold_fail", "weight", "penalty"
     )}
-    return (
-        checks.select(*columns)
-        .fillna({**zero, "severity": 0})
-        .orderBy("status", F.desc("failure_rate"), "check_id")
-    )
+    filled = checks.select(*columns).fillna({**zero, "severity": 0})
+    return ranked(filled, F.col("status"), F.desc("failure_rate"), F.col("check_id"))
 
 
 def issue_preview(issues: DataFrame, limit: int | None = PREVIEW_SIZE) -> DataFrame:

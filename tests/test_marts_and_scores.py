@@ -79,7 +79,7 @@ def test_recurrence_totals_and_trend(spark):
     assert history.recurrence(issues).count() == 2
     assert history.recurring_count(history.recurrence(issues)).first()[0] == 1
     totals = [tuple(r) for r in history.issue_totals(issues).collect()]
-    assert totals == [("duplicate", 2), ("Unknown", 1), ("fk", 1)]
+    assert totals == [("duplicate", 2, 1), ("Unknown", 1, 2), ("fk", 1, 3)]
     matrix = [tuple(r) for r in history.trend_matrix(issues, types=2).collect()]
     assert [(r[0], str(r[1])[:10], r[2], r[3], r[4]) for r in matrix] == [
         ("run-2", "1970-01-01", 1, "duplicate", 0), ("run-2", "1970-01-01", 2, "Unknown", 1),

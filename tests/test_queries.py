@@ -12,6 +12,8 @@ SF = "/root/testdata/sf0.001"
 CHECKED = (
     "clean_events", "clean_newsletter", "stable_ids", "rule_non_negative", "rule_unique_mapping",
     "rule_duplicate_compound", "rule_foreign_key", "rule_duplicate_rows_hot_key", "check_results",
+    "rule_unique_mapping_rows_hot_key", "rule_fk_rows_hot_key", "canonical_by_split_join", "run_time",
+    "profile_distinct_estimates", "anomaly_volume", "anomaly_distribution_shift", "score_record",
     "issue_log", "baseline_compare", "history_upsert", "issue_lifecycle", "issue_trend_matrix",
     "score_trend", "anomaly_current_run", "distribution_baseline", "schema_drift",
     "profile_columns", "profile_top_values", "profile_table_summary",

@@ -83,13 +83,13 @@ def clean_select(name: str, extra: str = "") -> str:
 for _name in _CLEAN:
     ORACLE[f"clean_{_name}"] = clean_select(_name)
 
-_EXTRA = {"resources": ", view_count", "events": ", day"}
+_EXTRA = {"resources": ", view_count"}
 
 
-def staged(*names: str) -> str:
+def staged(*names: str, more: str = "") -> str:
     """CTEs of the cleaned tables, named as the tables are."""
     ctes = [
-        f"c_{n} AS MATERIALIZED ({clean_select(n, _EXTRA.get(n, ''))})" for n in names or _CLEAN
+        f"c_{n} AS MATERIALIZED ({clean_select(n, _EXTRA.get(n, '') + more)})" for n in names or _CLEAN
     ]
     return "WITH " + ",\n".join(ctes)
 
@@ -268,7 +268,7 @@ ORACLE["rule_fk_rows_hot_key"] = """
 SELECT * FROM lineitem WHERE l_returnflag NOT IN (
   SELECT l_returnflag FROM lineitem WHERE l_returnflag <> 'N')"""
 ORACLE["rule_fk_failing_rows"] = (
-    f"{staged('users', 'events')} SELECT * EXCLUDE (day) FROM "
+    f"{staged('users', 'events')} SELECT * FROM "
     f"({orphan_rows('c_events', 'user_id', 'c_users', 'user_id')})"
 )
 ORACLE["rule_unique_mapping_rows"] = mapping_rows("lineitem", "l_partkey", "l_suppkey")
@@ -518,7 +518,9 @@ FROM checks"""
 
 
 ORACLE["score_overall"] = f"{CHECKS} {_score('')}"
-ORACLE["score_dimensions"] = f"{CHECKS} {_score('dimension,')} GROUP BY dimension"
+ORACLE["score_dimensions"] = f"""{CHECKS}
+SELECT *, CAST(row_number() OVER (ORDER BY score DESC, dimension) AS INTEGER) AS rank
+FROM ({_score('dimension,')} GROUP BY dimension)"""
 for _way in ("map", "broadcast", "split_join"):
     ORACLE[f"canonical_by_{_way}"] = """
 SELECT o_orderkey, coalesce(v.segment, 'unknown') AS customer
@@ -537,11 +539,13 @@ ORACLE["parsed_times"] = (
 ORACLE["score_record"] = f"""{CHECKS}
 SELECT {_STAMP}, {quote(RUN_TS)} AS run_ts, score, 100.0::DOUBLE AS baseline,
   0.0::DOUBLE AS minimum, total_penalty, total_weight, total_checks,
-  (SELECT count(*) FROM checks WHERE failure_count > 0) AS failed_checks FROM ({_score('')})"""
+  (SELECT count(*) FROM checks WHERE failure_count > 0) AS failed_checks,
+  (SELECT concat('{{', string_agg(concat('"', dimension, '":', CAST(score AS VARCHAR)), ',' ORDER BY dimension), '}}')
+   FROM ({_score('dimension,')} GROUP BY dimension)) AS subscores FROM ({_score('')})"""
 ORACLE["check_summary"] = f"""{CHECKS}
 SELECT check_id, table_name, dimension, description, status, failure_rate, threshold_warning,
-  threshold_fail, severity, weight, penalty, NULL::VARCHAR AS issue_type FROM checks
-ORDER BY status, failure_rate DESC, check_id"""
+  threshold_fail, severity, weight, penalty, NULL::VARCHAR AS issue_type,
+  CAST(row_number() OVER (ORDER BY status, failure_rate DESC, check_id) AS INTEGER) AS rank FROM checks"""
 ORACLE["issue_preview"] = f"""{_ISSUES}
 SELECT run_id, table_name, check_name, issue_type, severity, affected_pct, probable_root_cause,
   recommended_fix FROM issues ORDER BY severity DESC, affected_pct DESC, check_name LIMIT 12"""
@@ -605,9 +609,10 @@ comparison AS (
 
 ORACLE["baseline_compare"] = f"{_comparison()} SELECT * FROM comparison"
 ORACLE["baseline_verdict"] = f"""{_comparison()}
-SELECT bool_and(matches) AS matched, (SELECT concat(kind, ' ', name) FROM comparison
+SELECT bool_and(matches) AS matched, (SELECT concat(kind, ' ', name, ': expected ',
+    coalesce(CAST(expected AS VARCHAR), 'none'), ' vs actual ', coalesce(CAST(actual AS VARCHAR), 'none')) FROM comparison
   WHERE NOT matches ORDER BY CASE kind WHEN 'score' THEN 1 WHEN 'failed_checks' THEN 2
-    WHEN 'issue_count' THEN 3 ELSE 4 END, name LIMIT 1) AS mismatch FROM comparison"""
+    WHEN 'issue_count' THEN 3 ELSE 4 END, name LIMIT 1) AS reason FROM comparison"""
 
 _DAY = "strftime(ts, '%Y-%m-%d')"
 ORACLE["history_upsert"] = f"""
@@ -628,36 +633,37 @@ WHERE place = 1"""
 
 
 def _daily() -> str:
-    """The event checks of each day, one aggregate per check."""
-    t = "c_events"
-    checks = {
-        "events_event_ts_not_null": (f"SELECT day, event_ts IS NULL AS bad FROM {t}"),
-        "events_resource_id_not_null": (f"SELECT day, resource_id IS NULL AS bad FROM {t}"),
-        "events_event_ts_date_range": (
-            f"SELECT day, coalesce(event_ts < TIMESTAMP '1900-01-01' OR event_ts > {NOW}, false) AS bad FROM {t}"),
-        "events_pk_unique": (
-            f"SELECT day, row_number() OVER (PARTITION BY day, event_id ORDER BY event_id) > 1 AS bad FROM {t}"),
-        "events_user_fk": (
-            f"SELECT day, user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM c_users "
-            f"WHERE user_id IS NOT NULL) AS bad FROM {t}"),
-        "events_resource_fk": (
-            f"SELECT day, resource_id IS NOT NULL AND resource_id NOT IN (SELECT resource_id FROM "
-            f"c_resources WHERE resource_id IS NOT NULL) AS bad FROM {t}"),
-    }
-    rows = " UNION ALL ".join(
-        f"SELECT {quote(c)} AS check_id, concat('run-', day) AS run_id, concat(day, 'T00:00:00') AS run_ts, "
-        f"{quote(DATASET)} AS dataset_name, count(*) FILTER (WHERE bad) AS failure_count, "
-        f"count(*) AS total_rows FROM ({q}) GROUP BY day"
-        for c, q in checks.items()
+    """All checks of each day, one aggregate per check."""
+    mapped = (
+        "SELECT * FROM c_districts d WHERE district_name IS NOT NULL AND (SELECT count(DISTINCT x.district_id) "
+        "FROM c_districts x WHERE x.day = d.day AND x.district_name = d.district_name) > 1"
+    )
+    failing = {**_FAILING, "numeric_counts_non_negative": (
+        "SELECT * FROM c_resources WHERE view_count < 0", "resources")}
+    parts = []
+    for check_id, (rows, t) in failing.items():
+        rule = defaults.RULES.only(check_id).rules[0]
+        if rule.kind == "DUPLICATE_PERCENTAGE":
+            rows = duplicate_rows(f"c_{t}", "day", *rule.columns)
+        elif rule.kind == "UNIQUE_MAPPING":
+            rows = mapped
+        parts.append(
+            f"SELECT {quote(check_id)} AS check_id, concat('run-', day) AS run_id, concat(day, 'T00:00:00') "
+            f"AS run_ts, {quote(DATASET)} AS dataset_name, CAST(coalesce(f.n, 0) AS BIGINT) AS failure_count, "
+            f"t.n AS total_rows FROM (SELECT day, count(*) AS n FROM c_{t} GROUP BY day) t "
+            f"LEFT JOIN (SELECT day, count(*) AS n FROM ({rows}) GROUP BY day) f USING (day)"
+        )
+    return (
+        f"{staged(more=', day')}, counts AS ({' UNION ALL '.join(parts)}), "
+        f"{_JUDGE.format(rules=_rule_values())}"
     )
-    return f"{staged('users', 'resources', 'events')}, counts AS ({rows}), {_JUDGE.format(rules=_rule_values())}"
 
 
 _HISTORY = f"""{_daily()}, history AS (
   SELECT run_id, run_ts, dataset_name, table_name, check_id AS check_name, dimension, issue_type,
     severity, failure_count AS affected_rows, failure_rate AS affected_pct, probable_root_cause,
     recommended_fix, root_cause_candidates FROM checks WHERE failure_count > 0)"""
-ORACLE["issue_history_daily"] = f"{_HISTORY} SELECT * FROM history"
+ORACLE["issue_history_daily"] = f"{_HISTORY} SELECT *, '[]' AS sample_bad_rows_json FROM history"
 _RECURRENCE = """
 SELECT check_name, table_name, issue_type, count(run_id) AS occurrences,
   median(affected_pct) AS median_affected_pct, max(CAST(run_ts AS TIMESTAMP)) AS last_seen,
@@ -686,9 +692,22 @@ _STAGES = f"""SELECT count(*) FILTER (WHERE status = 'open') AS open_issue_count
   count(*) FILTER (WHERE status = 'open' AND occurrence_count > 1) AS recurring_issue_count,
   count(*) FILTER (WHERE status <> 'open') AS resolved_or_not_seen_issue_count FROM ({_LIFECYCLE})"""
 ORACLE["lifecycle_counts"] = f"{_HISTORY} {_STAGES}"
-ORACLE["issue_totals"] = (
-    f"{_HISTORY} SELECT issue_type, count(*) AS issue_count FROM history GROUP BY issue_type"
+_DAYS = """days AS (
+  SELECT concat('run-', d) AS run_id, concat(d, 'T0', part, ':00:00') AS run_ts,
+    concat('tenant-', part) AS dataset_name, concat('{"events":', n, '}') AS total_rows_by_table
+  FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, user_id % 3 AS part, count(*) AS n FROM events GROUP BY ALL))"""
+ORACLE["issue_lifecycle_by_run_history"] = f"{_HISTORY}, {_DAYS} " + _LIFECYCLE.replace(
+    "SELECT max(run_ts) FROM history", "SELECT max(run_ts) FROM days"
 )
+ORACLE["last_run_row"] = f"""WITH {_DAYS}
+SELECT run_ts, dataset_name FROM days WHERE run_id = 'run-2024-01-05' ORDER BY run_ts DESC LIMIT 1"""
+ORACLE["run_time"] = f"""{_HISTORY}, {_DAYS}
+SELECT 5 AS day, CAST(max(run_ts) AS TIMESTAMP) AS run_ts FROM days WHERE run_id = 'run-2024-01-05'
+UNION ALL
+SELECT 6, CAST(min(run_ts) AS TIMESTAMP) FROM history WHERE run_id = 'run-2024-01-06'"""
+ORACLE["issue_totals"] = f"""{_HISTORY}
+SELECT *, CAST(row_number() OVER (ORDER BY issue_count DESC, issue_type) AS INTEGER) AS rank
+FROM (SELECT issue_type, count(*) AS issue_count FROM history GROUP BY issue_type)"""
 ORACLE["issue_trend_matrix"] = f"""{_HISTORY},
 types AS (SELECT issue_type, row_number() OVER (ORDER BY count(*) DESC, issue_type) AS type_rank
           FROM history GROUP BY issue_type ORDER BY type_rank LIMIT 8),
@@ -706,7 +725,8 @@ def _project_metrics() -> str:
     daily = _HISTORY[_HISTORY.index("counts AS"):]
     for name in ("counts", "rated", "checks"):
         daily = daily.replace(f"{name} AS (", f"d_{name} AS (").replace(f"FROM {name}", f"FROM d_{name}")
-    return f"""{_comparison()}, {daily}
+    dated = _comparison().replace(staged(), staged(more=", day"), 1)
+    return f"""{dated}, {daily}
 SELECT {_STAMP}, {quote(RUN_TS)} AS run_ts, s.overall_score, 90.0::DOUBLE AS score_threshold,
   5.0::DOUBLE AS critical_severity,
   CASE WHEN s.overall_score >= 90 AND k.critical_failed_checks = 0 THEN 'pass' ELSE 'fail' END
@@ -745,20 +765,37 @@ shares AS (
   SELECT t.run_id, t.dataset_name, coalesce(t.event_type, '') AS key, count(*) AS event_count,
     count(*)::DOUBLE / max(m.event_volume)::DOUBLE AS share
   FROM tagged t JOIN metrics m USING (run_id, dataset_name) GROUP BY ALL)"""
-ORACLE["run_metrics"] = f"{_METRICS} SELECT * FROM metrics"
+ORACLE["run_metrics"] = f"""{_METRICS}
+SELECT m.*, counts AS event_type_counts, shown AS event_type_distribution FROM metrics m JOIN (
+  SELECT run_id, dataset_name,
+    concat('{{', string_agg(concat('"', key, '":', event_count), ',' ORDER BY key), '}}') AS counts,
+    concat('{{', string_agg(concat('"', key, '":', CAST(share AS VARCHAR)), ',' ORDER BY key), '}}') AS shown
+  FROM shares GROUP BY ALL) USING (run_id, dataset_name)"""
 ORACLE["event_distribution"] = (
     f"{_METRICS} SELECT run_id, dataset_name, key AS event_type, event_count, share FROM shares"
 )
 
 
+def _number(c: str) -> str:
+    return f"CAST({c} AS VARCHAR)"
+
+
 def _value_anomalies(metric: str, threshold: float, direction: str, current: str = "true") -> str:
     far = f"abs((value - med) / mad) >= {threshold}"
     if direction == "down":
         far += " AND value <= med"
+    still = (f"concat('{{\"median\":', {_number('med')}, ',\"current\":', {_number('value')}, "
+             f"',\"mad\":', {_number('mad')}, '}}')")
+    moved = (f"concat('{{\"median\":', {_number('med')}, ',\"mad\":', {_number('mad')}, "
+             f"',\"z_score\":', {_number('(value - med) / mad')}, '}}')")
     return f"""
-SELECT run_id, dataset_name, {quote(metric)} AS metric, value AS metric_value, med AS baseline_value,
-  mad AS baseline_spread, CASE WHEN mad <> 0 THEN (value - med) / mad END AS z_score,
-  {threshold}::DOUBLE AS threshold, {quote(direction)} AS direction
+SELECT run_id, replace(run_id, 'run-', '') || 'T00:00:00' AS run_ts, dataset_name, {quote(metric)} AS metric,
+  value AS metric_value, med AS baseline_value, mad AS baseline_spread,
+  CASE WHEN mad <> 0 THEN (value - med) / mad END AS z_score,
+  {threshold}::DOUBLE AS threshold, {quote(direction)} AS direction,
+  CASE WHEN mad = 0 THEN printf('{metric} deviated from median %.2f without variation.', med)
+    ELSE printf('{metric} moved {direction} to %.4f (median %.4f, mad %.4f).', value, med, mad) END AS notes,
+  CASE WHEN mad = 0 THEN {still} ELSE {moved} END AS details
 FROM (
   SELECT x.run_id, x.dataset_name, x.value, x.med, median(abs(p.{metric}::DOUBLE - x.med)) AS mad
   FROM (SELECT c.run_id, c.dataset_name, c.{metric}::DOUBLE AS value,
@@ -771,7 +808,7 @@ WHERE CASE WHEN mad = 0 THEN value <> med ELSE {far} END"""
 
 
 _BASELINES = """
-SELECT r.dataset_name, r.run_id, k.key, coalesce(b.baseline, 0.0::DOUBLE) AS baseline,
+SELECT r.dataset_name, r.run_id, r.run_ts, k.key, coalesce(b.baseline, 0.0::DOUBLE) AS baseline,
   coalesce(s.share, 0.0::DOUBLE) AS current
 FROM metrics r
 JOIN (SELECT DISTINCT dataset_name, key FROM shares) k ON k.dataset_name = r.dataset_name
@@ -785,10 +822,16 @@ WHERE (b.baseline IS NOT NULL OR s.share IS NOT NULL)
 
 
 def _shifts(threshold: float, current: str = "true") -> str:
+    parts = ", ".join(
+        f"',\"{c}\":', {_number(c)}" for c in ("baseline", "current", "delta")
+    )
     return f"""
-SELECT run_id, dataset_name, 'event_type_distribution' AS metric, delta AS metric_value,
+SELECT run_id, run_ts, dataset_name, 'event_type_distribution' AS metric, delta AS metric_value,
   baseline AS baseline_value, {threshold}::DOUBLE AS baseline_spread, NULL::DOUBLE AS z_score,
-  {threshold}::DOUBLE AS threshold, 'shift' AS direction
+  {threshold}::DOUBLE AS threshold, 'shift' AS direction,
+  printf('Event type ''%s'' shifted by %.2f%% relative to baseline.',
+    CASE WHEN key = '' THEN 'missing' ELSE key END, delta * 100) AS notes,
+  concat('{{"category":"', key, '"', {parts}, '}}') AS details
 FROM (SELECT *, row_number() OVER (PARTITION BY dataset_name, run_id ORDER BY delta DESC, key) AS place
       FROM (SELECT c.*, abs(c.current - c.baseline) AS delta FROM ({_BASELINES}) c WHERE {current}))
 WHERE place = 1 AND delta >= {threshold}"""
@@ -838,12 +881,14 @@ lists AS (SELECT table_name, bool_or(declared_type IS NOT NULL) AS was_declared,
     coalesce(list(column_name ORDER BY column_name) FILTER (WHERE declared_type IS NULL), []) AS fresh
   FROM both_sides GROUP BY table_name),
 texts AS (SELECT table_name, string_agg(concat(column_name, ' (', expected, '→', actual, ')'), ', '
-    ORDER BY column_name) AS diffs FROM changed GROUP BY table_name)"""
+    ORDER BY column_name) AS diffs,
+  concat('[', string_agg(concat('{{"column":"', column_name, '","expected":"', expected, '","actual":"', actual, '"}}'),
+    ',' ORDER BY column_name), ']') AS objects FROM changed GROUP BY table_name)"""
 
 
 ORACLE["schema_drift"] = f"""{_drift()}
 SELECT table_name, CAST(to_json(gone) AS VARCHAR) AS missing_columns,
-  CAST(to_json(fresh) AS VARCHAR) AS new_columns,
+  CAST(to_json(fresh) AS VARCHAR) AS new_columns, coalesce(objects, '[]') AS type_changes,
   CASE WHEN NOT was_found THEN 'Expected staging table was not created.'
        WHEN NOT was_declared THEN 'Unexpected staging table appeared.'
        ELSE concat_ws('; ',
@@ -854,8 +899,17 @@ SELECT table_name, CAST(to_json(gone) AS VARCHAR) AS missing_columns,
 FROM lists LEFT JOIN texts USING (table_name) LEFT JOIN sizes USING (table_name)
 WHERE len(gone) > 0 OR len(fresh) > 0 OR diffs IS NOT NULL"""
 ORACLE["schema_type_changes"] = f"{_drift()} SELECT * FROM changed JOIN sizes USING (table_name)"
+
+
+def _spark_type(name: str) -> str:
+    """The name a type goes by in the results."""
+    names = {"VARCHAR": "string", "INTEGER": "int", "TIMESTAMP": "timestamp_ntz"}
+    arms = " ".join(f"WHEN {quote(a)} THEN {quote(b)}" for a, b in names.items())
+    return f"CASE {name} {arms} ELSE lower({name}) END"
+
+
 ORACLE["stage_catalogue"] = " UNION ALL ".join(
-    f"SELECT {quote(t)} AS table_name, column_name, "
+    f"SELECT {quote(t)} AS table_name, column_name, {_spark_type('column_type')} AS type, "
     f"CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, (SELECT count(*) FROM {t}) AS row_count "
     f"FROM (DESCRIBE {t})"
     for t in DRIFT_TABLES
@@ -891,7 +945,7 @@ def _profile_row(source: str, label: str, i: int, c: str, kind: str) -> str:
     )
     return (
         f"SELECT {quote(label)} AS table_name, {i}::INTEGER AS ordinal, {quote(c)} AS column_name, "
-        f"count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"{_spark_type(f'typeof(any_value({c}))')} AS column_type, count(*) AS row_count, count(*) - count({c}) AS null_count, "
         f"(count(*) - count({c}))::DOUBLE / count(*)::DOUBLE AS null_rate, "
         f"count(DISTINCT {c}) AS distinct_count, CAST({low} AS VARCHAR) AS min_value, "
         f"CAST({high} AS VARCHAR) AS max_value FROM {source}"

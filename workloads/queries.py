@@ -397,7 +397,7 @@ def score_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks, issues = _run(spark, sf_dir)
-    return scoring.score_record(checks, issues, RUN_ID, RUN_TS).drop("subscores")
+    return scoring.score_record(checks, issues, RUN_ID, RUN_TS)
 
 
 @query
@@ -478,9 +478,7 @@ def baseline_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def baseline_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.match_verdict(_compared(*_run(spark, sf_dir))).select(
-        "matched", F.split("reason", ":")[0].alias("mismatch")
-    )
+    return gate.match_verdict(_compared(*_run(spark, sf_dir)))
 
 
 @query
@@ -519,14 +517,14 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- history: every day is a run
 
-EVENT_RULES = defaults.RULES.only(*(r.id for r in defaults.RULES if r.table == "events"))
-
-
 def _daily_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = staged(spark, sf_dir)
-    events = clean_table(raw(spark, sf_dir, "events"), "events", defaults.VOCABULARY, keep=("day",))
-    runs = daily_runs(events, "day", DATASET).drop("day")
-    return validate_runs(tables | {"events": runs}, EVENT_RULES, as_of())
+    """All rules over all tables, for every day on which rows of a table arrive."""
+    runs = {}
+    for name in ("users", "districts", "resources", "events", "newsletter"):
+        keep = ("day", "view_count") if name == "resources" else ("day",)
+        df = clean_table(raw(spark, sf_dir, name), name, defaults.VOCABULARY, keep=keep)
+        runs[name] = daily_runs(df, "day", DATASET).drop("day")
+    return validate_runs(runs, defaults.RULES, as_of())
 
 
 def _daily_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,7 +539,7 @@ def _kept_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def issue_history_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _daily_issues(spark, sf_dir).drop("sample_bad_rows_json")
+    return _daily_issues(spark, sf_dir)
 
 
 @query
@@ -561,6 +559,41 @@ def issue_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.issue_lifecycle(_kept_issues(spark, sf_dir))
 
 
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run history of the days on which events happened, each noted twice by three datasets."""
+    events = daily_runs(table(spark, sf_dir, "events"), "ts", DATASET)
+    days = events.groupBy("run_id", "run_ts", (F.col("user_id") % 3).alias("part")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return days.select(
+        "run_id", F.regexp_replace("run_ts", "00:00:00", F.concat(F.lit("0"), F.col("part"), F.lit(":00:00"))).alias("run_ts"),
+        F.concat(F.lit("tenant-"), "part").alias("dataset_name"),
+        F.to_json(F.create_map(F.lit("events"), "n")).alias("total_rows_by_table"),
+    )
+
+
+@query
+def issue_lifecycle_by_run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2 with a run history: issues of the last event days are open, if none ran after them."""
+    return history.issue_lifecycle(_kept_issues(spark, sf_dir), runs=_days(spark, sf_dir))
+
+
+@query
+def last_run_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO8: the latest of the rows that the history has of a run."""
+    return scoring.last_run(_days(spark, sf_dir), "run-2024-01-05")
+
+
+@query
+def run_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC7: from the run history, or, for a run it does not know, from the run's issues."""
+    days, issues = _days(spark, sf_dir), _kept_issues(spark, sf_dir)
+    known = days.where("run_id <> 'run-2024-01-06'")
+    return _united([
+        scoring.resolve_run_ts(known, issues, f"run-2024-01-0{i}").withColumn("day", F.lit(i)) for i in (5, 6)
+    ])
+
+
 @query
 def lifecycle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.lifecycle_counts(history.issue_lifecycle(_kept_issues(spark, sf_dir)))
@@ -599,7 +632,7 @@ def _tenant_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tenant_metrics(spark, sf_dir).drop("event_type_counts", "event_type_distribution")
+    return anomaly.metrics_record(_tenant_metrics(spark, sf_dir))
 
 
 @query
@@ -622,35 +655,31 @@ def _kept_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tenant_metrics(spark, sf_dir).persist()
 
 
-_ANOMALY = (
-    "run_id", "dataset_name", "metric", "metric_value", "baseline_value", "baseline_spread",
-    "z_score", "threshold", "direction",
-)
 
 
 @query
 def anomaly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = anomaly.ValueTest("event_volume", 3.0, "both")
     found = anomaly.backtest(_kept_metrics(spark, sf_dir), [test], 2.0)
-    return found.select(*_ANOMALY)
+    return found
 
 
 @query
 def anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = anomaly.ValueTest("completion_rate", 2.0, "down")
     found = anomaly.backtest(_kept_metrics(spark, sf_dir), [test], 2.0)
-    return found.select(*_ANOMALY)
+    return found
 
 
 @query
 def distribution_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.prior_baselines(_kept_metrics(spark, sf_dir)).drop("run_ts")
+    return anomaly.prior_baselines(_kept_metrics(spark, sf_dir))
 
 
 @query
 def anomaly_distribution_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anomaly.backtest(_kept_metrics(spark, sf_dir), [], 0.05)
-    return found.select(*_ANOMALY)
+    return found
 
 
 @query
@@ -660,7 +689,7 @@ def anomaly_current_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = metrics.agg(F.max("run_id")).scalar()
     current, past = metrics.where(F.col("run_id") == last), metrics.where(F.col("run_id") < last)
     tests = [anomaly.ValueTest("event_volume", 0.5), anomaly.ValueTest("completion_rate", 0.5, "down")]
-    return anomaly.detect(current, past, tests, 0.02).select(*_ANOMALY)
+    return anomaly.detect(current, past, tests, 0.02)
 
 
 # ---------------------------------------------------------------- schema drift
@@ -700,7 +729,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected, actual, counts = _schemas(spark, sf_dir)
     drifting = drift.compare_schemas(expected, actual).join(counts, "table_name", "left")
     return drifting.select(
-        "table_name", "missing_columns", "new_columns", "notes",
+        "table_name", "missing_columns", "new_columns", "type_changes", "notes",
         F.coalesce("row_count", F.lit(0)).alias("row_count"),
     )
 
@@ -714,9 +743,7 @@ def schema_type_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stage_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: table(spark, sf_dir, n) for n in DRIFT_TABLES}
-    return drift.stage_catalogue(tables, outcomes.row_counts(tables)).select(
-        "table_name", "column_name", "ordinal", "row_count"
-    )
+    return drift.stage_catalogue(tables, outcomes.row_counts(tables))
 
 
 # ---------------------------------------------------------------- profiles
@@ -737,7 +764,7 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profiles(spark, sf_dir).drop("column_type")
+    return _profiles(spark, sf_dir)
 
 
 @query

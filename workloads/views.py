@@ -2,7 +2,7 @@
 
 The given tables are almost clean, so each view below spoils them by rule, always over all
 rows. The text is SQL that Spark and the checking engine both understand; it only prepares
-input. What the library computes from it, and what the check computes, share nothing.
+input; `day` says in which of the daily runs a row arrives. What the library computes from it, and what the check computes, share nothing.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ SELECT
        WHEN 3 THEN ' CAX ' WHEN 4 THEN 'zz9' WHEN 5 THEN 'New York' WHEN 6 THEN 'AL'
        ELSE '' END AS state,
   CASE WHEN c_custkey % 10 = 0 THEN ''
-       ELSE concat('D', cast(c_nationkey AS string)) END AS district_id
+       ELSE concat('D', cast(c_nationkey AS string)) END AS district_id,
+  concat('2024-01-', lpad(cast(1 + c_custkey % 20 AS string), 2, '0')) AS day
 FROM customer
 """
 
@@ -38,7 +39,8 @@ SELECT
        WHEN 2 THEN '  Northside Unified' WHEN 3 THEN 'Northside Unified '
        ELSE concat('District ', cast(n_nationkey % 20 AS string)) END AS district_name,
   CASE n_nationkey % 6 WHEN 0 THEN 'alabama' WHEN 1 THEN 'tx' WHEN 2 THEN ' texas'
-       WHEN 3 THEN 'N.Y.' WHEN 4 THEN 'California' ELSE 'ak' END AS state
+       WHEN 3 THEN 'N.Y.' WHEN 4 THEN 'California' ELSE 'ak' END AS state,
+  concat('2024-01-', lpad(cast(1 + n_nationkey % 3 AS string), 2, '0')) AS day
 FROM nation
 """
 
@@ -54,7 +56,8 @@ SELECT
   CASE p_size % 9 WHEN 0 THEN 'K-2' WHEN 1 THEN ' Grades Pre K to 2' WHEN 2 THEN 'Third to Fifth'
        WHEN 3 THEN 'grades 3-5 ' WHEN 4 THEN 'Middle School' WHEN 5 THEN '6-8'
        WHEN 6 THEN 'HIGH SCHOOL' WHEN 7 THEN '9-12' ELSE 'college' END AS grade_band,
-  p_size - CASE WHEN p_partkey % 17 = 0 THEN 100 ELSE 0 END AS view_count
+  p_size - CASE WHEN p_partkey % 17 = 0 THEN 100 ELSE 0 END AS view_count,
+  concat('2024-01-', lpad(cast(1 + p_partkey % 20 AS string), 2, '0')) AS day
 FROM part
 """
 
@@ -94,7 +97,8 @@ SELECT
        ELSE concat(substring(cast(o_orderdate AS string), 1, 10), ' 10:00') END AS opened_at,
   CASE WHEN o_orderkey % 5 = 0 THEN ''
        WHEN o_orderkey % 11 = 0 THEN concat(substring(cast(o_orderdate AS string), 1, 10), ' 08:00')
-       ELSE concat(substring(cast(o_orderdate AS string), 1, 10), 'T23:45:00Z') END AS clicked_at
+       ELSE concat(substring(cast(o_orderdate AS string), 1, 10), 'T23:45:00Z') END AS clicked_at,
+  concat('2024-01-', lpad(cast(1 + o_orderkey % 20 AS string), 2, '0')) AS day
 FROM orders
 """
 
