@@ -15,8 +15,9 @@
    Linked nodes are grouped; buckets whose nodes are all in one group need no more. In the
    others, every node outside the leader's group is held against all nodes of other groups, in
    blocks of bounded size. A pair is looked at in the first band it shares only. Signatures tell
-   which nodes need their full sets read; only full sets confirm a link, and a block gives no
-   more links than connect its groups, so no pairs of a group are listed.
+   which nodes need their full sets read, and which pairs of them are compared; only full sets
+   confirm a link. A block skips pairs whose groups it has joined already and gives no more
+   links than connect its groups, so no pairs of a group are listed.
 5. Union-find over the links: hooking to the smallest neighbour and pointer jumping, as joins.
 
 Hot buckets and groups: minima and counts are combined before each shuffle, and joins on them
@@ -24,8 +25,8 @@ are between stored tables, which the adaptive skew join may split.
 
 Defined results: words are lower-cased in A-Z only. Texts without words (or null) have an empty
 set, form no link and are their own component. Fewer words than a shingle's length: the whole
-sequence is one shingle. Rows that share a doc_id count as one document. A row without doc_id
-takes the component of an equal set, else null, and links nothing. Other columns play no part.
+sequence is one shingle. Rows that share a doc_id are told apart by their texts. A row without
+doc_id takes the component of an equal set, else null, and links nothing. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -35,15 +36,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.llm.common import stored
+from gaugeframe.llm.terms import NOT_SPACE, terms_of
 
 _U = np.uint64
 # Elements handled at a time; bounds the memory of a batch of any size.
 _CHUNK = 1 << 18
+# Texts whose signatures a task remembers; some 400 bytes each.
+_REMEMBERED = 1 << 13
 
 
 @dataclass(frozen=True)
@@ -75,30 +79,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-class Shingler:
-    """Distinct 64-bit shingle hashes of texts. Keeps word hashes of a bounded vocabulary."""
-
-    def __init__(self, length: int, vocabulary: int = 1 << 18):
-        self.length, self.vocabulary, self.known = length, vocabulary, {}
+def _rolled(words: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every `length` consecutive words."""
+    n = max(0, len(words) - length + 1)
+    out = np.full(n, length, _U)
+    for i in range(length):
+        out = _mix(out ^ words[i : n + i]) + _U(i)
+    return out
 
-    def _word(self, word: bytes) -> int:
-        h = self.known.get(word)
-        if h is None:
-            if len(self.known) >= self.vocabulary:
-                self.known.clear()
-            h = self.known[word] = xxhash.xxh64_intdigest(word)
-        return h
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, _U)
-        h = np.fromiter(map(self._word, words), _U, len(words))
-        n = min(self.length, len(h))
-        out = np.full(len(h) - n + 1, n, _U)
-        for i in range(n):
-            out = _mix(out ^ h[i : len(h) - n + 1 + i]) + _U(i)
-        return np.unique(out)
+def shingle_sets(texts: list[str | None], length: int) -> list[np.ndarray]:
+    """The distinct 64-bit shingle hashes of each text, sorted."""
+    out = []
+    for t in terms_of(pa.array(texts, pa.large_string()), NOT_SPACE):
+        shingles = _rolled(t.hashes, length)
+        for a, b in zip(t.first[:-1].tolist(), t.first[1:].tolist()):
+            if b - a >= length:
+                own = np.sort(shingles[a : b - length + 1])
+                out.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
+            else:  # the whole sequence is one shingle
+                out.append(_rolled(t.hashes[a:b], b - a) if b > a else np.empty(0, _U))
+    return out
 
 
 def signatures(sets: list[np.ndarray], slots: int) -> np.ndarray:
@@ -145,31 +146,41 @@ def _offer(out: np.ndarray, values: np.ndarray, owner: np.ndarray, slots: int) -
             keys = [k[rest] for k in keys]
 
 
+def _described(texts: list[str], p: NearDup) -> list[tuple]:
+    """(size, hash, hash, bands, signature bytes) of each text's set; the last two null if empty."""
+    sets = shingle_sets(texts, p.shingle)
+    full = [i for i, s in enumerate(sets) if len(s)]
+    sig = signatures([sets[i] for i in full], p.slots) if full else np.empty((0, p.slots), _U)
+    band = np.zeros((len(full), p.bands), _U) + np.arange(p.bands, dtype=_U)
+    for r in range(p.rows):
+        band = _mix(band ^ sig.reshape(-1, p.bands, p.rows)[:, :, r]) + _U(r)
+    at = dict(zip(full, range(len(full))))
+    out = []
+    for i, s in enumerate(sets):
+        with np.errstate(over="ignore"):
+            h1 = int(_mix(s).sum(dtype=_U).view(np.int64))
+            h2 = int(np.bitwise_xor.reduce(_mix(s + _U(7)), initial=_U(0)).view(np.int64))
+        rest = (None, None)
+        if i in at:
+            rest = band[at[i]].view(np.int64), (sig[at[i]] & _U(255)).astype(np.uint8).tobytes()
+        out.append((len(s), h1, h2, *rest))
+    return out
+
+
 def _features(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFrame]:
-    shingler = Shingler(p.shingle)
+    # Copies that a task meets are signed once, as long as it remembers their text keys.
+    known: dict[tuple[int, int], tuple] = {}
     for pdf in batches:
         for start in range(0, len(pdf), 512):
             part = pdf.iloc[start : start + 512]
-            sets = [shingler(t) for t in part["text"]]
-            full = [i for i, s in enumerate(sets) if len(s)]
-            sig = signatures([sets[i] for i in full], p.slots) if full else np.empty((0, p.slots), _U)
-            band = np.zeros((len(full), p.bands), _U) + np.arange(p.bands, dtype=_U)
-            for r in range(p.rows):
-                band = _mix(band ^ sig.reshape(-1, p.bands, p.rows)[:, :, r]) + _U(r)
-            at = dict(zip(full, range(len(full))))
-            with np.errstate(over="ignore"):
-                h1 = [int(_mix(s).sum(dtype=_U).view(np.int64)) for s in sets]
-                h2 = [int(np.bitwise_xor.reduce(_mix(s + _U(7)), initial=_U(0)).view(np.int64)) for s in sets]
+            keys = list(zip(part["t1"].tolist(), part["t2"].tolist()))
+            fresh = {k: t for k, t in zip(keys, part["text"]) if k not in known}
+            made = known | dict(zip(fresh, _described(list(fresh.values()), p)))
+            columns = list(zip(*[made[k] for k in keys]))
+            known = made if len(made) < _REMEMBERED else {}
             yield pd.DataFrame(
-                {
-                    "doc": part["doc"].array, "t1": part["t1"].array, "t2": part["t2"].array,
-                    "n": [len(s) for s in sets], "h1": h1, "h2": h2,
-                    "bands": [band[at[i]].view(np.int64) if i in at else None for i in range(len(part))],
-                    "sig": [
-                        (sig[at[i]] & _U(255)).astype(np.uint8).tobytes() if i in at else None
-                        for i in range(len(part))
-                    ],
-                }
+                {"doc": part["doc"].array, "t1": part["t1"].array, "t2": part["t2"].array}
+                | dict(zip(("n", "h1", "h2", "bands", "sig"), map(list, columns)))
             )
 
 
@@ -212,23 +223,29 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     )
 
 
-def _sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
-    """Full sets (id, n, items) of the nodes in `ids`, from their whole texts."""
+def _sets(docs: DataFrame, places: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
+    """Full sets (id, n, items) of the nodes in `ids`, from their whole texts.
+
+    `docs` has texts with their ends (place, t1, t2), and `places` the ends of every node. The
+    ends of the wanted nodes are stored first: few of them are broadcast to the texts, which
+    then stay where they are.
+    """
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(p.shingle)
         for pdf in batches:
             for start in range(0, len(pdf), 512):
                 part = pdf.iloc[start : start + 512]
-                sets = [shingler(t) for t in part["text"]]
+                sets = shingle_sets(part["text"].tolist(), p.shingle)
                 yield pd.DataFrame(
                     {"id": part["id"].array, "n": [len(s) for s in sets],
                      "items": [s.tobytes() for s in sets]}
                 )
 
+    wanted = stored(places.join(ids, "id", "left_semi"), "wanted")
     return (
-        docs.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        docs.join(wanted, ["place", "t1", "t2"]).select("id", "text")
         .mapInPandas(build, "id long, n long, items binary")
+        .groupBy("id").agg(F.first("n").alias("n"), F.first("items").alias("items"))
     )
 
 
@@ -236,8 +253,10 @@ def _similar(n_a: str, n_b: str, both, p: NearDup):
     return both * (100 + p.percent) >= (F.col(n_a) + F.col(n_b)) * p.percent
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
-    """Those pairs (a, b) of nodes that are similar. `docs` has (id, text) of the nodes."""
+def verified(
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, places: DataFrame, p: NearDup
+) -> DataFrame:
+    """Those pairs (a, b) of nodes that are similar; `docs` and `places` as for `_sets`."""
     agree = F.pandas_udf(_agree, "double")
     shared = F.pandas_udf(_shared, "long")
 
@@ -252,7 +271,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) ->
         "likely",
     )
     ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stored(_sets(docs, ids, p), "sets")
+    sets = stored(_sets(docs, places, ids, p), "sets")
     return (
         likely.join(side(sets, "a", "n", "items"), "a")
         .join(side(sets, "b", "n", "items"), "b")
@@ -338,47 +357,45 @@ def _likely_nodes(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.Da
         x, y = _open_pairs(run, p)
         if not len(x):
             continue
-        sig = np.stack([np.frombuffer(v, np.uint8) for v in run["sig"]])
-        likely = np.zeros(len(sig), bool)
-        for start in range(0, len(x), 1 << 14):
-            a, b = x[start : start + (1 << 14)], y[start : start + (1 << 14)]
-            near = (sig[a] == sig[b]).mean(axis=1) >= p.least_agreement
-            likely[a[near]] = likely[b[near]] = True
+        near = _agreeing(run, x, y, p)
+        likely = np.zeros(len(run["id"]), bool)
+        likely[x[near]] = likely[y[near]] = True
         ids = np.unique(run["id"][likely])
         if len(ids):
             yield pd.DataFrame({"key": run["key"][0], "id": ids})
 
 
-def _intersections(sets: list[np.ndarray], left: int) -> np.ndarray:
-    """Sizes of the intersections of the first `left` sets with the others."""
-    items, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    place = np.cumsum(times > 1) - 1  # items of one set only cannot be shared
-    shared = times[at] > 1
-    at, owner = place[at[shared]], owner[shared]
-    out = np.zeros((left, len(sets) - left), np.float64)
-    order = np.argsort(at, kind="stable")
-    at, owner = at[order], owner[order]
-    width = max(1, (1 << 23) // len(sets))  # bounds the dense part of the incidence matrix
-    for first in range(0, int(at[-1]) + 1 if len(at) else 0, width):
-        lo, hi = np.searchsorted(at, (first, first + width))
-        part = np.zeros((len(sets), width), np.float32)
-        part[owner[lo:hi], at[lo:hi] - first] = 1
-        out += part[:left] @ part[left:].T
+def _agreeing(run: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, p: NearDup) -> np.ndarray:
+    """Which of the pairs agree in enough signature slots."""
+    sig = np.stack([np.frombuffer(v, np.uint8) for v in run["sig"]])
+    out = np.zeros(len(x), bool)
+    for start in range(0, len(x), 1 << 14):
+        part = slice(start, start + (1 << 14))
+        out[part] = (sig[x[part]] == sig[y[part]]).mean(axis=1) >= p.least_agreement
     return out
 
 
+def _shared_with(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others, none empty."""
+    values = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, values), len(one) - 1)
+    starts = np.cumsum([0, *[len(s) for s in others[:-1]]])
+    return np.add.reduceat((one[at] == values).astype(np.int64), starts)
+
+
 def _block_links(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.DataFrame]:
-    """Links (a, b) that connect the groups of each block, from full sets."""
+    """Links (a, b) that connect the groups of each block, from full sets.
+
+    Only pairs whose signatures agree are intersected, and none whose groups this block has
+    joined by then: a further link between them would connect nothing.
+    """
     for run in _runs(batches, ["key", "i", "j"]):
         x, y = _open_pairs(run, p)
+        near = _agreeing(run, x, y, p) if len(x) else np.zeros(0, bool)
+        x, y = x[near], y[near]
         if not len(x):
             continue
-        left, right = np.unique(x), np.unique(y)
-        sets = [np.frombuffer(v, _U) for v in (*run["items"][left], *run["items"][right])]
-        both = _intersections(sets, len(left))[np.searchsorted(left, x), np.searchsorted(right, y)]
         n, ids, root = run["n"], run["id"], run["root"]
-        linked = both * (100 + p.percent) >= (n[x] + n[y]) * p.percent
         top: dict[int, int] = {}
 
         def find(r: int) -> int:
@@ -387,16 +404,32 @@ def _block_links(batches: Iterator[pd.DataFrame], p: NearDup) -> Iterator[pd.Dat
             return r
 
         links = []
-        for a, b in zip(x[linked], y[linked]):
-            ra, rb = find(int(root[a])), find(int(root[b]))
-            if ra != rb:
-                top[max(ra, rb)] = min(ra, rb)
-                links.append((int(ids[a]), int(ids[b])))
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        ends = np.append(np.flatnonzero(np.diff(x)) + 1, len(x))
+        for first, last in zip(np.concatenate(([0], ends[:-1])), ends):
+            a = x[first]
+            own = np.frombuffer(run["items"][a], _U)
+            rest = y[first:last]
+            for start in range(0, len(rest), 32):
+                mine = find(int(root[a]))
+                part = [b for b in rest[start : start + 32] if find(int(root[b])) != mine]
+                if not part:
+                    continue
+                both = _shared_with(own, [np.frombuffer(run["items"][b], _U) for b in part])
+                for b, shared in zip(part, both):
+                    if shared * (100 + p.percent) >= (n[a] + n[b]) * p.percent:
+                        ra, rb = find(int(root[a])), find(int(root[b]))
+                        if ra != rb:
+                            top[max(ra, rb)] = min(ra, rb)
+                            links.append((int(ids[a]), int(ids[b])))
         if links:
             yield pd.DataFrame(links, columns=["a", "b"])
 
 
-def across_groups(rows: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup) -> DataFrame:
+def across_groups(
+    rows: DataFrame, nodes: DataFrame, docs: DataFrame, places: DataFrame, p: NearDup
+) -> DataFrame:
     """Links (a, b) between groups within open buckets (key, id, n, root, main)."""
     shape = nodes.select("id", "bands", "sig")
     likely = stored(
@@ -404,9 +437,9 @@ def across_groups(rows: DataFrame, nodes: DataFrame, docs: DataFrame, p: NearDup
         .mapInPandas(lambda batches: _likely_nodes(batches, p), "key long, id long").distinct(),
         "likely",
     )
-    sets = stored(_sets(docs, likely.select("id").distinct(), p), "sets")
+    sets = stored(_sets(docs, places, likely.select("id").distinct(), p), "sets")
     narrowed = stored(rows.join(likely, ["key", "id"], "left_semi"), "narrowed")
-    held = nodes.select("id", "bands").join(sets.select("id", "items"), "id")
+    held = shape.join(sets.select("id", "items"), "id")
     return _blocked(narrowed, held, p).mapInPandas(
         lambda batches: _block_links(batches, p), "a long, b long"
     )
@@ -512,11 +545,11 @@ def grouped_rows(
         .agg(F.max(F.struct("weight", (-F.col("leader")).alias("leader"))).alias("best"))
         .select((-F.col("best.leader")).alias("a"), "b")
     )
-    texts = (
-        docs.select(F.col(doc_id).cast("long").alias("doc"), *text_keys(text), F.col(text).cast("string").alias("text"))
-        .select("t1", "t2", "text", place).join(copies.select("id", *ends), ends).select("id", "text")
-    )
-    links = stored(verified(stored(stars, "stars"), nodes, texts, p), "links")
+    texts = docs.select(
+        F.col(doc_id).cast("long").alias("doc"), *text_keys(text), F.col(text).cast("string").alias("text")
+    ).select("t1", "t2", "text", place)
+    places = copies.select("id", *ends)
+    links = stored(verified(stored(stars, "stars"), nodes, texts, places, p), "links")
     labels = components(links)
 
     def grouped(frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -530,7 +563,7 @@ def grouped_rows(
     mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     mixed = stored(mixed.where("x != y").select("key"), "mixed")
     open_ = stored(placed.join(mixed, "key", "left_semi"), "open")
-    more = stored(across_groups(open_, nodes, texts, p), "links")
+    more = stored(across_groups(open_, nodes, texts, places, p), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
 

@@ -1,8 +1,9 @@
 """Terms of whole texts as 64-bit hashes, found by numpy in the texts' bytes.
 
-A term is a maximal run of ASCII letters and digits and of any characters beyond ASCII; only A-Z
-is lower-cased. That is `[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+`, and in UTF-8 every byte of
+By default a term is a maximal run of ASCII letters and digits and of any characters beyond
+ASCII; only A-Z is lower-cased. That is `[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+`, and in UTF-8 every byte of
 a character beyond ASCII is at least 0x80, so bytes alone decide. Equal terms have equal hashes.
+With NOT_SPACE, a term is what stands between spaces, tabs and line breaks.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ CHUNK = 1 << 21
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_IS_TERM = np.zeros(256, bool)
-_IS_TERM[48:58] = _IS_TERM[97:123] = _IS_TERM[128:] = True
+# Which bytes, lower-cased, are part of a term.
+LETTERS = np.zeros(256, bool)
+LETTERS[48:58] = LETTERS[97:123] = LETTERS[128:] = True
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[9:14] = NOT_SPACE[32] = False
 
 
 def _powers(base: int) -> np.ndarray:
@@ -95,7 +99,7 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix(sums + (end - start).astype(_U))
 
 
-def terms_of(texts: pa.Array) -> Iterator[Terms]:
+def terms_of(texts: pa.Array, kind: np.ndarray = LETTERS) -> Iterator[Terms]:
     """The terms of all texts, in pieces of whole texts. Null has none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -107,7 +111,7 @@ def terms_of(texts: pa.Array) -> Iterator[Terms]:
         low, high = int(ends[row]), int(ends[upto])
         lowered = _LOWER[data[low:high]]
         inside = np.zeros(high - low + 2, np.int8)
-        inside[1:-1] = _IS_TERM[lowered]
+        inside[1:-1] = kind[lowered]
         edge = np.diff(inside)
         # A term also ends where its text ends.
         cuts = ends[row + 1 : upto] - low
