@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -32,11 +33,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: `spark.checkpoint.dir`.
+
+    Where none is set, a session on one machine, as in tests, gets a temporary one. On a cluster
+    that is an error, as each executor would write to a disk of its own.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="gaugeframe-")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -185,9 +185,8 @@ def repeated(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
     A text of which a block boundary takes a part is taken whole if that is at least half.
     """
-    columns = docs.columns
-    held = F.struct(*[F.col(c) for c in columns])
-    rows = mixed(docs.withColumn("_row", held), mix, keep=("_row",))
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = mixed(docs.select("doc_id", "text", "source", held), mix, keep=("_row",))
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0)
     return (
         rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))

@@ -46,6 +46,8 @@ from gaugeframe.llm.terms import NOT_SPACE, terms_of
 _U = np.uint64
 # Elements handled at a time; bounds the memory of a batch of any size.
 _CHUNK = 1 << 18
+# Size of the bitmap of wanted texts: 2^19 words of 64 bits at most.
+_END_BITS = 25
 # Texts whose signatures a task remembers; some 400 bytes each.
 _REMEMBERED = 1 << 13
 
@@ -226,9 +228,9 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
 def _sets(docs: DataFrame, places: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
     """Full sets (id, n, items) of the nodes in `ids`, from their whole texts.
 
-    `docs` has texts with their ends (place, t1, t2), and `places` the ends of every node. The
-    ends of the wanted nodes are stored first: few of them are broadcast to the texts, which
-    then stay where they are.
+    `docs` has texts with their ends (place, t1, t2), and `places` the ends of every node. A
+    broadcast bitmap of the wanted ends keeps other texts, but for chance hits, from moving; it
+    has at most 2^(_END_BITS - 6) rows. What it lets through is joined exactly.
     """
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,11 +243,18 @@ def _sets(docs: DataFrame, places: DataFrame, ids: DataFrame, p: NearDup) -> Dat
                      "items": [s.tobytes() for s in sets]}
                 )
 
+    ends = ["place", "t1", "t2"]
+    spot = F.xxhash64(*ends).bitwiseAND(F.lit((1 << _END_BITS) - 1))
+    word, bit = F.shiftright(spot, 6).alias("word"), spot.bitwiseAND(F.lit(63)).cast("int").alias("bit")
     wanted = stored(places.join(ids, "id", "left_semi"), "wanted")
+    bitmap = wanted.select(word, bit).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")
+    )
     return (
-        docs.join(wanted, ["place", "t1", "t2"]).select("id", "text")
+        docs.select("*", word, bit).join(F.broadcast(bitmap), "word")
+        .where("(shiftrightunsigned(bits, bit) & 1) = 1")
+        .join(wanted, ends).dropDuplicates(ends).select("id", "text")
         .mapInPandas(build, "id long, n long, items binary")
-        .groupBy("id").agg(F.first("n").alias("n"), F.first("items").alias("items"))
     )
 
 

@@ -272,10 +272,12 @@ def find(docs: DataFrame, model: PiiModel, text: str = "text", prefix: str = "pi
     """All columns of `docs`, the base spans of each kind and all spans.
 
     `<prefix>base` is a struct with an array of (s, e, ...) per kind; `<prefix>spans` an array
-    of (kind, s, e) by kind as listed, then start. Proposals that are chosen and overlap each
+    of (kind, s, e) by kind as listed, then start; columns of these names are replaced. Proposals that are chosen and overlap each
     other both appear; redaction merges them.
     """
-    found = _with_spans(docs, text)
+    columns = docs.columns
+    held = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+    found = _with_spans(docs.select(held, F.col(text).alias("_text")), "_text")
 
     def added(kind: str) -> Column:
         threshold = model.thresholds.get(kind)
@@ -297,9 +299,11 @@ def find(docs: DataFrame, model: PiiModel, text: str = "text", prefix: str = "pi
         )
         return _named(kind, F.sort_array(F.concat(own, added(kind))))
 
-    return found.withColumns(
-        {f"{prefix}base": F.col("_base"), f"{prefix}spans": F.concat(*[spans(k) for k in KINDS])}
-    ).drop("_base", "_seen")
+    new = {f"{prefix}base": F.col("_base"), f"{prefix}spans": F.concat(*[spans(k) for k in KINDS])}
+    return found.select(
+        *[F.col("_row").getField(c).alias(c) for c in columns if c not in new],
+        *[c.alias(name) for name, c in new.items()],
+    )
 
 
 def _named(kind: str, spans: Column) -> Column:
@@ -332,11 +336,13 @@ def redact(docs: DataFrame, model: PiiModel, text: str = "text") -> DataFrame:
 
     Overlapping spans become one replacement, named after the first. A null text stays null.
     """
-    found = find(docs, model, text, prefix="_pii_")
-    body = F.col(text)
+    columns = docs.columns
+    held = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+    found = find(docs.select(held, F.col(text).alias("text")), model)
+    body = F.col("text")
     by_start = F.sort_array(
         F.transform(
-            F.col("_pii_spans"),
+            F.col("pii_spans"),
             lambda m: F.struct(m["s"].alias("s"), (-m["e"]).alias("e"), m["kind"].alias("kind")),
         )
     )
@@ -357,6 +363,7 @@ def redact(docs: DataFrame, model: PiiModel, text: str = "text") -> DataFrame:
         by_start, start, step,
         lambda acc: F.concat(acc["out"], F.substr(body, (acc["at"] + 1).cast("int"))),
     )
-    return found.withColumn(
-        text, F.when(F.size("_pii_spans") > 0, redacted).otherwise(body)
-    ).select(docs.columns)
+    clean = F.when(F.size("pii_spans") > 0, redacted).otherwise(body)
+    return found.select(
+        *[(clean if c == text else F.col("row").getField(c)).alias(c) for c in columns]
+    )

@@ -325,3 +325,79 @@ def test_pipeline(docs, given):
         if name == "mix_sources":
             assert current.groupBy("doc_id").count().where("count > 4").isEmpty()
     assert not corpus_pipeline.run(spark, SF).isEmpty()
+
+
+CLASHES = ("doc", "t1", "t2", "unnamed", "_base", "_seen", "_row", "row", "place", "q_kept", "_q_kept", "q_clean_text",
+           "_pii_spans", "pii_spans", "_text", "order", "shard", "size", "taken", "_copy", "quota", "end", "cluster",
+           "group", "n", "root", "component_id", "a.b")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named as the stages' working columns pass through as they are."""
+    texts = [GOOD, near(3), f"{near(40)} x@y.zz", " ".join(f"term{i}" for i in range(40)), None, ""]
+    rows = [(i, t, "en", "s", 1, *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(texts)]
+    rows.append((None, " ".join(f"other{i}" for i in range(40)), None, None, 1, *["z"] * len(CLASHES)))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = stored(spark.createDataFrame(rows, schema), "clashes")
+    given = {r["doc_id"]: tuple(r)[5:] for r in docs.collect()}
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, ""), name)
+        assert docs.columns == [f.name for f in docs.schema] and len(docs.columns) == 5 + len(CLASHES)
+        out = docs.collect()
+        assert all(tuple(r)[5:] == given[r["doc_id"]] for r in out), name
+        kept[name] = {r["doc_id"] for r in out}
+    assert kept["quality_rules"] == {0, 1, 2, 3, None} and kept["near_duplicates"] == {0, 3, None}
+    assert corpus_pipeline.pack_bins(spark, docs, "").count() > 0
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "mail x@y.zz", "b", "s")], "doc_id long, text string, _base string, _seen string")
+    out = pii.redact(df, pii.fit(df)).first()
+    assert tuple(out) == (1, "mail [EMAIL]", "b", "s")
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, ""), name)
+        assert docs.count() == 0, name
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from gaugeframe.llm import common
+
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.scratch_dir(Session)
+
+
+def test_block_links_skip_what_is_joined():
+    """Pairs that agree are intersected; groups joined by a link are not linked again."""
+    rng = np.random.default_rng(3)
+    base = np.sort(rng.integers(0, 2**62, 400, dtype=np.uint64))
+    sets = [base, np.unique(np.append(base[5:], np.uint64(7))), base[10:], np.sort(rng.integers(0, 2**62, 400, dtype=np.uint64))]
+    sig = near_dedup.signatures(sets, 128)
+    band = [near_dedup._mix(s.reshape(32, 4).sum(axis=1, dtype=np.uint64)).view(np.int64) for s in sig]
+    band = [np.concatenate(([1], b[1:])) for b in band]
+    import pandas as pd
+
+    rows = pd.DataFrame([
+        {"key": 1, "i": 0, "j": 0, "side": side, "id": i, "n": len(sets[i]), "root": i, "bands": band[i],
+         "sig": (sig[i] & np.uint64(255)).astype(np.uint8).tobytes(), "items": sets[i].tobytes()}
+        for side in (0, 1) for i in range(4)
+    ])
+    out = pd.concat(list(near_dedup._block_links(iter([rows]), near_dedup.NearDup())))
+    assert len(out) == 2 and set(out["a"]) | set(out["b"]) == {0, 1, 2}
