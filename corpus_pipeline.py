@@ -6,21 +6,28 @@ Null or empty texts do not pass the first stage. In an empty table every stage i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeframe.llm import mixing, near_dedup, packing, pii, quality
 from gaugeframe.llm.common import stored
 
 
+def _packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows of `docs` as one struct `row`, so that none of their names meets a working column."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), F.col("text"), *more)
+
+
+def _with_text(row: Column, text: Column) -> Column:
+    return row.withField("text", text).withField("n_chars", F.length(text).cast("long"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without notices and other failing lines; the rest is as it was."""
     rules = quality.QualityRules(notices_only=True)
-    judged = quality.clean_lines(docs, rules=rules, prefix="_q_").where("_q_kept")
-    text = F.col("_q_clean_text")
-    return judged.withColumns(
-        {"text": text, "n_chars": F.length(text).cast("long")}
-    ).select(docs.columns)
+    judged = quality.clean_lines(_packed(docs), rules=rules).where("q_kept")
+    return judged.select(_with_text(F.col("row"), F.col("q_clean_text")).alias("row")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,22 +43,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
     ends = ["unnamed", "doc", "t1", "t2"]
     doc = F.col("doc_id").cast("long")
-    placed = docs.withColumns(
-        {"unnamed": doc.isNull(), "doc": F.coalesce(doc, F.lit(0).cast("long"))}
-    ).select("*", *near_dedup.text_keys("text"))
-    first = Window.partitionBy(*ends).orderBy(F.xxhash64(*docs.columns))
+    placed = _packed(
+        docs, doc.isNull().alias("unnamed"), F.coalesce(doc, F.lit(0).cast("long")).alias("doc"),
+        *near_dedup.text_keys("text"),
+    )
+    first = Window.partitionBy(*ends).orderBy(F.xxhash64("row"))
     named = (
         placed.join(kept, ends, "left_semi")
-        .withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+        .withColumn("place", F.row_number().over(first)).where("place = 1")
     )
     wordless = ~F.coalesce(F.col("text").rlike(quality.HAS_WORD), F.lit(False))
-    return named.select(docs.columns).union(docs.where(wordless))
+    return named.select("row.*").union(docs.where(wordless))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
-    redacted = pii.redact(docs, pii.fit(docs))
-    return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    redacted = pii.redact(_packed(docs), pii.fit(docs.select("text")))
+    return redacted.select(_with_text(F.col("row"), F.col("text")).alias("row")).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
