@@ -104,16 +104,18 @@ def run_validate(spark: SparkSession, args) -> None:
     write(top.withColumn("run_id", F.lit(run.run_id)), "dq_issue_recurrence")
     if "events" not in tables:
         return
-    marts.write_run(
-        anomaly.metrics_record(anomaly.run_metrics(tables["events"]).withColumns(stamp)),
-        f"{args.marts}/dq_metrics_history",
-    )
-    known = _mart(spark, args, "dq_metrics_history")
-    metrics, past = (
-        anomaly.parse_metrics(known.where(F.col("run_id").eqNullSafe(run.run_id) == own))
-        for own in (True, False)
-    )
-    write(anomaly.detect(metrics, past), "dq_anomalies")
+    # Events are read once; metrics and tests start from the counts per type.
+    write(anomaly.type_counts(tables["events"]).withColumns(stamp), "dq_event_types")
+
+    def own_and_past(name: str) -> tuple[DataFrame, DataFrame]:
+        known, own = _mart(spark, args, name), F.col("run_id") == run.run_id
+        return known.where(own), known.where(~own)
+
+    types = own_and_past("dq_event_types")
+    record = anomaly.metrics_record(anomaly.metrics_of(types[0]).withColumns(stamp))
+    marts.write_run(record, f"{args.marts}/dq_metrics_history")
+    metrics = map(anomaly.parse_metrics, own_and_past("dq_metrics_history"))
+    write(anomaly.detect(*metrics, types=types), "dq_anomalies")
 
 
 def _run_results(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:

@@ -55,32 +55,32 @@ VALUE_TESTS = (
 # ---------------------------------------------------------------- run metrics
 
 
-def run_metrics(
-    events: DataFrame, by: Sequence[str] = (), completion: str = COMPLETION
-) -> DataFrame:
-    """A1, A2: volume, completions and the share of every event type, per run.
+def type_counts(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A2 in long form: (by..., event_type, event_count); a missing type is the empty text."""
+    kind = F.coalesce("event_type", F.lit("")).alias("event_type")
+    return events.select(*by, kind).groupBy(*by, "event_type").agg(F.count(F.lit(1)).alias("event_count"))
+
 
-    Events are counted per type first, so the second step sees one row per run and type.
+def metrics_of(types: DataFrame, by: Sequence[str] = (), completion: str = COMPLETION) -> DataFrame:
+    """A1: the metrics of each run from its type counts, which are far fewer than its events.
+
+    The maps of counts and shares are for the record of a run, which has one row. What tests
+    shares reads the long form as well.
     """
-    kind = F.coalesce("event_type", F.lit("")).alias("_type")
-    per_type = (
-        events.select(*by, kind)
-        .groupBy(*by, "_type")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    done = F.sum(F.when(F.col("_type") == completion, F.col("_n")).otherwise(F.lit(0)))
-    entries = F.array_sort(F.collect_list(F.struct("_type", "_n")))
+    count = F.col("event_count")
+    done = F.sum(F.when(F.col("event_type") == completion, count).otherwise(F.lit(0)))
+    entries = F.array_sort(F.collect_list(F.struct("event_type", "event_count")))
     measures = [
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("event_volume"),
+        F.coalesce(F.sum(count), F.lit(0)).alias("event_volume"),
         F.coalesce(done, F.lit(0)).alias("completion_count"),
         entries.alias("_entries"),
     ]
-    totals = per_type.groupBy(*by).agg(*measures) if by else per_type.agg(*measures)
+    totals = types.groupBy(*by).agg(*measures) if by else types.agg(*measures)
     shares = F.transform(
         "_entries",
         lambda e: F.struct(
-            e["_type"].alias("key"),
-            (e["_n"].cast("double") / F.col("event_volume").cast("double")).alias("value"),
+            e["event_type"].alias("key"),
+            (e["event_count"].cast("double") / F.col("event_volume").cast("double")).alias("value"),
         ),
     )
     return totals.select(
@@ -93,6 +93,23 @@ def run_metrics(
     )
 
 
+def run_metrics(
+    events: DataFrame, by: Sequence[str] = (), completion: str = COMPLETION
+) -> DataFrame:
+    """A1, A2: volume, completions and the share of every event type, per run."""
+    return metrics_of(type_counts(events, by), by, completion)
+
+
+def type_shares(metrics: DataFrame) -> DataFrame:
+    """(dataset_name, run_id, run_ts, key, share) from metrics with maps, or from the long form."""
+    run = ["dataset_name", "run_id", "run_ts"]
+    if "event_count" in metrics.columns:
+        total = F.sum("event_count").over(Window.partitionBy("dataset_name", "run_id", "run_ts"))
+        share = F.col("event_count").cast("double") / total.cast("double")
+        return metrics.select(*run, F.col("event_type").alias("key"), share.alias("share"))
+    return metrics.select(*run, F.explode("event_type_distribution").alias("key", "share"))
+
+
 def metrics_record(metrics: DataFrame) -> DataFrame:
     """The metrics as they are kept in the history: maps as JSON."""
     return metrics.select(
@@ -219,23 +236,18 @@ def value_anomalies(current: DataFrame, history: DataFrame, test: ValueTest) ->
 def baseline_distribution(history: DataFrame) -> DataFrame:
     """Median share per event type over the runs in which the type occurs."""
     return (
-        history.select("dataset_name", F.explode("event_type_distribution").alias("key", "share"))
-        .groupBy("dataset_name", "key")
-        .agg(F.median("share").alias("baseline"))
+        type_shares(history).groupBy("dataset_name", "key").agg(F.median("share").alias("baseline"))
     )
 
 
 def distribution_shift(
     current: DataFrame, history: DataFrame, threshold: float = SHIFT_THRESHOLD
 ) -> DataFrame:
-    """A8 for the current run of each dataset."""
+    """A8 for the current run of each dataset. Both sides as metrics or in long form."""
     base = baseline_distribution(history)
-    runs = current.where(F.size("event_type_distribution") > 0).select(
-        "dataset_name", "run_id", "run_ts"
-    )
-    shares = current.select(
-        "dataset_name", F.explode("event_type_distribution").alias("key", "current")
-    )
+    now = type_shares(current)
+    runs = now.select("dataset_name", "run_id", "run_ts").distinct()
+    shares = now.select("dataset_name", "key", F.col("share").alias("current"))
     deltas = (
         shares.join(base, ["dataset_name", "key"], "full_outer")
         .fillna(0.0, ["current", "baseline"])
@@ -251,14 +263,16 @@ def detect(
     history: DataFrame,
     tests: Sequence[ValueTest] = VALUE_TESTS,
     shift_threshold: float = SHIFT_THRESHOLD,
+    types: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """All anomalies of the current runs (one per dataset) against their history.
 
     Both inputs have the columns of `run_metrics` plus run_id, run_ts and dataset_name. Call it
-    before the current runs are appended to the history.
+    before the current runs are appended to the history. `types` are the type counts of both in
+    long form; without them, the metrics' maps are read.
     """
     parts = [value_anomalies(current, history, test) for test in tests]
-    parts.append(distribution_shift(current, history, shift_threshold))
+    parts.append(distribution_shift(*(types or (current, history)), shift_threshold))
     return reduce(DataFrame.unionByName, parts).select(*ANOMALY_COLUMNS)
 
 

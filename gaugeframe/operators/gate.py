@@ -62,16 +62,24 @@ def judge_checks(
 
 def status_counts(checks: DataFrame) -> DataFrame:
     """G2"""
-    return checks.agg(
+    return checks.agg(*_statuses())
+
+
+def _statuses() -> list[Column]:
+    return [
         count_when(F.col("status") == "pass").alias("passed_checks"),
         count_when(F.col("status") == "warn").alias("warning_checks"),
         count_when(F.col("status") == "fail").alias("failed_checks"),
-    )
+    ]
 
 
 def critical_failures(checks: DataFrame, settings: GateSettings) -> DataFrame:
     """G3"""
-    return checks.agg(count_when(_critical(settings)).alias("critical_failed_checks"))
+    return checks.agg(_critical_count(settings))
+
+
+def _critical_count(settings: GateSettings) -> Column:
+    return count_when(_critical(settings)).alias("critical_failed_checks")
 
 
 def _filled(column: str) -> Column:
@@ -144,21 +152,20 @@ def project_metrics(
     """Everything that is reported about a run, as one row.
 
     `score` is the run's score record; `lifecycle` and `recurrences` are the counts of H4 and
-    H5; `comparison` is that with a baseline (G9), if there is one. Whatever is aggregated here
-    has one row, so it is a scalar subquery.
+    H5; `comparison` is that with a baseline (G9), if there is one. Each input is aggregated
+    once, to a row that is a scalar subquery.
     """
-    counts = status_counts(checks).select(F.struct("*")).scalar()
-    critical = critical_failures(checks, settings).scalar()
+    counts = checks.agg(*_statuses(), _critical_count(settings)).select(F.struct("*")).scalar()
     measures = issue_measures(issues).select(F.struct("*")).scalar()
     stages = lifecycle.select(F.struct("*")).scalar()
     recurring = recurrences.scalar()
     rounded = F.round("score", 2)
     joined = score.select(
-        "*", counts.alias("c"), critical.alias("critical_failed_checks"), measures.alias("m"),
-        stages.alias("l"), recurring.alias("r"), rounded.alias("overall_score"),
+        "*", counts.alias("c"), measures.alias("m"), stages.alias("l"),
+        recurring.alias("r"), rounded.alias("overall_score"),
     )
     good = (F.col("overall_score") >= settings.score_threshold) & (
-        F.col("critical_failed_checks") == 0
+        F.col("c.critical_failed_checks") == 0
     )
     recur = F.when(F.col("l.recurring_issue_count") == 0, F.col("r")).otherwise(
         F.col("l.recurring_issue_count")
@@ -171,7 +178,7 @@ def project_metrics(
         "total_checks", "c.passed_checks", "c.warning_checks",
         F.col("c.failed_checks").alias("failed_checks"),
         rounded_ratio(F.col("c.passed_checks"), F.col("total_checks")).alias("check_pass_rate"),
-        "critical_failed_checks", "m.total_issues", "m.max_severity", "m.max_affected_pct",
+        "c.critical_failed_checks", "m.total_issues", "m.max_severity", "m.max_affected_pct",
         "m.issue_root_cause_coverage_pct", "l.open_issue_count", "l.new_issue_count",
         F.coalesce(recur, F.lit(0)).alias("recurring_issue_count"),
         "l.resolved_or_not_seen_issue_count",
@@ -179,10 +186,13 @@ def project_metrics(
     if comparison is None:
         nothing = {"regression_status": "string", "regression_score_delta": "double"}
         return row.withColumns({n: F.lit(None).cast(kind) for n, kind in nothing.items()})
-    matched = match_verdict(comparison).select(F.when(F.col("matched"), "pass").otherwise("fail"))
-    delta = comparison.where(F.col("kind") == "score").agg(F.max("delta"))
-    return row.withColumns(
-        {"regression_status": matched.scalar(), "regression_score_delta": delta.scalar()}
+    verdict = comparison.agg(
+        F.when(F.coalesce(F.bool_and("matches"), F.lit(True)), "pass").otherwise("fail").alias("status"),
+        F.max(F.when(F.col("kind") == "score", F.col("delta"))).alias("delta"),
+    )
+    return row.withColumn("v", verdict.select(F.struct("*")).scalar()).select(
+        *row.columns, F.col("v.status").alias("regression_status"),
+        F.col("v.delta").alias("regression_score_delta"),
     )
 
 

@@ -38,6 +38,8 @@ SCHEMAS = {
         run_id string, run_ts string, dataset_name string, event_volume bigint,
         completion_count bigint, completion_rate double, event_type_counts string,
         event_type_distribution string""",
+    "dq_event_types": """
+        run_id string, run_ts string, dataset_name string, event_type string, event_count bigint""",
     "dq_anomalies": """
         run_id string, metric string, metric_value double, baseline_value double,
         baseline_spread double, z_score double, threshold double, direction string,

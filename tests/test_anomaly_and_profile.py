@@ -101,6 +101,21 @@ def test_prior_statistics_equal_brute_force(spark):
         assert row.mad == median(abs(x - row.median) for x in past)
 
 
+def test_shifts_from_the_long_form(spark):
+    """Type counts in long form give what the maps give, for runs of several datasets."""
+    rng = random.Random(2)
+    rows = [(f"r{i}", f"2024-01-0{i + 1}T00:00:00", d, rng.choice(["a", "b", None, "c"]))
+            for i in range(5) for d in ("x", "y") for _ in range(rng.randint(2, 9))]
+    events = local_frame(spark, rows, "run_id string, run_ts string, dataset_name string, event_type string")
+    run = ["run_id", "run_ts", "dataset_name"]
+    counts, metrics = anomaly.type_counts(events, run), anomaly.run_metrics(events, run)
+    last, past = F.col("run_id") == "r4", F.col("run_id") < "r4"
+    short = anomaly.detect(metrics.where(last), metrics.where(past), [], 0.0).collect()
+    long_ = anomaly.detect(metrics.where(last), metrics.where(past), [], 0.0, (counts.where(last), counts.where(past))).collect()
+    assert sorted(map(str, short)) == sorted(map(str, long_)) and len(short) == 2
+    assert anomaly.distribution_shift(counts.where("run_id = 'none'"), counts).count() == 0
+
+
 def test_running_median_and_mad():
     rng = random.Random(5)
     for size in (1, 2, 3, 10, 60):

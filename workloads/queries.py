@@ -620,13 +620,17 @@ def score_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- anomalies: every day is a run
 
 
-def _tenant_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three datasets with a run per day; purchases play the part of completions."""
-    events = daily_runs(table(spark, sf_dir, "events"), "ts", DATASET).withColumn(
+def _tenant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three datasets with a run per day."""
+    return daily_runs(table(spark, sf_dir, "events"), "ts", DATASET).withColumn(
         "dataset_name", F.concat(F.lit("tenant-"), F.col("user_id") % 3)
     )
+
+
+def _tenant_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases play the part of completions."""
     return anomaly.run_metrics(
-        events, ("run_id", "run_ts", "dataset_name"), completion="purchase"
+        _tenant_events(spark, sf_dir), ("run_id", "run_ts", "dataset_name"), completion="purchase"
     )
 
 
@@ -637,17 +641,11 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _tenant_metrics(spark, sf_dir)
-        .select(
-            "run_id", "dataset_name", "event_type_distribution",
-            F.explode("event_type_counts").alias("event_type", "event_count"),
-        )
-        .select(
-            "run_id", "dataset_name", "event_type", "event_count",
-            F.try_element_at("event_type_distribution", F.col("event_type")).alias("share"),
-        )
-    )
+    """A2 in long form."""
+    run = ("run_id", "run_ts", "dataset_name")
+    counts = anomaly.type_counts(_tenant_events(spark, sf_dir), run)
+    shares = anomaly.type_shares(counts).withColumnRenamed("key", "event_type")
+    return counts.join(shares, [*run, "event_type"]).drop("run_ts")
 
 
 def _kept_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
