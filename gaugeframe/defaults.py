@@ -25,7 +25,8 @@ _ROOT_CAUSES = {
     }
 }
 
-# dimension -> (id, table, column or columns, rule, warning, fail, severity, weight, description)
+# dimension -> (id, table, column or columns, rule, warning, fail, severity, weight, description,
+# and for column sweeps the pattern of column names)
 _CHECKS = {
     "completeness": [
         ("users_email_not_null", "users", "email", "NULL_PERCENTAGE", 0.02, 0.05, 3, 1.5,
@@ -57,7 +58,7 @@ _CHECKS = {
         ("newsletter_clicked_at_date_range", "newsletter", "clicked_at", "DATE_RANGE(2000-01-01T00:00:00Z, now)", 0.01, 0.05, 2, 0.6,
          "Newsletter click timestamps must stay within the plausible window."),
         ("numeric_counts_non_negative", "*", None, "NON_NEGATIVE_COUNTS", 0.0, 0.0, 3, 1.2,
-         "Count-style numeric columns must never go negative."),
+         "Count-style numeric columns must never go negative.", "(?i).*count.*"),
     ],
     "consistency": [
         ("newsletter_timestamps_order", "newsletter", ["subscribed_at", "opened_at", "clicked_at"], "TIMESTAMP_ORDER", 0.05, 0.1, 2, 0.9,
@@ -92,7 +93,6 @@ _CHECKS = {
          "Users must belong to a referenceable district."),
     ],
 }
-_COUNT_COLUMNS = {"numeric_counts_non_negative": "(?i).*count.*"}
 
 _VOCABULARY = {
     "grade_bands": {
@@ -130,7 +130,7 @@ GATE = GateSettings(score_threshold=90.0, critical_severity=5.0)
 
 
 def _entry(row: tuple) -> dict:
-    check_id, table, columns, rule, warning, fail, severity, weight, description = row
+    check_id, table, columns, rule, warning, fail, severity, weight, description, *regex = row
     columns = [columns] if isinstance(columns, str) else columns
     return {
         "id": check_id,
@@ -141,7 +141,7 @@ def _entry(row: tuple) -> dict:
         "severity": severity,
         "weight": weight,
         "description": description,
-        "column_regex": _COUNT_COLUMNS.get(check_id),
+        "column_regex": regex[0] if regex else None,
     }
 
 

@@ -18,6 +18,7 @@ RULE_SCHEMA = """
     issue_type string
 """
 
+# The columns of the results, which later steps and readers know by name.
 CHECK_COLUMNS = (
     "run_id", "dataset_name", "table_name", "stage_table", "check_id", "dimension",
     "description", "rule_type", "columns", "column_regex", "severity", "weight",
