@@ -43,7 +43,7 @@ def pages(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_agrees_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     columns = ", ".join(got.columns)
