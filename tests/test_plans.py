@@ -84,6 +84,13 @@ def test_rows_of_hot_keys_are_sliced(spark, no_broadcasts):
                 assert "HashAggregate" in below, name
 
 
+def test_repeated_vocabularies_are_never_broadcast(spark):
+    # Tables this small would be broadcast by their planned size, which leaves out the repeats.
+    text = plan(QUERIES["canonical_by_split_join"](spark, SF))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert "BroadcastHashJoin" in plan(QUERIES["canonical_by_broadcast"](spark, SF))
+
+
 def test_samples_are_cut_before_the_shuffle(spark):
     text = plan(sample_rows(staged(spark, SF), defaults.RULES.only("users_email_not_null", "users_state_valid")))
     assert "WindowGroupLimit" in text and "Partial" in text
