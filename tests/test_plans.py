@@ -50,6 +50,17 @@ def test_reference_rules_add_counts_and_join_nothing(spark):
     assert scans(text) == 2 and "Join" not in text
 
 
+def test_keys_meet_in_all_partitions_of_the_session(spark):
+    text = plan(QUERIES["rule_foreign_key"](spark, SF))
+    # Shares of summaries go straight to a shuffle whose partitions are never merged.
+    assert re.search(r"hashpartitioning\(rule#\d+, key#\d+, _slice#\d+, 4\), REPARTITION_BY_NUM", text)
+    for above, below in zip(text.splitlines(), text.splitlines()[1:]):
+        assert not ("Aggregate" in above and "Union" in below)
+    # Over many runs the window takes the same shuffle.
+    daily = plan(QUERIES["issue_history_daily"](spark, SF))
+    assert len(re.findall(r"hashpartitioning\([^)]*\bkey#", daily)) == 1 and "Window" in daily
+
+
 def test_all_rules_scan_each_table_once(spark):
     text = plan(count_failures(staged(spark, SF), defaults.RULES))
     assert scans(text) == 5 and "Join" not in text
