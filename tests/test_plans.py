@@ -61,6 +61,12 @@ def test_keys_meet_in_all_partitions_of_the_session(spark):
     assert len(re.findall(r"hashpartitioning\([^)]*\bkey#", daily)) == 1 and "Window" in daily
 
 
+def test_a_kept_history_is_never_computed_again(spark):
+    # Scalar subqueries and joins read what was kept, too.
+    for name in ("lifecycle_counts", "issue_trend_matrix"):
+        assert scans(plan(QUERIES[name](spark, SF))) == 0, name
+
+
 def test_all_rules_scan_each_table_once(spark):
     text = plan(count_failures(staged(spark, SF), defaults.RULES))
     assert scans(text) == 5 and "Join" not in text
