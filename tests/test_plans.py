@@ -61,6 +61,12 @@ def test_keys_meet_in_all_partitions_of_the_session(spark):
     assert len(re.findall(r"hashpartitioning\([^)]*\bkey#", daily)) == 1 and "Window" in daily
 
 
+def test_runs_are_not_folded_by_key_before_they_meet(spark):
+    lines = plan(QUERIES["issue_history_daily"](spark, SF)).splitlines()
+    above = [one for one, below in zip(lines, lines[1:]) if re.search(r"[ -] Union", below)]
+    assert above and all("Exchange" in one for one in above)
+
+
 def test_a_kept_history_is_never_computed_again(spark):
     # Scalar subqueries and joins read what was kept, too.
     for name in ("lifecycle_counts", "issue_trend_matrix"):
