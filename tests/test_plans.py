@@ -67,6 +67,19 @@ def test_runs_are_not_folded_by_key_before_they_meet(spark):
     assert above and all("Exchange" in one for one in above)
 
 
+def test_keys_of_several_sets_are_dealt_before_they_are_counted(spark):
+    # A fold in the tasks of the scan holds several keys for every row of a split.
+    for df in (QUERIES["issue_history_daily"](spark, SF), count_failures(staged(spark, SF), defaults.RULES)):
+        lines = plan(df).splitlines()
+        expanded = [i for i, one in enumerate(lines) if "- Expand" in one]
+        assert len(expanded) == 4
+        for i in expanded:
+            folded, dealt = [one for one in lines[:i] if "- Project" not in one][-2:]
+            assert re.search(r"hashpartitioning\(_set#.*REPARTITION_BY_NUM", dealt)
+            # What counts the keys takes that shuffle.
+            assert "partial_count" in folded
+
+
 def test_a_kept_history_is_never_computed_again(spark):
     # Scalar subqueries and joins read what was kept, too.
     for name in ("lifecycle_counts", "issue_trend_matrix"):

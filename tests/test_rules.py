@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeframe.config import Rule, load_root_causes, load_rules, parse_rule_text
 from gaugeframe.operators import outcomes
-from gaugeframe.operators.rules import count_failures, java_regex, skipped_columns
+from gaugeframe.operators.rules import count_failures, findings, java_regex, skipped_columns
 from gaugeframe.operators.samples import (
     duplicate_rows, failing_rows, negative_rows, sample_json, sample_rows)
 from gaugeframe.session import local_frame
@@ -97,6 +97,48 @@ def test_unique_mapping_and_duplicates_share_a_pass(spark):
     assert Counter(r.k for r in bad.collect()) == {"a": 3}
 
 
+@pytest.mark.parametrize("runs", [1, 3])
+def test_keys_counted_in_slices_add_up(spark, runs):
+    # Hot, NULL and lone keys, in rows that differ; 0.0 and -0.0 are one key.
+    rows = [
+        (f"r{i % runs}", None if i % 4 == 0 else "hot" if i % 4 == 1 else f"k{i // 3}", i % 50,
+         (0.0, -0.0, 1.5, None)[i % 7 % 4])
+        for i in range(400)
+    ]
+    t = local_frame(spark, rows, "run string, c string, v int, x double")
+    far = local_frame(spark, [("hot",), (None,), ("k5",)], "c string")
+    rules = [
+        rule("DUPLICATE_PERCENTAGE", columns=["c"]),
+        rule("DUPLICATE_PERCENTAGE", columns=["x"], id="zeros"),
+        rule("DUPLICATE_PERCENTAGE", columns=["c", "x"], id="both"),
+        rule("UNIQUE_MAPPING", "c", "v"), rule("FK", "far.c", columns=["c"]),
+        rule("NULL_PERCENTAGE", columns=["c"]),
+    ]
+    by = ["run"] if runs > 1 else []
+    got = {
+        (r.check_id, r.run if by else "r0"): (r.failure_count, r.total_rows)
+        for r in count_failures({"t": t, "far": far}, rules, by=by).collect()
+    }
+    want = {}
+    for run in sorted({r for r, *_ in rows}):
+        own = [one for one in rows if one[0] == run]
+        for check, parts in (("duplicate_percentage", (1,)), ("zeros", (3,)), ("both", (1, 3))):
+            keys = Counter(tuple(one[p] for p in parts) for one in own)
+            want[check, run] = (sum(n - 1 for n in keys.values()), len(own))
+        held = [one for one in own if one[1] is not None]
+        values = {c: {v for _, d, v, _ in held if d == c} for _, c, _, _ in held}
+        want["unique_mapping", run] = (sum(len(values[c]) > 1 for _, c, _, _ in held), len(own))
+        want["fk", run] = (sum(c not in ("hot", "k5") for _, c, _, _ in held), len(own))
+        want["null_percentage", run] = (len(own) - len(held), len(own))
+    assert got == want
+    if not by:
+        found = findings({"t": t, "far": far}, rules).collect()
+        assert {r.check_id: (r.failure_count, r.total_rows) for r in found if r.key is None} == {
+            check: n for (check, _), n in want.items()}
+        assert {tuple(r.key): r.failure_count for r in found if r.check_id == "duplicate_percentage" and r.key}[
+            (None,)] == 99
+
+
 def test_foreign_key(spark):
     tables = {
         "s": local_frame(spark, [("1",), ("2",), ("2",), (None,), ("1",)], "f string"),
